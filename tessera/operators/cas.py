@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import cells as C
+from tessera.session import ship_package
 
 _CELL = ["row_key", "family", "qualifier"]
 _FOLD_SCHEMA = T.StructType([
@@ -90,6 +91,7 @@ def check_and_mutate(cells: DataFrame, reqs: DataFrame, *, action: str = "put",
     as tombstones of ``delete_scope`` (``cell``, ``family`` or ``row``).
     """
     delete = action == "delete"
+    ship_package(cells.sparkSession)
     cur = _current(cells, reqs)
     if single_per_cell:
         joined = reqs.join(cur, _CELL, "left")

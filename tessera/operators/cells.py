@@ -63,7 +63,9 @@ def version(ts: Column | str = "ts", seq: Column | str = "seq") -> Column:
 
 
 def empty_cells(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CELL_SCHEMA)
+    """An empty log as a constant-false relation, which the optimizer prunes away."""
+    cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in CELL_SCHEMA.fields)
+    return spark.sql(f"SELECT {cols} WHERE 1 = 0")
 
 
 def mutations(df: DataFrame, *, row_key, family=None, qualifier=None, value=None,
@@ -97,12 +99,22 @@ def append(cells: DataFrame, *more: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- resolve
 
 def resolve(cells: DataFrame) -> DataFrame:
-    """Current state of every live cell: ``row_key, family, qualifier, value, ts, seq``."""
+    """Current state of every live cell: ``row_key, family, qualifier, value, ts, seq``.
+
+    Plan: one aggregate per cell (newest put, newest cell tombstone, newest
+    increment) joined with the newest family and row tombstones. Counters
+    are summed on a separate branch that only touches cells having
+    increments: their base version (newest put or covering tombstone) is
+    aggregated from a semi-joined slice of the log, so the main aggregate is
+    computed once and a log without increments costs nothing extra.
+    """
     kind = F.col("kind")
     v = version()
+    keys = ["row_key", "family", "qualifier"]
+    cell_ok = F.col("row_key").isNotNull() & F.col("family").isNotNull() & F.col("qualifier").isNotNull()
     per_cell = (
-        cells.filter(kind.isin(PUT, INCREMENT, DELETE_CELL))
-        .groupBy("row_key", "family", "qualifier")
+        cells.filter(kind.isin(PUT, INCREMENT, DELETE_CELL) & cell_ok)
+        .groupBy(*keys)
         .agg(
             # newest put; the value breaks exact version ties deterministically
             F.max(F.when(kind == PUT, F.struct(F.col("ts"), F.col("seq"), F.col("value")))).alias("top"),
@@ -110,45 +122,46 @@ def resolve(cells: DataFrame) -> DataFrame:
             F.max(F.when(kind == INCREMENT, v)).alias("last_inc"),
         )
     )
-    fam_tombs = (cells.filter(kind == DELETE_FAMILY).groupBy("row_key", "family")
-                 .agg(F.max(v).alias("tomb_family")))
-    row_tombs = (cells.filter(kind == DELETE_ROW).groupBy("row_key")
-                 .agg(F.max(v).alias("tomb_row")))
+    fam_tombs = (cells.filter((kind == DELETE_FAMILY) & F.col("row_key").isNotNull() & F.col("family").isNotNull())
+                 .groupBy("row_key", "family").agg(F.max(v).alias("tomb_family")))
+    row_tombs = (cells.filter((kind == DELETE_ROW) & F.col("row_key").isNotNull())
+                 .groupBy("row_key").agg(F.max(v).alias("tomb_row")))
+
+    def with_tombs(df: DataFrame) -> DataFrame:
+        return (df.join(fam_tombs, ["row_key", "family"], "left")
+                .join(row_tombs, ["row_key"], "left"))
+
+    # Counter branch: increments newer than their cell's base version, summed map-side.
+    incs = cells.filter((kind == INCREMENT) & cell_ok).select(*keys, v.alias("ver"), "delta")
+    inc_keys = incs.select(*keys).distinct()
+    inc_base = (cells.filter(kind.isin(PUT, DELETE_CELL) & cell_ok)
+                .join(inc_keys, keys, "left_semi")
+                .groupBy(*keys).agg(F.max(v).alias("cell_base")))
+    inc_base = with_tombs(inc_keys.join(inc_base, keys, "left")).select(
+        *keys, F.greatest("cell_base", "tomb_family", "tomb_row").alias("base_ver"))
+    inc_sums = (incs.join(inc_base, keys)
+                .filter(F.col("base_ver").isNull() | (F.col("ver") > F.col("base_ver")))
+                .groupBy(*keys).agg(F.sum("delta").alias("inc_sum")))
 
     state = (
-        per_cell.join(fam_tombs, ["row_key", "family"], "left")
-        .join(row_tombs, ["row_key"], "left")
+        with_tombs(per_cell)
         .withColumn("put_ver", F.when(F.col("top").isNotNull(),
                                       F.struct(F.col("top.ts").alias("ts"), F.col("top.seq").alias("seq"))))
         .withColumn("tomb", F.greatest("tomb_cell", "tomb_family", "tomb_row"))
         .withColumn("put_live", F.col("put_ver").isNotNull()
                     & (F.col("tomb").isNull() | (F.col("put_ver") > F.col("tomb"))))
-        .withColumn("base_ver", F.greatest("put_ver", "tomb"))
-        .withColumn("needs_inc", F.col("last_inc").isNotNull()
-                    & (F.col("base_ver").isNull() | (F.col("last_inc") > F.col("base_ver"))))
-    )
-
-    # Increments newer than the base version, summed per cell (map-side partial sums).
-    incs = cells.filter(kind == INCREMENT).select("row_key", "family", "qualifier",
-                                                  v.alias("ver"), "delta")
-    inc_sums = (
-        incs.join(state.filter("needs_inc").select("row_key", "family", "qualifier", "base_ver"),
-                  ["row_key", "family", "qualifier"])
-        .filter(F.col("base_ver").isNull() | (F.col("ver") > F.col("base_ver")))
-        .groupBy("row_key", "family", "qualifier")
-        .agg(F.sum("delta").alias("inc_sum"))
+        .join(inc_sums, keys, "left")
+        .withColumn("counted", F.col("inc_sum").isNotNull())
+        .filter(F.col("put_live") | F.col("counted"))
     )
-
-    live = state.filter(F.col("put_live") | F.col("needs_inc"))
-    out = live.join(inc_sums, ["row_key", "family", "qualifier"], "left")
     base_num = F.when(F.col("put_live"), F.coalesce(F.col("top.value").try_cast("bigint"), F.lit(0))) \
         .otherwise(F.lit(0))
-    return out.select(
-        "row_key", "family", "qualifier",
-        F.when(F.col("needs_inc"), (base_num + F.coalesce(F.col("inc_sum"), F.lit(0))).cast("string"))
+    return state.select(
+        *keys,
+        F.when(F.col("counted"), (base_num + F.col("inc_sum")).cast("string"))
         .otherwise(F.col("top.value")).alias("value"),
-        F.when(F.col("needs_inc"), F.col("last_inc.ts")).otherwise(F.col("top.ts")).alias("ts"),
-        F.when(F.col("needs_inc"), F.col("last_inc.seq")).otherwise(F.col("top.seq")).alias("seq"),
+        F.when(F.col("counted"), F.col("last_inc.ts")).otherwise(F.col("top.ts")).alias("ts"),
+        F.when(F.col("counted"), F.col("last_inc.seq")).otherwise(F.col("top.seq")).alias("seq"),
     )
 
 

@@ -8,9 +8,12 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tessera.session import ship_package
+
 
 def foreach_partition(df: DataFrame, fn: Callable[[Iterator[Any]], None]) -> None:
     """Run a side-effecting function once per partition (an action)."""
+    ship_package(df.sparkSession)
     df.foreachPartition(fn)
 
 
@@ -20,6 +23,7 @@ def count_rows_by_partition_side_effect(df: DataFrame) -> int:
     Accumulator updates inside an action are applied once per successful task,
     so a retried task does not double count.
     """
+    ship_package(df.sparkSession)
     acc = df.sparkSession.sparkContext.accumulator(0)
 
     def count_part(rows: Iterator[Any]) -> None:
@@ -44,4 +48,5 @@ def map_partitions(df: DataFrame, fn: Callable[[pd.DataFrame, Any], pd.DataFrame
         for batch in batches:
             yield fn(batch, ctx)
 
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, schema)

@@ -56,3 +56,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def unique_name(prefix: str) -> str:
     """A unique catalog identifier (tables, views, streaming queries)."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable on executors (once per SparkContext).
+
+    Python functions handed to ``mapInPandas`` / ``applyInPandas*`` /
+    ``foreachPartition`` are pickled by reference to their module, so the
+    package is zipped into the shared checkpoint folder and added with
+    ``addPyFile``, the way a cluster job ships its code.
+    """
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    target_dir = scratch_path(spark, "pyfiles")
+    if "://" in target_dir and not target_dir.startswith("file:"):
+        # remote filesystem: write through the JVM's Hadoop client
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{target_dir}/tessera.zip")
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(path, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+        target = f"{target_dir}/tessera.zip"
+    else:
+        local_dir = target_dir[len("file:"):] if target_dir.startswith("file:") else target_dir
+        os.makedirs(local_dir, exist_ok=True)
+        target = os.path.join(local_dir, "tessera.zip")
+        with open(target, "wb") as fh:
+            fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(key)

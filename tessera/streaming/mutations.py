@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.operators import cells as C
+from tessera.session import ship_package
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, *, fmt: str = "parquet",
@@ -72,6 +73,7 @@ def idempotent_batch_writer(path: str, transform: Callable[[DataFrame, int], Dat
 
 def foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run a side-effecting function on every micro-batch until the input is drained."""
+    ship_package(stream.sparkSession)
     run_to_end(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint))
 
 
@@ -83,6 +85,7 @@ def stream_map(stream: DataFrame, fn: Callable[[pd.DataFrame, object], pd.DataFr
         for b in batches:
             yield fn(b, ctx)
 
+    ship_package(stream.sparkSession)
     return stream.mapInPandas(run, schema)
 
 
@@ -135,6 +138,7 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
     order; batches are applied in arrival order.
     """
     delete = action == "delete"
+    ship_package(stream_reqs.sparkSession)
     reqs = stream_reqs
     if current is not None:
         seed = current.select("row_key", "family", "qualifier", F.col("value").alias("_seed"))
