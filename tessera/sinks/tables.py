@@ -58,12 +58,15 @@ def insert_into(spark: SparkSession, df: DataFrame, table: str, *, overwrite: bo
         ordered.write.insertInto(table, overwrite=overwrite)
         return
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
+    before = spark.conf.get(key, None)
     spark.conf.set(key, "dynamic")
     try:
         ordered.write.insertInto(table, overwrite=overwrite)
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def create_external_table(spark: SparkSession, table: str, path: str, *, fmt: str = "parquet",
