@@ -22,21 +22,27 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_root
 
-DEFAULT_ROWS_PER_PARTITION = 2_000_000
 _LOCAL_BITS = 33
 
 
 def row_index(df: DataFrame, order_by: str | Sequence[str], *, offset: int = 1,
               col_name: str = "row_num", in_front: bool = True,
               num_partitions: int | None = None,
-              rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION) -> DataFrame:
-    """Add ``col_name`` = offset, offset+1, ... in the order of ``order_by``."""
+              rows_per_partition: int | None = None) -> DataFrame:
+    """Add ``col_name`` = offset, offset+1, ... in the order of ``order_by``.
+
+    The range count defaults to ``spark.sql.shuffle.partitions``; give
+    ``rows_per_partition`` to size it from a row count instead (one extra pass).
+    """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     spark = df.sparkSession
     checkpoint_root(spark)
     if num_partitions is None:
-        n = df.count()
-        num_partitions = max(1, math.ceil(n / rows_per_partition))
+        if rows_per_partition:
+            num_partitions = max(1, math.ceil(df.count() / rows_per_partition))
+        else:
+            # the session's shuffle parallelism is sized for the data already
+            num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(num_partitions, *keys)
               .sortWithinPartitions(*keys)
               .checkpoint(eager=True))
