@@ -349,11 +349,13 @@ def write_cells(cells: DataFrame, path: str, *, mode: str = "append",
     scans and gets prune at the Parquet reader, which is what region splits
     did for the store.
     """
+    order = ["row_key", "family", "qualifier", "ts", "seq"]
     out = cells.select(*CELL_COLUMNS)
-    out = out.repartitionByRange(num_partitions, "row_key") if num_partitions \
-        else out.repartitionByRange("row_key")
-    out.sortWithinPartitions("row_key", "family", "qualifier", "ts", "seq") \
-        .write.mode(mode).parquet(path)
+    # Ranges over the whole cell key: a hot row spreads over several files
+    # instead of one, while the files stay globally ordered by row key.
+    out = out.repartitionByRange(num_partitions, *order) if num_partitions \
+        else out.repartitionByRange(*order)
+    out.sortWithinPartitions(*order).write.mode(mode).parquet(path)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 ``a JOIN b ON k1(a)=k1(b) OR k2(a)=k2(b) OR ...`` is planned by Spark as a
 nested-loop join. Rewritten: every record is emitted once per rule with a
-non-null key, as ``(rule, key, record)``; one equi self join on
-``(rule, key)`` finds every matching ordered pair; a pair found by several
-rules is kept only under its first matching rule (the earlier rules' keys are
-compared in the same row), so no ``distinct`` shuffle is needed. A key shared
+non-null key, as ``(rule, hash(key), record)``; one equi self join on
+``(rule, hash)`` finds every candidate ordered pair; the exact keys are
+compared after the join, and a pair found by several rules is kept only
+under its first matching rule, so no ``distinct`` shuffle is needed. A key shared
 by m records yields m² pairs by definition; AQE's skew join splits such a
 hot key across tasks.
 """
@@ -22,33 +22,47 @@ from pyspark.sql import functions as F
 def or_match_pairs(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Ordered pairs ``(l, r)`` of records of ``df`` equal on at least one rule key.
 
-    ``rules`` maps a rule name to a key expression; a null key never matches.
-    Self pairs are included, both orders are returned. Keys are compared as
-    text. Output: struct columns ``l`` and ``r`` holding the records.
+    ``rules`` maps a rule name to a key expression over ``df``'s columns; a null
+    key never matches. Self pairs are included, both orders are returned.
+    Output: struct columns ``l`` and ``r`` holding the records.
+
+    The shuffle carries each record once per non-null rule key plus a 64-bit
+    hash of that key; the join is on ``(rule, hash)`` and the exact keys are
+    re-derived from both records afterwards, so hash collisions never leak
+    into the result and long keys (whole texts) are not shuffled twice.
     """
     names = list(rules)
-    rec = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("rec")
-    keyed = df.select(rec, *[rules[n].cast("string").alias(f"_k{i}") for i, n in enumerate(names)])
-    exploded = keyed.select(
-        "*",
-        F.inline(F.array(*[F.struct(F.lit(i).alias("_rule"), F.col(f"_k{i}").alias("_val"))
-                           for i in range(len(names))])),
-    ).filter(F.col("_val").isNotNull())
+    cols = df.columns
+    rec = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("rec")
+    hashed = [F.when(rules[n].isNotNull(), F.xxhash64(rules[n].cast("string"))) for n in names]
+    exploded = df.select(
+        rec,
+        F.inline(F.array(*[F.struct(F.lit(i).alias("_rule"), h.alias("_h")) for i, h in enumerate(hashed)])),
+    ).filter(F.col("_h").isNotNull())
+
+    pairs = (exploded.select("_rule", "_h", F.col("rec").alias("l"))
+             .join(exploded.select("_rule", "_h", F.col("rec").alias("r")), ["_rule", "_h"]))
 
-    def side(tag: str) -> DataFrame:
-        return exploded.select("_rule", "_val", F.col("rec").alias(tag),
-                               *[F.col(f"_k{i}").alias(f"{tag}_k{i}") for i in range(len(names))])
+    def keys_of(side: str) -> list[Column]:
+        # the rule expressions evaluated against one side's record fields
+        return [F.col(f"{side}.`{c}`").alias(c) for c in cols]
 
-    pairs = side("l").join(side("r"), ["_rule", "_val"])
+    left = pairs.select("_rule", "l", "r", *keys_of("l")) \
+        .select("_rule", "l", "r", *[rules[n].cast("string").alias(f"l_k{i}") for i, n in enumerate(names)])
+    both = left.select("_rule", "l", "r", *[f"l_k{i}" for i in range(len(names))], *keys_of("r")) \
+        .select("_rule", "l", "r", *[f"l_k{i}" for i in range(len(names))],
+                *[rules[n].cast("string").alias(f"r_k{i}") for i, n in enumerate(names)])
 
     def equal(i: int) -> Column:
         return F.coalesce(F.col(f"l_k{i}") == F.col(f"r_k{i}"), F.lit(False))
 
-    first_rule = reduce(lambda a, b: a | b, [
-        (F.col("_rule") == F.lit(i)) & reduce(lambda x, y: x & y, [~equal(j) for j in range(i)], F.lit(True))
+    # the joined rule really matches, and no earlier rule does
+    keep = reduce(lambda a, b: a | b, [
+        (F.col("_rule") == F.lit(i)) & equal(i)
+        & reduce(lambda x, y: x & y, [~equal(j) for j in range(i)], F.lit(True))
         for i in range(len(names))
     ])
-    return pairs.filter(first_rule).select("l", "r")
+    return both.filter(keep).select("l", "r")
 
 
 # Fixed output shape of the applications matching query: four 0/1 flags, the
