@@ -19,7 +19,7 @@ SALT_PAD = "0"
 KEY_SEPARATOR = ":"
 HISTORY_TIME_PATTERN = "yyyyMMddHHmmss"
 MONTH_INT_PATTERN = "YYYYMM"
-_JVM_TRIM_REGEX = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_JVM_TRIM_CHARS = "".join(chr(c) for c in range(0x00, 0x21))  # U+0000 .. U+0020
 
 
 def _col(c: Column | str) -> Column:
@@ -59,7 +59,7 @@ def salted_row_key(c: Column | str, num_salts: int) -> Column:
 
 def jvm_trim(c: Column | str) -> Column:
     """Trim like ``String.trim``: all control characters and space, both ends."""
-    return F.regexp_replace(_col(c), _JVM_TRIM_REGEX, "")
+    return F.btrim(_col(c), F.lit(_JVM_TRIM_CHARS))
 
 
 def cell_text(c: Column | str, data_type: T.DataType | None = None) -> Column:
