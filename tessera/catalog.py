@@ -956,3 +956,23 @@ def stream_enrich(spark, d):
     root = scratch_path(spark, "stream-enrich")
     append_to_files(enrich(s, wide, "c_custkey").drop("c_custkey"), f"{root}/data", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/data")
+
+
+STREAM_CHANGE_SQL = """
+WITH b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) + 1 AS hi FROM events),
+sl AS (SELECT e.*, (epoch_us(e.ts) - b.lo) // ((b.hi - b.lo + 3) // 4) AS slice FROM events e, b),
+slice_ts AS (SELECT slice, max(ts) AS step_ts FROM sl GROUP BY slice),
+obs AS (SELECT user_id, slice, arg_max(event_type, (ts, event_id)) AS status FROM sl GROUP BY user_id, slice),
+ch AS (SELECT o.*, lag(status) OVER (PARTITION BY user_id ORDER BY slice) AS prev FROM obs o)
+SELECT CAST(ch.user_id AS VARCHAR) || ':' || strftime(t.step_ts, '%Y%m%d%H%M%S') AS id_ts, ch.status
+FROM ch JOIN slice_ts t ON ch.slice = t.slice
+WHERE ch.prev IS NULL OR ch.prev <> ch.status"""
+
+
+@register("stream_change_tracking", STREAM_CHANGE_SQL)
+def stream_change_tracking(spark, d):
+    from tessera.plans.change_tracking import stream_change_tracking as run
+    root = scratch_path(spark, "stream-change")
+    _cells, hist = run(_stream_events(spark, d), key="user_id", status=F.col("event_type"), ts="ts",
+                       tiebreak="event_id", root=root, checkpoint=f"{root}/_checkpoint")
+    return spark.read.parquet(hist).select("id_ts", "status")
