@@ -10,6 +10,15 @@ effect of the accepted ones before it: a sequential fold per cell. Two plans:
   rows holding one value per cell, so no group is ever gathered in memory
   (a hot cell costs time in one task, not memory).
 
+* hot cells (more requests than ``hot_cell_rows``): a parallel prefix over
+  chunks. Requests are range-partitioned by ``(cell, ts, seq)`` so a hot cell
+  spans many ordered partitions (checkpointed, so every pass sees the same
+  chunks). Each chunk of a cell is summarised by its transfer map — state at
+  the chunk's start -> state at its end, built in one backward pass and no
+  larger than the chunk's distinct expected values; a cell's few chunk maps
+  are folded in order from its current value to give every chunk's start
+  state; then all chunks replay in parallel from their start states.
+
 Both return the *accepted* mutations as cell-log rows, to be appended.
 """
 
@@ -23,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import cells as C
-from tessera.session import ship_package
+from tessera.session import checkpoint_root, ship_package
 
 _CELL = ["row_key", "family", "qualifier"]
 _FOLD_SCHEMA = T.StructType([
@@ -83,8 +92,100 @@ def _fold(batches: Iterator[pd.DataFrame], delete: bool) -> Iterator[pd.DataFram
         yield out[out["accepted"]]
 
 
+# Absent cell in a transfer map (map keys and values cannot be null).
+_ABSENT = "\u0000"
+_MAP_SCHEMA = T.StructType([
+    T.StructField("row_key", T.StringType()), T.StructField("family", T.StringType()),
+    T.StructField("qualifier", T.StringType()), T.StructField("chunk", T.IntegerType()),
+    T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("vals", T.ArrayType(T.StringType())),
+])
+_START_SCHEMA = "row_key string, family string, qualifier string, chunk int, start string"
+
+
+def _segments(pdf: pd.DataFrame):
+    """Consecutive runs of one cell in a sorted batch: (key, start, stop)."""
+    keys = list(zip(pdf["row_key"], pdf["family"], pdf["qualifier"]))
+    start = 0
+    for i in range(1, len(keys) + 1):
+        if i == len(keys) or keys[i] != keys[start]:
+            yield keys[start], start, i
+            start = i
+
+
+def _chunk_maps(batches: Iterator[pd.DataFrame], delete: bool) -> Iterator[pd.DataFrame]:
+    """Per cell segment of a partition: the chunk's transfer map (backward pass)."""
+    pdf = pd.concat(list(batches), ignore_index=True)
+    if pdf.empty:
+        return
+    out = []
+    for (rk, fam, q), a, b in _segments(pdf):
+        exp = pdf["expected"].iloc[a:b].tolist()
+        new = [_ABSENT] * (b - a) if delete else pdf["value"].iloc[a:b].tolist()
+        chunk = int(pdf["chunk"].iloc[a])
+        d: dict = {}
+        for e, n in zip(reversed(exp), reversed(new)):
+            e = _ABSENT if e is None else e
+            n = _ABSENT if n is None else n
+            d[e] = d.get(n, n)
+        out.append((rk, fam, q, chunk, list(d.keys()), list(d.values())))
+    yield pd.DataFrame(out, columns=["row_key", "family", "qualifier", "chunk", "keys", "vals"])
+
+
+def _chunk_starts(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One cell: fold its chunk maps in order from the current value."""
+    pdf = pdf.sort_values("chunk")
+    cur = pdf["current"].iloc[0]
+    s = _ABSENT if cur is None or (isinstance(cur, float) and pd.isna(cur)) else cur
+    starts = []
+    for keys, vals in zip(pdf["keys"], pdf["vals"]):
+        starts.append(s)
+        s = dict(zip(keys, vals)).get(s, s)
+    return pd.DataFrame({"row_key": pdf["row_key"].to_numpy(), "family": pdf["family"].to_numpy(),
+                         "qualifier": pdf["qualifier"].to_numpy(), "chunk": pdf["chunk"].to_numpy(),
+                         "start": starts})
+
+
+def _replay(batches: Iterator[pd.DataFrame], delete: bool) -> Iterator[pd.DataFrame]:
+    """Replay every chunk of a cell from its start state; keep accepted requests."""
+    pdf = pd.concat(list(batches), ignore_index=True)
+    if pdf.empty:
+        return
+    keep = [False] * len(pdf)
+    exp, new, start = pdf["expected"].tolist(), pdf["value"].tolist(), pdf["start"].tolist()
+    for _key, a, b in _segments(pdf):
+        s = start[a]
+        for i in range(a, b):
+            e = _ABSENT if exp[i] is None else exp[i]
+            if s == e:
+                keep[i] = True
+                s = _ABSENT if delete or new[i] is None else new[i]
+    out = pdf.loc[keep, ["row_key", "family", "qualifier", "ts", "seq", "value"]].copy()
+    out["accepted"] = True
+    yield out
+
+
+def _chunked(cur: DataFrame, reqs: DataFrame, delete: bool, num_chunks: int | None) -> DataFrame:
+    spark = reqs.sparkSession
+    checkpoint_root(spark)
+    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*_CELL, "ts", "seq"]
+    ranged = (reqs.select(*_CELL, "ts", "seq", "expected", "value")
+              .repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("chunk", F.spark_partition_id())
+              .checkpoint(eager=True))
+    maps = ranged.mapInPandas(lambda it: _chunk_maps(it, delete), _MAP_SCHEMA)
+    starts = (maps.join(cur, _CELL, "left")
+              .groupBy(*_CELL).applyInPandas(_chunk_starts, _START_SCHEMA))
+    # start states go back to the checkpointed chunks: one row per (cell, chunk)
+    replay_in = (ranged.join(starts, [*_CELL, "chunk"])
+                 .repartition(*_CELL, "chunk")
+                 .sortWithinPartitions(*_CELL, "chunk", "ts", "seq"))
+    return replay_in.mapInPandas(lambda it: _replay(it, delete), _FOLD_SCHEMA).drop("accepted")
+
+
 def check_and_mutate(cells: DataFrame, reqs: DataFrame, *, action: str = "put",
-                     delete_scope: str = "cell", single_per_cell: bool = False) -> DataFrame:
+                     delete_scope: str = "cell", single_per_cell: bool = False,
+                     hot_cell_rows: int | None = 5_000_000, num_chunks: int | None = None) -> DataFrame:
     """Accepted mutations of check-and-put (``action='put'``) or check-and-delete.
 
     ``reqs`` has the columns of :func:`requests`. Accepted deletes are written
@@ -98,6 +199,10 @@ def check_and_mutate(cells: DataFrame, reqs: DataFrame, *, action: str = "put",
         ok = F.coalesce(F.col("current") == F.col("expected"),
                         F.col("current").isNull() & F.col("expected").isNull())
         accepted = joined.filter(ok).select("row_key", "family", "qualifier", "ts", "seq", "value")
+    elif hot_cell_rows is not None and (
+            hot_cell_rows <= 0
+            or (reqs.groupBy(*_CELL).count().agg(F.max("count")).first()[0] or 0) > hot_cell_rows):
+        accepted = _chunked(cur, reqs, delete, num_chunks)
     else:
         seeds = cur.select(*_CELL, F.lit(None).cast("bigint").alias("ts"),
                            F.lit(None).cast("bigint").alias("seq"),

@@ -124,6 +124,30 @@ def test_check_and_put_general_equals_fold(spark):
     assert state == want
 
 
+def test_check_and_put_chunked_equals_fold(spark):
+    import random
+    rnd = random.Random(11)
+    vals = [None, "a", "b", "c"]
+    # one very hot cell and a few cold ones, cut into several ordered chunks
+    reqs = [("hot" if rnd.random() < 0.8 else f"k{rnd.randint(0, 3)}", rnd.choice(vals), rnd.choice(vals[1:]), i, 0)
+            for i in range(600)]
+    base = spark.createDataFrame([("hot", "c", "s", 0, 0, "put", "b", None)], C.CELL_SCHEMA)
+    df = spark.createDataFrame(reqs, "k string, exp string, val string, ts long, seq long")
+    r = cas.requests(df, row_key="k", family="c", qualifier="s", expected="exp", value="val", ts="ts", seq="seq")
+    for action in ("put", "delete"):
+        chunked = cas.check_and_mutate(base, r, action=action, hot_cell_rows=0, num_chunks=7)
+        plain = cas.check_and_mutate(base, r, action=action, hot_cell_rows=None)
+        assert rows(chunked, "row_key", "ts", "kind") == rows(plain, "row_key", "ts", "kind")
+    state = dict(rows(C.resolve(C.append(base, cas.check_and_put(base, r, hot_cell_rows=0, num_chunks=7))),
+                      "row_key", "value"))
+    want = {}
+    for k in sorted({x[0] for x in reqs}):
+        cur, _ = _fold([x for x in reqs if x[0] == k], start="b" if k == "hot" else None)
+        if cur is not None:
+            want[k] = cur
+    assert state == want
+
+
 def test_check_and_delete_single_path_equals_general(spark):
     base = spark.createDataFrame([("u1", "c", "t", 1, 0, "put", "error", None),
                                   ("u2", "c", "t", 1, 0, "put", "view", None)], C.CELL_SCHEMA)
