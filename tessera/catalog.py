@@ -818,7 +818,7 @@ FROM customer""")
 def map_round_trip(spark, d):
     from tessera.plans.enrich import map_round_trip as run
     wide = C.scan_wide(B.customer_cells(spark, d), key_name="CustID", qualifiers=B.CUSTOMER_QUALIFIERS)
-    return run(wide, key_col="CustID", name_col="c_name")
+    return run(wide, key_col="CustID", name_col="c_name", store_path=scratch_path(spark, "map-cells"))
 
 
 @register("enrich_store", f"""
@@ -833,7 +833,7 @@ def enrich_store(spark, d):
     K.write_csv(T(spark, d, "customer"), path, header=True)
     df = SF.read_csv_header(spark, path)
     cells = enrich_and_store(df, lookup_col="c_mktsegment", dictionary_cells=B.segment_dictionary(spark, d),
-                             row_key="2", family="c", num_salts=6)
+                             row_key="2", family="c", num_salts=6, store_path=scratch_path(spark, "enriched"))
     return C.resolve(cells).select("row_key", "qualifier", "value")
 
 

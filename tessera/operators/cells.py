@@ -98,6 +98,67 @@ def append(cells: DataFrame, *more: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- resolve
 
+_RESOLVE_SQL = """
+WITH log AS (
+  SELECT row_key, family, qualifier, ts, seq, kind, value, delta FROM {cells} WHERE row_key IS NOT NULL),
+per_cell AS (
+  SELECT row_key, family, qualifier,
+         max(CASE WHEN kind = 'put' THEN struct(ts, seq, value) END) AS top,
+         max(CASE WHEN kind = 'delete_cell' THEN struct(ts, seq) END) AS tomb_cell,
+         max(CASE WHEN kind = 'increment' THEN struct(ts, seq) END) AS last_inc
+  FROM log
+  WHERE kind IN ('put', 'increment', 'delete_cell') AND family IS NOT NULL AND qualifier IS NOT NULL
+  GROUP BY row_key, family, qualifier),
+fam AS (
+  SELECT row_key, family, max(struct(ts, seq)) AS tomb_family
+  FROM log WHERE kind = 'delete_family' AND family IS NOT NULL GROUP BY row_key, family),
+rowt AS (
+  SELECT row_key, max(struct(ts, seq)) AS tomb_row FROM log WHERE kind = 'delete_row' GROUP BY row_key),
+incs AS (
+  SELECT row_key, family, qualifier, struct(ts, seq) AS ver, delta
+  FROM log WHERE kind = 'increment' AND family IS NOT NULL AND qualifier IS NOT NULL),
+inc_keys AS (SELECT DISTINCT row_key, family, qualifier FROM incs),
+inc_cell_base AS (
+  SELECT l.row_key, l.family, l.qualifier, max(struct(l.ts, l.seq)) AS cell_base
+  FROM log l LEFT SEMI JOIN inc_keys k
+    ON l.row_key = k.row_key AND l.family = k.family AND l.qualifier = k.qualifier
+  WHERE l.kind IN ('put', 'delete_cell')
+  GROUP BY l.row_key, l.family, l.qualifier),
+inc_base AS (
+  SELECT row_key, family, qualifier, greatest(b.cell_base, f.tomb_family, r.tomb_row) AS base_ver
+  FROM inc_keys k
+  LEFT JOIN inc_cell_base b USING (row_key, family, qualifier)
+  LEFT JOIN fam f USING (row_key, family)
+  LEFT JOIN rowt r USING (row_key)),
+inc_sums AS (
+  SELECT row_key, family, qualifier, sum(i.delta) AS inc_sum
+  FROM incs i JOIN inc_base b USING (row_key, family, qualifier)
+  WHERE b.base_ver IS NULL OR i.ver > b.base_ver
+  GROUP BY row_key, family, qualifier),
+state AS (
+  SELECT row_key, family, qualifier, p.top, p.last_inc, s.inc_sum,
+         CASE WHEN p.top IS NOT NULL THEN struct(p.top.ts AS ts, p.top.seq AS seq) END AS put_ver,
+         greatest(p.tomb_cell, f.tomb_family, r.tomb_row) AS tomb
+  FROM per_cell p
+  LEFT JOIN fam f USING (row_key, family)
+  LEFT JOIN rowt r USING (row_key)
+  LEFT JOIN inc_sums s USING (row_key, family, qualifier)),
+flagged AS (
+  SELECT *, put_ver IS NOT NULL AND (tomb IS NULL OR put_ver > tomb) AS put_live,
+         inc_sum IS NOT NULL AS counted
+  FROM state)
+SELECT row_key, family, qualifier,
+       CASE WHEN counted
+            THEN CAST((CASE WHEN put_live THEN coalesce(try_cast(top.value AS BIGINT), 0) ELSE 0 END) + inc_sum
+                      AS STRING)
+            ELSE top.value END AS value,
+       CASE WHEN counted THEN last_inc.ts ELSE top.ts END AS ts,
+       CASE WHEN counted THEN last_inc.seq ELSE top.seq END AS seq
+FROM flagged
+WHERE put_live OR counted
+"""
+
+
 def resolve(cells: DataFrame) -> DataFrame:
     """Current state of every live cell: ``row_key, family, qualifier, value, ts, seq``.
 
@@ -106,63 +167,10 @@ def resolve(cells: DataFrame) -> DataFrame:
     are summed on a separate branch that only touches cells having
     increments: their base version (newest put or covering tombstone) is
     aggregated from a semi-joined slice of the log, so the main aggregate is
-    computed once and a log without increments costs nothing extra.
+    computed once and a log without increments costs nothing extra. Written
+    as one SQL statement so the whole plan is analysed once.
     """
-    kind = F.col("kind")
-    v = version()
-    keys = ["row_key", "family", "qualifier"]
-    cell_ok = F.col("row_key").isNotNull() & F.col("family").isNotNull() & F.col("qualifier").isNotNull()
-    per_cell = (
-        cells.filter(kind.isin(PUT, INCREMENT, DELETE_CELL) & cell_ok)
-        .groupBy(*keys)
-        .agg(
-            # newest put; the value breaks exact version ties deterministically
-            F.max(F.when(kind == PUT, F.struct(F.col("ts"), F.col("seq"), F.col("value")))).alias("top"),
-            F.max(F.when(kind == DELETE_CELL, v)).alias("tomb_cell"),
-            F.max(F.when(kind == INCREMENT, v)).alias("last_inc"),
-        )
-    )
-    fam_tombs = (cells.filter((kind == DELETE_FAMILY) & F.col("row_key").isNotNull() & F.col("family").isNotNull())
-                 .groupBy("row_key", "family").agg(F.max(v).alias("tomb_family")))
-    row_tombs = (cells.filter((kind == DELETE_ROW) & F.col("row_key").isNotNull())
-                 .groupBy("row_key").agg(F.max(v).alias("tomb_row")))
-
-    def with_tombs(df: DataFrame) -> DataFrame:
-        return (df.join(fam_tombs, ["row_key", "family"], "left")
-                .join(row_tombs, ["row_key"], "left"))
-
-    # Counter branch: increments newer than their cell's base version, summed map-side.
-    incs = cells.filter((kind == INCREMENT) & cell_ok).select(*keys, v.alias("ver"), "delta")
-    inc_keys = incs.select(*keys).distinct()
-    inc_base = (cells.filter(kind.isin(PUT, DELETE_CELL) & cell_ok)
-                .join(inc_keys, keys, "left_semi")
-                .groupBy(*keys).agg(F.max(v).alias("cell_base")))
-    inc_base = with_tombs(inc_keys.join(inc_base, keys, "left")).select(
-        *keys, F.greatest("cell_base", "tomb_family", "tomb_row").alias("base_ver"))
-    inc_sums = (incs.join(inc_base, keys)
-                .filter(F.col("base_ver").isNull() | (F.col("ver") > F.col("base_ver")))
-                .groupBy(*keys).agg(F.sum("delta").alias("inc_sum")))
-
-    state = (
-        with_tombs(per_cell)
-        .withColumn("put_ver", F.when(F.col("top").isNotNull(),
-                                      F.struct(F.col("top.ts").alias("ts"), F.col("top.seq").alias("seq"))))
-        .withColumn("tomb", F.greatest("tomb_cell", "tomb_family", "tomb_row"))
-        .withColumn("put_live", F.col("put_ver").isNotNull()
-                    & (F.col("tomb").isNull() | (F.col("put_ver") > F.col("tomb"))))
-        .join(inc_sums, keys, "left")
-        .withColumn("counted", F.col("inc_sum").isNotNull())
-        .filter(F.col("put_live") | F.col("counted"))
-    )
-    base_num = F.when(F.col("put_live"), F.coalesce(F.col("top.value").try_cast("bigint"), F.lit(0))) \
-        .otherwise(F.lit(0))
-    return state.select(
-        *keys,
-        F.when(F.col("counted"), (base_num + F.col("inc_sum")).cast("string"))
-        .otherwise(F.col("top.value")).alias("value"),
-        F.when(F.col("counted"), F.col("last_inc.ts")).otherwise(F.col("top.ts")).alias("ts"),
-        F.when(F.col("counted"), F.col("last_inc.seq")).otherwise(F.col("top.seq")).alias("seq"),
-    )
+    return cells.sparkSession.sql(_RESOLVE_SQL, cells=cells.select(*CELL_COLUMNS))
 
 
 # --------------------------------------------------------------------------- scans

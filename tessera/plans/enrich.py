@@ -24,19 +24,29 @@ def with_map_column(df: DataFrame, name_col: str, map_col: str = "mapCol") -> Da
 
 
 def map_round_trip(wide: DataFrame, *, key_col: str, name_col: str, family: str = "c",
-                   key_name: str = "rowKeyId") -> DataFrame:
-    """Wide rows + map column -> cells -> wide rows with one column per map key."""
+                   key_name: str = "rowKeyId", store_path: str | None = None) -> DataFrame:
+    """Wide rows + map column -> cells (stored at ``store_path`` when given)
+    -> wide rows with one column per map key."""
     with_map = with_map_column(wide, name_col)
     cells = df_to_cells(with_map, family=family, key_col=key_col)
+    if store_path is not None:
+        C.write_cells(cells, store_path)
+        cells = C.read_cells(wide.sparkSession, store_path)
     quals = [c for c in wide.columns if c.lower() != key_col.lower()] + [NAME_KEY] + [k for k, _ in MAP_ENTRIES]
     return C.scan_wide(cells, key_name=key_name, qualifiers=quals)
 
 
 def enrich_and_store(df: DataFrame, *, lookup_col: str, dictionary_cells: DataFrame, row_key: str,
                      family: str = "c", num_salts: int = 6, limit: int | None = None,
-                     suffix: str = "_lookup", key_col: str | None = None) -> DataFrame:
-    """Frame -> (optional top-n) -> lookup column -> salted put mutations."""
+                     suffix: str = "_lookup", key_col: str | None = None,
+                     store_path: str | None = None) -> DataFrame:
+    """Frame -> (optional top-n) -> lookup column -> salted put mutations,
+    appended to the cell table at ``store_path`` when given (then read back)."""
     if limit is not None:
         df = df.limit(limit)
     enriched = lookup_column(df, lookup_col, dictionary_cells, row_key=row_key, family=family, suffix=suffix)
-    return df_to_cells(enriched, family=family, num_salts=num_salts, key_col=key_col or df.columns[0])
+    cells = df_to_cells(enriched, family=family, num_salts=num_salts, key_col=key_col or df.columns[0])
+    if store_path is None:
+        return cells
+    C.write_cells(cells, store_path)
+    return C.read_cells(df.sparkSession, store_path)
