@@ -392,3 +392,28 @@ def drop_table(spark: SparkSession, name: str) -> None:
 def insert_cells(spark: SparkSession, name: str, cells: DataFrame) -> None:
     """Append mutations to a catalog cell table (positional, schema order)."""
     cells.select(*CELL_COLUMNS).write.insertInto(name)
+
+
+def compact_to(cells: DataFrame, path: str) -> tuple[int, int] | None:
+    """Write the resolved state of a log as a base version of puts.
+
+    Returns the watermark ``(ts, seq)``: the newest version in the log. A read
+    of the base plus the log entries *newer* than the watermark
+    (:func:`read_compacted`) equals resolving the whole log, so older log files
+    can be dropped. Counters are stored with their summed value, which is why
+    increments at or before the watermark must not be read again.
+    """
+    mark = cells.agg(F.max(version()).alias("m")).first()["m"]
+    write_cells(compact(cells), path, mode="overwrite")
+    return None if mark is None else (int(mark["ts"]), int(mark["seq"]))
+
+
+def read_compacted(spark: SparkSession, base_path: str, log: DataFrame,
+                   watermark: tuple[int, int] | None) -> DataFrame:
+    """A compacted base plus the log entries newer than its watermark."""
+    base = read_cells(spark, base_path)
+    if watermark is None:
+        return append(base, log)
+    ts, seq = watermark
+    newer = log.filter((F.col("ts") > F.lit(ts)) | ((F.col("ts") == F.lit(ts)) & (F.col("seq") > F.lit(seq))))
+    return append(base, newer)

@@ -159,3 +159,17 @@ def test_create_drop_table(spark):
     assert spark.table("tbl_cells_test").count() == 1
     C.drop_table(spark, "tbl_cells_test")
     C.drop_table(spark, "tbl_cells_test")
+
+
+def test_compaction_equals_full_resolve(spark, tmp):
+    old = [("a", "c", "x", 1, 0, "put", "1", None), ("a", "c", "n", 2, 0, "increment", None, 5),
+           ("b", "c", "x", 1, 0, "put", "b", None), ("b", None, None, 3, 0, "delete_row", None, None),
+           ("c", "c", "x", 2, 0, "put", "c", None)]
+    new = [("a", "c", "n", 4, 0, "increment", None, 2), ("b", "c", "x", 5, 0, "put", "b2", None),
+           ("c", "c", "x", 6, 0, "delete_cell", None, None), ("a", "c", "x", 4, 1, "put", "2", None)]
+    old_log = log(spark, old)
+    mark = C.compact_to(old_log, f"{tmp}/base")
+    assert mark == (3, 0)
+    full = log(spark, old + new)
+    got = C.resolve(C.read_compacted(spark, f"{tmp}/base", full, mark))
+    assert rows(got, "row_key", "qualifier", "value") == rows(C.resolve(full), "row_key", "qualifier", "value")
