@@ -185,12 +185,28 @@ def _chunked(cur: DataFrame, reqs: DataFrame, delete: bool, num_chunks: int | No
 
 def check_and_mutate(cells: DataFrame, reqs: DataFrame, *, action: str = "put",
                      delete_scope: str = "cell", single_per_cell: bool = False,
-                     hot_cell_rows: int | None = 5_000_000, num_chunks: int | None = None) -> DataFrame:
+                     hot_cell_rows: int | None = 5_000_000, num_chunks: int | None = None,
+                     materialize: bool = True) -> DataFrame:
     """Accepted mutations of check-and-put (``action='put'``) or check-and-delete.
 
     ``reqs`` has the columns of :func:`requests`. Accepted deletes are written
-    as tombstones of ``delete_scope`` (``cell``, ``family`` or ``row``).
+    as tombstones of ``delete_scope`` (``cell``, ``family`` or ``row``). Like the
+    store operation it stands for, the decision is taken now: the accepted
+    mutations are checkpointed to the shared folder (``materialize=False``
+    keeps them lazy), which also cuts the lineage later reads plan over.
     """
+    out = _check_and_mutate(cells, reqs, action=action, delete_scope=delete_scope,
+                            single_per_cell=single_per_cell, hot_cell_rows=hot_cell_rows,
+                            num_chunks=num_chunks)
+    if not materialize:
+        return out
+    checkpoint_root(out.sparkSession)
+    return out.checkpoint(eager=True)
+
+
+def _check_and_mutate(cells: DataFrame, reqs: DataFrame, *, action: str, delete_scope: str,
+                      single_per_cell: bool, hot_cell_rows: int | None,
+                      num_chunks: int | None) -> DataFrame:
     delete = action == "delete"
     ship_package(cells.sparkSession)
     cur = _current(cells, reqs)
