@@ -99,3 +99,32 @@ def test_stream_change_tracking_replay_and_equivalence(spark, tmp):
     state = rows(C.resolve(C.read_cells(spark, cells).drop("batch_id")), "row_key", "value")
     last = ev.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("s"))
     assert state == rows(last.select(F.col("user_id").cast("string"), "s"))
+
+
+def test_stream_restart_picks_up_new_files_only(spark, tmp):
+    ev = split_in_time_order(spark, f"{tmp}/all", parts=4)
+    files = sorted((f for f in os.listdir(f"{tmp}/all") if f.endswith(".parquet")),
+                   key=lambda f: os.path.getmtime(os.path.join(f"{tmp}/all", f)))
+    os.makedirs(f"{tmp}/in")
+    now = time.time() - 500
+
+    def land(names, start):
+        for i, f in enumerate(names):  # copy files into the watched folder, oldest first
+            with open(os.path.join(f"{tmp}/all", f), "rb") as src, open(os.path.join(f"{tmp}/in", f), "wb") as dst:
+                dst.write(src.read())
+            os.utime(os.path.join(f"{tmp}/in", f), (now + start + i, now + start + i))
+
+    def run():
+        stream = SM.file_stream(spark, f"{tmp}/in", ev.schema, max_files_per_trigger=1)
+        muts = C.mutations(stream, row_key="user_id", family="c", qualifier=F.col("event_type"), kind=C.INCREMENT,
+                           delta=F.lit(1), ts=epoch_micros("ts"), seq=F.col("event_id"))
+        SM.append_to_files(muts, f"{tmp}/out", f"{tmp}/ck")
+
+    land(files[:2], 0)
+    run()
+    land(files[2:], 10)
+    run()
+    got = rows(C.resolve(C.read_cells(spark, f"{tmp}/out")), "row_key", "qualifier", "value")
+    want = ev.groupBy(F.col("user_id").cast("string"), "event_type").agg(F.count("*").cast("string"))
+    assert got == rows(want)
+    assert C.read_cells(spark, f"{tmp}/out").count() == ev.count()
