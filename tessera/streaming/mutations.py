@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.operators import cells as C
-from tessera.session import ship_package
+from tessera.session import checkpoint_root, ship_package
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, *, fmt: str = "parquet",
@@ -104,25 +105,32 @@ _ACCEPTED = T.StructType([
 _STATE = T.StructType([T.StructField("present", T.BooleanType()), T.StructField("value", T.StringType())])
 
 
+_OUT_COLS = ["row_key", "family", "qualifier", "ts", "seq", "value"]
+
+
 def _cas_state_fn(delete: bool):
+    """Per cell and micro-batch: fold the requests in version order from the
+    state (seeded on the cell's first batch), emit the accepted ones."""
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         if state.exists:
             present, cur = state.get
             cur = cur if present else None
         else:
-            cur = None
-        parts = [b for b in batches]
-        pdf = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-        pdf = pdf.sort_values(["ts", "seq"], kind="stable")
-        keep = []
-        for exp, val in zip(pdf["expected"].tolist(), pdf["value"].tolist()):
-            ok = (cur is None and exp is None) or (cur is not None and exp is not None and cur == exp)
-            keep.append(ok)
-            if ok:
-                cur = None if delete else val
+            seed = pdf["_seed"].iat[0]
+            cur = None if seed is None or (isinstance(seed, float) and np.isnan(seed)) else seed
+        order = np.lexsort((pdf["seq"].to_numpy(), pdf["ts"].to_numpy()))
+        exp = pdf["expected"].to_numpy()[order]
+        val = pdf["value"].to_numpy()[order]
+        keep = np.zeros(len(order), dtype=bool)
+        for i in range(len(order)):
+            e = exp[i]
+            if (cur is None and e is None) or (cur is not None and cur == e):
+                keep[i] = True
+                cur = None if delete else val[i]
         state.update((cur is not None, cur))
-        out = pdf.loc[keep, ["row_key", "family", "qualifier", "ts", "seq", "value"]]
-        yield out
+        yield pdf.iloc[order[keep]][_OUT_COLS]
 
     return fn
 
@@ -141,25 +149,17 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
     ship_package(stream_reqs.sparkSession)
     reqs = stream_reqs
     if current is not None:
-        seed = current.select("row_key", "family", "qualifier", F.col("value").alias("_seed"))
+        # the values at the start, taken once: a stream-static join would
+        # otherwise recompute the static side on every micro-batch
+        checkpoint_root(stream_reqs.sparkSession)
+        seed = current.select("row_key", "family", "qualifier", F.col("value").alias("_seed")) \
+            .checkpoint(eager=True)
         reqs = reqs.join(seed, ["row_key", "family", "qualifier"], "left")
     else:
         reqs = reqs.withColumn("_seed", F.lit(None).cast("string"))
-    # The seed is folded in as a first, always-accepted request on a cell's first batch.
     seeded = reqs.select("row_key", "family", "qualifier", "ts", "seq", "expected", "value", "_seed")
-
-    def fn(key, batches, state: GroupState):
-        inner = _cas_state_fn(delete)
-        if not state.exists:
-            parts = list(batches)
-            pdf = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-            seed_val = pdf["_seed"].iloc[0] if len(pdf) else None
-            state.update((seed_val is not None, seed_val))
-            batches = iter([pdf])
-        yield from inner(key, (b.drop(columns=["_seed"]) for b in batches), state)
-
     return seeded.groupBy("row_key", "family", "qualifier").applyInPandasWithState(
-        fn, _ACCEPTED, _STATE, "append", GroupStateTimeout.NoTimeout)
+        _cas_state_fn(delete), _ACCEPTED, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def accepted_as_cells(accepted: DataFrame, *, action: str = "put", delete_scope: str = "cell") -> DataFrame:
