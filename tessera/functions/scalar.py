@@ -29,17 +29,21 @@ def _col(c: Column | str) -> Column:
 def java_string_hash(c: Column | str) -> Column:
     """``String.hashCode`` of a string column, as a 32-bit int.
 
-    The JVM hashes UTF-16 code units: h = 31*h + unit. Encoding to UTF-16BE and
-    reading the hex four digits at a time yields exactly those units (surrogate
-    pairs included); the fold keeps 32 bits and then folds the sign.
+    The JVM hashes UTF-16 code units: h = 31*h + unit (mod 2^32). The string is
+    folded code point by code point; a code point above U+FFFF contributes its
+    two surrogate units. The result's sign is folded like Java's int.
     """
-    units = F.regexp_extract_all(F.hex(F.encode(_col(c), "UTF-16BE")), F.lit("(.{4})"), 1)
     mask = F.lit(0xFFFFFFFF).cast("bigint")
-    h = F.aggregate(
-        F.transform(units, lambda u: F.conv(u, 16, 10).cast("bigint")),
-        F.lit(0).cast("bigint"),
-        lambda acc, x: (acc * 31 + x).bitwiseAND(mask),
-    )
+
+    def step(acc: Column, ch: Column) -> Column:
+        cp = F.ascii(ch).cast("bigint")
+        high = F.lit(0xD800) + F.shiftright(cp - F.lit(0x10000), 10)
+        low = F.lit(0xDC00) + (cp - F.lit(0x10000)).bitwiseAND(F.lit(0x3FF))
+        pair = (((acc * 31 + high).bitwiseAND(mask)) * 31 + low).bitwiseAND(mask)
+        return F.when(cp > 0xFFFF, pair).otherwise((acc * 31 + cp).bitwiseAND(mask))
+
+    chars = F.filter(F.split(_col(c), ""), lambda ch: ch != "")
+    h = F.aggregate(chars, F.lit(0).cast("bigint"), step)
     return F.when(h >= F.lit(2**31), h - F.lit(2**32)).otherwise(h).cast("int")
 
 
