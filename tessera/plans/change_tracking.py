@@ -99,43 +99,41 @@ def stream_change_tracking(stream: DataFrame, *, key: str, status: Column, ts: s
                            root: str, checkpoint: str, family: str = "c") -> tuple[str, str]:
     """Change tracking over a stream of observations: one step per micro-batch.
 
-    Each batch is reduced to the last status per key, compared with the state
-    resolved from the cells written by earlier batches (``except``), and the
-    changed rows are written as cells and as history rows keyed with the
-    batch's newest event time. Both outputs go to the batch's own
-    ``batch_id=<n>`` folder with overwrite, so a replayed batch replaces
-    itself and earlier batches are never read back changed. Returns the
-    cells and history paths.
+    Each batch is reduced to the last status per key and compared with the
+    previous state version (``except``); the changed rows are written as
+    cells and as history rows keyed with the batch's newest event time, and
+    the merged state is written as the next version. Every output of batch
+    ``n`` goes to its own ``batch_id=<n>`` / ``v=<n>`` folder with overwrite,
+    so a replayed batch replaces itself, and each batch reads one state
+    version rather than the whole history. Returns the cells and history paths.
     """
     from tessera.streaming.mutations import foreach_batch
 
-    cells_path, hist_path = f"{root}/cells", f"{root}/history"
+    cells_path, hist_path, state_path = f"{root}/cells", f"{root}/history", f"{root}/state"
+    state_schema = "row_key string, status string"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        try:
+            prev = spark.read.schema(state_schema).parquet(f"{state_path}/v={batch_id - 1}")
+        except Exception:  # noqa: BLE001 - first batch: no state yet
+            prev = spark.createDataFrame([], state_schema)
         obs = (batch.groupBy(F.col(key).cast("string").alias("row_key"))
                .agg(F.max_by(status, F.struct(F.col(ts), F.col(tiebreak))).alias("status"),
                     F.max(ts).alias("_last_ts")))
         step_ts = obs.agg(F.max("_last_ts")).first()[0]
-        if step_ts is None:
-            return
-        try:
-            earlier = C.read_cells(spark, cells_path).filter(F.col("batch_id") < batch_id)
-            prev = C.resolve(earlier.drop("batch_id")).select("row_key", F.col("value").alias("_prev"))
-        except Exception:  # noqa: BLE001 - no earlier batch written yet
-            prev = None
-        changed = obs.select("row_key", "status")
-        if prev is not None:
-            changed = (changed.join(prev, "row_key", "left")
-                       .filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("status")))
-                       .select("row_key", "status"))
-        changed = changed.persist()
-        ts_lit = F.lit(step_ts)
-        C.mutations(changed, row_key="row_key", family=family, qualifier="status", value="status",
-                    ts=epoch_micros(ts_lit), seq=F.lit(batch_id)) \
-            .write.mode("overwrite").parquet(f"{cells_path}/batch_id={batch_id}")
-        changed.select(history_key(F.col("row_key"), ts_lit).alias("id_ts"), "status") \
-            .write.mode("overwrite").parquet(f"{hist_path}/batch_id={batch_id}")
+        new = obs.select("row_key", "status")
+        changed = changed_rows(new, prev).persist()
+        if step_ts is not None:
+            ts_lit = F.lit(step_ts)
+            C.mutations(changed, row_key="row_key", family=family, qualifier="status", value="status",
+                        ts=epoch_micros(ts_lit), seq=F.lit(batch_id)) \
+                .write.mode("overwrite").parquet(f"{cells_path}/batch_id={batch_id}")
+            changed.select(history_key(F.col("row_key"), ts_lit).alias("id_ts"), "status") \
+                .write.mode("overwrite").parquet(f"{hist_path}/batch_id={batch_id}")
+        merged = (prev.join(new.select("row_key", F.col("status").alias("_new")), "row_key", "full_outer")
+                  .select("row_key", F.coalesce("_new", "status").alias("status")))
+        merged.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
         changed.unpersist()
 
     foreach_batch(stream, step, checkpoint)
