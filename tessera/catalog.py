@@ -950,7 +950,9 @@ def stream_check_and_delete(spark, d):
 SELECT event_id, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey""")
 def stream_enrich(spark, d):
     from tessera.streaming.mutations import append_to_files, stream_enrich as enrich
-    wide = C.scan_wide(B.customer_cells(spark, d), key_name="c_custkey", qualifiers=["c_name", "c_mktsegment"])
+    store = scratch_path(spark, "customer-cells")
+    C.write_cells(B.customer_cells(spark, d), store)  # the stored table the stream reads live
+    wide = C.scan_wide(C.read_cells(spark, store), key_name="c_custkey", qualifiers=["c_name", "c_mktsegment"])
     s = _stream_events(spark, d).select("event_id", "user_id",
                                         F.col("user_id").cast("string").alias("c_custkey"))
     root = scratch_path(spark, "stream-enrich")
