@@ -150,7 +150,7 @@ def source_named_query(spark, d):
     v = _views(spark, d, "orders")
     queries = {k: q.format(**v) for k, q in NAMED_QUERIES.items()}
     return SQ.named_query(spark, queries, "orders_since",
-                          args={"start": datetime.datetime(1997, 1, 1)})
+                          args={"start": datetime.date(1997, 1, 1)})  # a DATE: no time zone involved
 
 
 @register("source_dispatch", """

@@ -59,6 +59,13 @@ def simulated_status(id_col: Column, step: int, seed: int = 7) -> Column:
     return F.pmod(F.xxhash64(id_col, F.lit(step), F.lit(seed)), F.lit(2)).cast("string")
 
 
+def _wall_time(epoch_us: int) -> Column:
+    """Epoch microseconds as a zone-free timestamp (the wall time in UTC)."""
+    import datetime as _dt
+    wall = _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(epoch_us))
+    return F.lit(wall.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def run_steps(spark: SparkSession, initial: DataFrame, updates: Iterable[tuple[int, DataFrame]], *,
               key: str, status: str, family: str = "c") -> tuple[DataFrame, DataFrame]:
     """Iterate: ``except`` against the state, upsert cells, append history.
@@ -76,8 +83,7 @@ def run_steps(spark: SparkSession, initial: DataFrame, updates: Iterable[tuple[i
 
     initial.select(key, status).write.mode("overwrite").parquet(f"{state_path}/v=0")
     C.write_cells(to_cells(initial, 0), cells_path)
-    history_key_ts = F.timestamp_seconds(F.lit(0))
-    initial.select(history_key(F.col(key), history_key_ts).alias("id_ts"), status) \
+    initial.select(history_key(F.col(key), _wall_time(0)).alias("id_ts"), status) \
         .write.mode("append").parquet(hist_path)
     version = 0
     for step_ts, update in updates:
@@ -86,7 +92,7 @@ def run_steps(spark: SparkSession, initial: DataFrame, updates: Iterable[tuple[i
                   .select(key, F.coalesce("_new", status).alias(status)))
         changed = changed_rows(merged, prev).persist()
         C.write_cells(to_cells(changed, step_ts), cells_path)
-        changed.select(history_key(F.col(key), F.timestamp_seconds(F.lit(step_ts // 1_000_000))).alias("id_ts"),
+        changed.select(history_key(F.col(key), _wall_time(step_ts)).alias("id_ts"),
                        status).write.mode("append").parquet(hist_path)
         version += 1
         merged.write.mode("overwrite").parquet(f"{state_path}/v={version}")
@@ -121,11 +127,13 @@ def stream_change_tracking(stream: DataFrame, *, key: str, status: Column, ts: s
         obs = (batch.groupBy(F.col(key).cast("string").alias("row_key"))
                .agg(F.max_by(status, F.struct(F.col(ts), F.col(tiebreak))).alias("status"),
                     F.max(ts).alias("_last_ts")))
-        step_ts = obs.agg(F.max("_last_ts")).first()[0]
+        # the batch's newest time travels as text, cast back to the column's own
+        # type: a Python datetime literal would pick up a time zone on the way
+        step_ts = obs.agg(F.max("_last_ts").cast("string")).first()[0]
         new = obs.select("row_key", "status")
         changed = changed_rows(new, prev).persist()
         if step_ts is not None:
-            ts_lit = F.lit(step_ts)
+            ts_lit = F.lit(step_ts).cast(batch.schema[ts].dataType)
             C.mutations(changed, row_key="row_key", family=family, qualifier="status", value="status",
                         ts=epoch_micros(ts_lit), seq=F.lit(batch_id)) \
                 .write.mode("overwrite").parquet(f"{cells_path}/batch_id={batch_id}")
