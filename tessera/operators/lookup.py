@@ -7,8 +7,8 @@ qualifier. Missing, null or empty lookups give null; an empty stored value
 comes back as ``""``.
 
 The dictionary is one row's cells, so it is broadcast only after its entry
-count is checked against ``broadcast_limit``; above it the join shuffles
-(and AQE may still broadcast from run-time sizes).
+count and text size are checked; above the limits the join shuffles (and AQE
+may still broadcast from run-time sizes).
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from tessera.operators import cells as C
 
 DEFAULT_SUFFIX = "_lookup"
 DEFAULT_BROADCAST_LIMIT = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def dictionary(cells: DataFrame, *, row_key: str, family: str) -> DataFrame:
@@ -32,11 +33,21 @@ def dictionary(cells: DataFrame, *, row_key: str, family: str) -> DataFrame:
 
 def lookup_column(df: DataFrame, column: str, cells: DataFrame, *, row_key: str, family: str,
                   suffix: str = DEFAULT_SUFFIX,
-                  broadcast_limit: int | None = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Add ``<column><suffix>`` holding the dictionary value for the row's value."""
+                  broadcast_limit: int | None = DEFAULT_BROADCAST_LIMIT,
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Add ``<column><suffix>`` holding the dictionary value for the row's value.
+
+    The dictionary is broadcast only when one aggregate proves it small: at
+    most ``broadcast_limit`` entries and ``broadcast_bytes`` of key and value
+    text; otherwise the join shuffles.
+    """
     dic = dictionary(cells, row_key=row_key, family=family)
-    if broadcast_limit is not None and dic.count() <= broadcast_limit:
-        dic = F.broadcast(dic)
+    if broadcast_limit is not None:
+        n, size = dic.agg(F.count(F.lit(1)),
+                          F.coalesce(F.sum(F.octet_length("_lk_qualifier") + F.coalesce(
+                              F.octet_length("_lk_value"), F.lit(0))), F.lit(0))).first()
+        if n <= broadcast_limit and size <= broadcast_bytes:
+            dic = F.broadcast(dic)
     probe = jvm_trim(F.col(f"`{column}`").cast("string"))
     joined = df.join(dic, (probe == F.col("_lk_qualifier")) & (probe != F.lit("")), "left")
     return joined.withColumnRenamed("_lk_value", f"{column}{suffix}").drop("_lk_qualifier")
