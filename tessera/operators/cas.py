@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,33 +103,40 @@ _MAP_SCHEMA = T.StructType([
 _START_SCHEMA = "row_key string, family string, qualifier string, chunk int, start string"
 
 
-def _segments(pdf: pd.DataFrame):
-    """Consecutive runs of one cell in a sorted batch: (key, start, stop)."""
-    keys = list(zip(pdf["row_key"], pdf["family"], pdf["qualifier"]))
-    start = 0
-    for i in range(1, len(keys) + 1):
-        if i == len(keys) or keys[i] != keys[start]:
-            yield keys[start], start, i
-            start = i
+def _chunk_maps(batches: Iterator[pd.DataFrame], delete: bool) -> Iterator[pd.DataFrame]:
+    """Per cell segment of a partition: the chunk's transfer map.
 
+    Batches stream through; only the current segment's expected and new
+    values are kept (as lists) until the segment ends, then folded backwards.
+    """
+    out: list[tuple] = []
+    seg_key, seg_chunk, exp_buf, new_buf = None, None, [], []
 
-def _chunk_maps(batches: Iterator[pd.DataFrame], delete: bool) -> Iterator[pd.DataFrame]:
-    """Per cell segment of a partition: the chunk's transfer map (backward pass)."""
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if pdf.empty:
-        return
-    out = []
-    for (rk, fam, q), a, b in _segments(pdf):
-        exp = pdf["expected"].iloc[a:b].tolist()
-        new = [_ABSENT] * (b - a) if delete else pdf["value"].iloc[a:b].tolist()
-        chunk = int(pdf["chunk"].iloc[a])
+    def close():
         d: dict = {}
-        for e, n in zip(reversed(exp), reversed(new)):
+        for e, n in zip(reversed(exp_buf), reversed(new_buf)):
             e = _ABSENT if e is None else e
             n = _ABSENT if n is None else n
             d[e] = d.get(n, n)
-        out.append((rk, fam, q, chunk, list(d.keys()), list(d.values())))
-    yield pd.DataFrame(out, columns=["row_key", "family", "qualifier", "chunk", "keys", "vals"])
+        out.append((*seg_key, seg_chunk, list(d.keys()), list(d.values())))
+
+    for pdf in batches:
+        keys = list(zip(pdf["row_key"], pdf["family"], pdf["qualifier"]))
+        exp, chunk = pdf["expected"].tolist(), pdf["chunk"].tolist()
+        new = [None] * len(pdf) if delete else pdf["value"].tolist()
+        for i, k in enumerate(keys):
+            if k != seg_key:
+                if seg_key is not None:
+                    close()
+                seg_key, seg_chunk, exp_buf, new_buf = k, int(chunk[i]), [], []
+            exp_buf.append(exp[i])
+            new_buf.append(_ABSENT if delete else new[i])
+        if out:
+            yield pd.DataFrame(out, columns=["row_key", "family", "qualifier", "chunk", "keys", "vals"])
+            out = []
+    if seg_key is not None:
+        close()
+        yield pd.DataFrame(out, columns=["row_key", "family", "qualifier", "chunk", "keys", "vals"])
 
 
 def _chunk_starts(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,22 +154,26 @@ def _chunk_starts(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _replay(batches: Iterator[pd.DataFrame], delete: bool) -> Iterator[pd.DataFrame]:
-    """Replay every chunk of a cell from its start state; keep accepted requests."""
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if pdf.empty:
-        return
-    keep = [False] * len(pdf)
-    exp, new, start = pdf["expected"].tolist(), pdf["value"].tolist(), pdf["start"].tolist()
-    for _key, a, b in _segments(pdf):
-        s = start[a]
-        for i in range(a, b):
+    """Replay every chunk of a cell from its start state; keep accepted requests.
+
+    Rows arrive sorted by (cell, chunk, version); each carries its chunk's
+    start state, so batches stream through with one value held.
+    """
+    seg, cur = None, None
+    for pdf in batches:
+        keys = list(zip(pdf["row_key"], pdf["family"], pdf["qualifier"], pdf["chunk"]))
+        exp, new, start = pdf["expected"].tolist(), pdf["value"].tolist(), pdf["start"].tolist()
+        keep = np.zeros(len(pdf), dtype=bool)
+        for i, k in enumerate(keys):
+            if k != seg:
+                seg, cur = k, start[i]
             e = _ABSENT if exp[i] is None else exp[i]
-            if s == e:
+            if cur == e:
                 keep[i] = True
-                s = _ABSENT if delete or new[i] is None else new[i]
-    out = pdf.loc[keep, ["row_key", "family", "qualifier", "ts", "seq", "value"]].copy()
-    out["accepted"] = True
-    yield out
+                cur = _ABSENT if delete or new[i] is None else new[i]
+        out = pdf.loc[keep, ["row_key", "family", "qualifier", "ts", "seq", "value"]].copy()
+        out["accepted"] = True
+        yield out
 
 
 def _chunked(cur: DataFrame, reqs: DataFrame, delete: bool, num_chunks: int | None) -> DataFrame:
