@@ -173,3 +173,13 @@ def test_compaction_equals_full_resolve(spark, tmp):
     full = log(spark, old + new)
     got = C.resolve(C.read_compacted(spark, f"{tmp}/base", full, mark))
     assert rows(got, "row_key", "qualifier", "value") == rows(C.resolve(full), "row_key", "qualifier", "value")
+
+
+def test_hot_row_spreads_over_files(spark, tmp):
+    hot = [("hot", "c", f"q{i:04d}", 1, 0, "put", str(i), None) for i in range(400)]
+    cold = [(f"k{i}", "c", "q", 1, 0, "put", "v", None) for i in range(40)]
+    C.write_cells(log(spark, hot + cold), f"{tmp}/cells", num_partitions=4)
+    back = C.read_cells(spark, f"{tmp}/cells")
+    files_with_hot = back.filter(F.col("row_key") == "hot").select(F.input_file_name()).distinct().count()
+    assert files_with_hot > 1
+    assert back.count() == 440
