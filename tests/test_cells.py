@@ -183,3 +183,15 @@ def test_hot_row_spreads_over_files(spark, tmp):
     files_with_hot = back.filter(F.col("row_key") == "hot").select(F.input_file_name()).distinct().count()
     assert files_with_hot > 1
     assert back.count() == 440
+
+
+def test_scan_ranges_and_rows(spark):
+    entries = [(k, "c", q, 1, 0, "put", f"{k}{q}", None) for k in ["0a", "3b", "5c", "9d"] for q in ["y", "x"]]
+    cells = log(spark, entries)
+    tagged = dict(rows(C.scan_ranges(cells, ["3", "6", "9"]).select("row_key", "range_id").distinct()))
+    assert tagged == {"0a": 0, "3b": 1, "5c": 1, "9d": 3}
+    nested = {r["row_key"]: [(c["qualifier"], c["value"]) for c in r["cells"]]
+              for r in C.scan_rows(cells, start_row="3", stop_row="9").collect()}
+    assert nested == {"3b": [("x", "3bx"), ("y", "3by")], "5c": [("x", "5cx"), ("y", "5cy")]}
+    mapped = rows(C.scan_map(cells, lambda df: df.groupBy("qualifier").count()))
+    assert mapped == [("x", 4), ("y", 4)]
