@@ -19,7 +19,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def or_match_pairs(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+HOT_KEY_BROADCAST_LIMIT = 1_000_000
+
+
+def _salted_sides(exploded: DataFrame, threshold: int, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Split every key held by more than ``threshold`` records into ``salts``
+    sub-joins: left rows take a salt from a hash of the record, right rows are
+    replicated once per salt; other keys keep salt 0."""
+    hot = (exploded.groupBy("_rule", "_h").count().filter(F.col("count") > threshold)
+           .select("_rule", "_h", F.lit(True).alias("_hot")))
+    if hot.count() <= HOT_KEY_BROADCAST_LIMIT:  # the hot set is small by construction; checked
+        hot = F.broadcast(hot)
+    tagged = exploded.join(hot, ["_rule", "_h"], "left")
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    left = tagged.select("_rule", "_h", F.col("rec").alias("l"),
+                         F.when(is_hot, F.pmod(F.xxhash64("rec"), F.lit(salts))).otherwise(F.lit(0))
+                         .cast("bigint").alias("_salt"))
+    right = tagged.select("_rule", "_h", F.col("rec").alias("r"),
+                          F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
+                                    .otherwise(F.array(F.lit(0))).cast("array<bigint>")).alias("_salt"))
+    return left, right
+
+
+def or_match_pairs(df: DataFrame, rules: Mapping[str, Column], *,
+                   salt_hot_keys: int | None = None, salts: int = 16) -> DataFrame:
     """Ordered pairs ``(l, r)`` of records of ``df`` equal on at least one rule key.
 
     ``rules`` maps a rule name to a key expression over ``df``'s columns; a null
@@ -30,6 +53,10 @@ def or_match_pairs(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     hash of that key; the join is on ``(rule, hash)`` and the exact keys are
     re-derived from both records afterwards, so hash collisions never leak
     into the result and long keys (whole texts) are not shuffled twice.
+
+    ``salt_hot_keys``: keys held by more than this many records are split into
+    ``salts`` sub-joins (left side salted, right side replicated), so one hot
+    key's pairs are produced by many tasks without relying on AQE's skew join.
     """
     names = list(rules)
     cols = df.columns
@@ -40,8 +67,12 @@ def or_match_pairs(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
         F.inline(F.array(*[F.struct(F.lit(i).alias("_rule"), h.alias("_h")) for i, h in enumerate(hashed)])),
     ).filter(F.col("_h").isNotNull())
 
-    pairs = (exploded.select("_rule", "_h", F.col("rec").alias("l"))
-             .join(exploded.select("_rule", "_h", F.col("rec").alias("r")), ["_rule", "_h"]))
+    if salt_hot_keys is not None:
+        left, right = _salted_sides(exploded, salt_hot_keys, salts)
+        pairs = left.join(right, ["_rule", "_h", "_salt"]).drop("_salt")
+    else:
+        pairs = (exploded.select("_rule", "_h", F.col("rec").alias("l"))
+                 .join(exploded.select("_rule", "_h", F.col("rec").alias("r")), ["_rule", "_h"]))
 
     def keys_of(side: str) -> list[Column]:
         # the rule expressions evaluated against one side's record fields

@@ -200,3 +200,14 @@ def test_change_history_window_is_partitioned_by_key(spark):
     plan = _executed_plan(CT.change_history(obs))
     window_lines = [l for l in plan.split("\n") if "Window [" in l]
     assert window_lines and all("windowspecdefinition(key" in l for l in window_lines)
+
+
+def test_or_match_salted_hot_keys_equals_brute_force(spark):
+    # one email shared by most records: a hot key
+    recs = [(i, f"n{i % 9}" if i % 4 else None, "same@x" if i % 5 else f"e{i}", f"p{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(recs, "id int, name string, email string, phone string")
+    rules = {"name": F.col("name"), "email": F.col("email"), "phone": F.col("phone")}
+    pairs = match.or_match_pairs(df, rules, salt_hot_keys=5, salts=4)
+    got = [(r[0], r[1]) for r in pairs.select("l.id", "r.id").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == _brute_pairs(recs, [lambda r: r[1], lambda r: r[2], lambda r: r[3]])
