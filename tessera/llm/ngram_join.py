@@ -17,12 +17,16 @@ How the job runs:
    keys are the postings of near copies. The bitmap lets false positives
    through (more of them if it fills up, which costs time, not results).
 3. In each bucket of a key all members are compared exactly with one hub, the
-   member that shares most postings; links give connected components. Only
-   members that end up in another component than the bucket's hub are compared
-   with the rest of the bucket, after two lossless tests: sizes, and the
-   triangle inequality of the Jaccard distance over the known distances to
-   the hub. So no all-pairs list is built within a group of near copies, and
-   no link that could change a component is skipped.
+   member that shares most postings; links give connected components. Where
+   members stay outside their hub's component, the nearest of them becomes the
+   group's pivot and is compared with all members, too.
+4. What is still apart from its pivot p is compared with other members by
+   differences: as R xor S = (R xor p) xor (S xor p), two similar sets of which
+   one isn't similar to p must share an element of their differences from p,
+   and one among the first D + 1 in any fixed order (prefix filter; elements
+   outside p come first, as they are the rare ones). So no all-pairs list is
+   built within a group of near copies, and no link that could change a
+   component is skipped.
 
 Texts with equal sets form one class and take part once. Hashes of 64 bits
 stand for shingles and sets (a false match of two given sets has a chance near
@@ -259,13 +263,30 @@ def _sets(df: DataFrame, words: int) -> DataFrame:
     return df.mapInArrow(run, "set_key long, grams array<long>")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, shared, total, linked) for pairs (a, b): sizes of intersection and union, exactly."""
-    left, right = (sets.select(F.col("set_key").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b")
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with both sets. A short list of pairs is broadcast, so that only b's sets move to a's."""
+    pairs = small(pairs, BROADCAST_ROWS)
+    held = sets.select(F.col("set_key").alias("b"), F.col("grams").alias("grams_b")).join(pairs, "b")
+    first = pairs.select("a").distinct()
+    own = sets.join(first.withColumnRenamed("a", "set_key"), "set_key", "left_semi").select(F.col("set_key").alias("a"), F.col("grams").alias("grams_a"))
+    return held.join(own, "a")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, prefix: bool = False) -> DataFrame:
+    """(a, b, shared, total, linked) for pairs (a, b): sizes of intersection and union, exactly.
+
+    With ``prefix`` also the first elements of b's difference from a, as many
+    as a pair with b can differ in, plus one.
+    """
+    both = _with_sets(pairs, sets)
     shared = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
-    counted = both.select("a", "b", shared.alias("shared"), (F.size("grams_a") + F.size("grams_b")).cast("long").alias("sizes"))
-    return counted.select("a", "b", "shared", (F.col("sizes") - F.col("shared")).alias("total")).withColumn("linked", F.col("shared") * 100 >= F.col("total") * percent)
+    kept = ["a", "b", shared.alias("shared"), (F.size("grams_a") + F.size("grams_b")).cast("long").alias("sizes")]
+    if prefix:
+        apart = F.concat(F.sort_array(F.array_except("grams_b", "grams_a")), F.sort_array(F.array_except("grams_a", "grams_b")))
+        most = F.floor(F.size("grams_b") * (100 - percent) / percent).cast("int")
+        kept.append(F.slice(apart, F.lit(1), most + 1).alias("first"))
+    counted = both.select(*kept).withColumn("total", F.col("sizes") - F.col("shared")).drop("sizes")
+    return counted.withColumn("linked", F.col("shared") * 100 >= F.col("total") * percent)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -288,13 +309,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _labelled(pairs: DataFrame, labels: DataFrame, end: str) -> DataFrame:
+    """``pairs`` with the component of one end as ``label_<end>``; a node without links is its own."""
+    named = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    return pairs.join(named, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Link documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more.
 
     ``docs`` has ``doc_id`` and ``text``. Returns for each row ``doc_id``,
     ``n_shingles`` (set size), ``component_id`` (smallest doc_id reachable by
     links, its own included), ``class_id`` (smallest doc_id with an equal set)
-    and ``n_links`` (links to other classes that were verified).
+    and ``n_links`` (links to other classes
+    that were found on the way; not all links within a group are looked at).
     See the module's text for nulls, empty texts, repeated rows and empty tables.
     """
     ship(docs)
@@ -319,28 +347,35 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     stars = materialise(buckets.where("hub <> set_key").select(F.col("hub").alias("a"), F.col("set_key").alias("b")).distinct(), "stars")
     nodes = buckets.select("set_key").distinct().join(sizes, "set_key")
     wanted = materialise(nodes.select(F.col("class_id").alias("doc_id")), "wanted")
-    sets = materialise(_sets(base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi"), words).dropDuplicates(["set_key"]), "sets")
-
-    checked = materialise(_verify(stars, sets, percent), "checked")
-    labels = components(checked.where("linked"))
-
-    # members outside their hub's component meet the rest of the bucket
-    apart = checked.select(F.col("a").alias("hub"), F.col("b").alias("set_key"), (1 - F.col("shared") / F.col("total")).alias("far"))
-    placed = (buckets.join(labels.select(F.col("node").alias("set_key"), "label"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
-              .join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub")))
-    placed = materialise(placed.join(apart, ["hub", "set_key"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))).join(sizes.select("set_key", "size"), "set_key"), "placed")
-    strays = placed.where("label <> hub_label").select("seg_key", F.col("set_key").alias("a"), F.col("label").alias("label_a"), F.col("far").alias("far_a"), F.col("size").alias("size_a"))
-    others = placed.where("hub <> set_key").select("seg_key", F.col("set_key").alias("b"), "label", "hub_label", "far", "size")
-    slack = 1 - percent / 100 + 1e-9
-    met = (strays.join(others, "seg_key")
-           .where((F.col("label_a") != F.col("label")) & ((F.col("label") == F.col("hub_label")) | (F.col("a") < F.col("b"))))
-           .where(F.abs(F.col("far_a") - F.col("far")) <= slack)
-           .where(F.least("size_a", "size") * 100 >= F.greatest("size_a", "size") * percent)
-           .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = materialise(_verify(materialise(met, "met"), sets, percent).where("linked"), "more")
-    links = checked.where("linked").select("a", "b").union(more.select("a", "b"))
+    sets = materialise(_sets(base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi"), words), "sets")
+
+    checked = materialise(_verify(stars, sets, percent).distinct(), "checked")
+    links = checked.where("linked").select("a", "b")
+    labels = components(links)
+
+    # groups of which a member is outside its hub's component: the nearest such member is the pivot
+    outside = _labelled(_labelled(checked, labels, "a"), labels, "b").where("label_a <> label_b")
+    pivots = materialise(outside.groupBy("a").agg(F.min(F.struct((F.col("total") - F.col("shared")).alias("far"), "b")).alias("top")).select("a", F.col("top.b").alias("pivot")), "pivots")
+    grouped = checked.select("a", "b").union(pivots.select("a", F.col("a").alias("b"))).join(pivots, "a")
+    around = materialise(grouped.where("pivot <> b").select(F.col("pivot").alias("a"), "b").distinct(), "around")
+    turned = materialise(_verify(around, sets, percent, prefix=True).dropDuplicates(["a", "b"]), "turned")
+    links = links.union(turned.where("linked").select("a", "b"))
+    labels = components(links)
+
+    # what is apart from its pivot shares an early element of the differences with what it links with
+    members = materialise(_labelled(_labelled(turned, labels, "a"), labels, "b").join(sizes.select(F.col("set_key").alias("b"), "size"), "b").select("a", "b", "label_b", (F.col("label_a") != F.col("label_b")).alias("apart"), "size", "first"), "members")
+    open_groups = members.where("apart").select("a").distinct()
+    early = materialise(members.join(open_groups, "a", "left_semi").select("a", "b", "label_b", "apart", "size", F.explode("first").alias("element")), "early")
+    one, other = early.where("apart").alias("x"), early.alias("y")
+    met = (one.join(other, (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")))
+           .where((F.col("x.label_b") != F.col("y.label_b")) & (~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))))
+           .where(F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent)
+           .select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct())
+    more = materialise(_verify(materialise(met, "met"), sets, percent).where("linked").select("a", "b").distinct(), "more")
     if more.limit(1).count():
+        links = links.union(more)
         labels = components(links)
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     ends = links.select(F.col("a").alias("set_key")).union(links.select(F.col("b").alias("set_key"))).groupBy("set_key").agg(F.count("*").alias("n_links"))
     classes = materialise(sizes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")).join(ends, "set_key", "left"), "classed")
