@@ -42,10 +42,12 @@ def small(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
-def cut_spans(lines: Column, spans: Column) -> Column:
+def cut_spans(lines: Column, spans: Column, separator: str = "\n") -> Column:
     """The text of ``lines`` (array) without the line spans [first, last] in ``spans``, an array sorted by ``first``.
 
     Takes the slices between the spans, so its work is linear in the lines.
+    Both should be plain columns: an expression would be computed again for
+    every slice.
     """
     n = F.size(spans)
 
@@ -54,7 +56,7 @@ def cut_spans(lines: Column, spans: Column) -> Column:
         end = F.when(i < n, F.get(spans, i)["first"]).otherwise(F.size(lines))
         return F.slice(lines, begin + 1, F.greatest(end - begin, F.lit(0)))
 
-    return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n), piece)), "\n")
+    return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n), piece)), separator)
 
 
 def merged_spans(covered: DataFrame, key: list[str], extra: dict[str, str] | None = None) -> DataFrame:

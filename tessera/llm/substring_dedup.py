@@ -77,13 +77,6 @@ def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -> D
     later = held.join(kept, "digest").where("rank > kept").select("doc_id", "text_key", "first", F.col("first").alias("last"), "start", "stop").distinct()
     spans = merged_spans(later, ["doc_id", "text_key"], {"start": "min", "stop": "max"}).withColumnRenamed("doc_id", "span_id").withColumnRenamed("text_key", "span_key")
     on = (F.coalesce(F.col("row.doc_id").cast("long"), F.lit(_LAST)) == F.col("span_id")) & (F.xxhash64("row.text") == F.col("span_key"))
-    out = docs.select(F.struct("*").alias("row")).join(spans, on, "left").select("row", "spans")
-    pieces = F.split("row.text", f"\\Q{separator}\\E", -1)
-    joined = cut_spans(pieces, F.col("spans"))
-    if separator != "\n":
-        joined = F.array_join(_kept(pieces), separator)
-    return out.withColumn("clean_text", F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(joined))
-
-
-def _kept(pieces):
-    return F.filter(pieces, lambda _, i: ~F.exists("spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
+    out = docs.select(F.struct("*").alias("row")).join(spans, on, "left").select("row", "spans", F.split("row.text", f"\\Q{separator}\\E", -1).alias("pieces"))
+    joined = cut_spans(F.col("pieces"), F.col("spans"), separator)
+    return out.select("row", "spans", F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(joined).alias("clean_text"))
