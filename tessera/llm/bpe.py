@@ -5,17 +5,18 @@ the Latin-1 characters of the same numbers, and an Aho-Corasick automaton
 finds every vocabulary entry in a piece in one pass, so the longest entry at
 each place is known. The encoder walks a piece from left to right with longest
 matches; a token may follow another only if the merges, run on the two tokens'
-bytes, give back just these two (memoised). If not, the next shorter prefix is
+bytes, give back just these two (memoised; found by undoing the merges on both
+sides of the border, the latest first). If not, the next shorter prefix is
 tried; if none is left, the place is marked dead and the last token is taken
 back. A sequence of which all neighbours are compatible is the one that the
 merges yield, so the result is exact; each place is visited a bounded number
 of times, so time is linear in the piece.
 
-Pieces that are entries themselves are that entry. If plain longest matches
-are compatible throughout, they are the answer at once. Words of up to
-``CACHED_CHARS`` characters are cached, at most ``CACHE`` of them, with the
-space before them: a single space between two other characters always opens a
-match of the pattern, so texts may be cut there first.
+Pieces that are entries themselves are that entry. Words of up to
+``CACHED_CHARS`` characters are cached with the space before them: a single
+space between two other characters always opens a match of the pattern, so
+texts may be cut there first. Caches hold two generations of ``CACHE`` entries
+at most; entries in use move on to the newer one.
 
 Null and empty texts have no ids and decode to no bytes. Null ids decode to no
 bytes as well. Vocabulary files are read by path on every worker and never
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import ship
 
-CACHE, CACHED_CHARS = 400_000, 48
+CACHE, CACHED_CHARS = 200_000, 48
 #: Text, in characters or ids, after which a worker hands on what it has.
 HAND_ON = 1 << 20
 #: Spaces that aren't between two characters other than white space.
@@ -42,46 +43,95 @@ _ODD = re.compile(r" (?=\s)|(?<=\s) |\A | \Z")
 _EVEN = re.compile(r"(?<=\S) (?=\S)")
 
 
+class Cache:
+    """The newer and the older generation of what was found."""
+
+    def __init__(self):
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def miss(self, key):
+        """What the older generation has, moved to the newer; None if nothing."""
+        found = self.old.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key, found):
+        if len(self.new) >= CACHE:
+            self.old, self.new = self.new, {}
+        self.new[key] = found
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+def by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    entry = [b""] * (max(ranks.values(), default=-1) + 1)
+    for raw, i in ranks.items():
+        entry[i] = raw
+    return entry
+
+
 class Vocabulary:
-    """Encodes and decodes by the ranks of one file."""
+    """Encodes by the ranks of one file."""
 
     def __init__(self, path: str, pattern: str):
         import ahocorasick
         import regex
 
-        with open(path, "rb") as lines:
-            self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.entry = [b""] * (max(self.rank.values(), default=-1) + 1)
-        for raw, i in self.rank.items():
-            self.entry[i] = raw
+        self.rank = read_ranks(path)
+        self.entry = by_id(self.rank)
+        self.length = [len(e) for e in self.entry]
         self.pieces = regex.compile(pattern).findall
         self.found = ahocorasick.Automaton()
+        self.left, self.right = list(range(len(self.entry))), list(range(len(self.entry)))  # what an entry's last merge joined
         for raw, i in self.rank.items():
-            if self.merged(raw) == [i]:  # an entry that no merges lead to can't be part of a longer piece
-                self.found.add_word(raw.decode("latin-1"), (len(raw), i))
+            parts = self.merged(raw, 2)
+            if len(raw) > 1 and (len(parts) != 2 or parts[0] not in self.rank or parts[1] not in self.rank):
+                continue  # an entry that no merges lead to can't be part of a longer piece
+            if len(raw) > 1:
+                self.left[i], self.right[i] = self.rank[parts[0]], self.rank[parts[1]]
+            self.found.add_word(raw.decode("latin-1"), (len(raw), i))
         self.found.make_automaton()
         self.shorter: dict[int, int] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.words: tuple[dict[str, tuple[int, ...]], ...] = ({}, {})  # at the start of a text, after a space
+        self.fits = Cache()
+        self.known = Cache()
+        self.words = Cache(), Cache()  # at the start of a text, after a space
 
-    def merged(self, raw: bytes) -> list[int]:
-        """The plain merges, lowest rank first; for short byte strings."""
+    def merged(self, raw: bytes, stop: int = 1) -> list[bytes]:
+        """The plain merges, lowest rank first, until ``stop`` parts are left; for short byte strings."""
         parts = [raw[i : i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: (self.rank.get(parts[i] + parts[i + 1], 1 << 40), i))
-            if parts[best] + parts[best + 1] not in self.rank:
+        while len(parts) > stop:
+            ranks = [self.rank.get(a + b, 1 << 40) for a, b in zip(parts, parts[1:], strict=False)]
+            best = min(ranks)
+            if best == 1 << 40:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
-        return [self.rank[p] for p in parts]
-
-    def compatible(self, left: int, right: int) -> bool:
-        pair = (left, right)
-        if (known := self.fits.get(pair)) is None:
-            if len(self.fits) >= 4 * CACHE:
-                self.fits.clear()
-            known = self.fits[pair] = self.merged(self.entry[left] + self.entry[right]) == [left, right]
-        return known
+            at = ranks.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def compatible(self, one: int, two: int) -> bool:
+        """Whether the merges of both entries' bytes end with just these two.
+
+        Undoes the later merge of the two at the border, again and again: if
+        the parts that then touch could have been joined before that merge
+        was made, they would have been. Of equal merges the left one goes first.
+        """
+        before = 1 << 40
+        while True:
+            joined = self.rank.get(self.entry[one] + self.entry[two])
+            if joined is not None and joined < before:
+                return False
+            inner, outer = self.right[one], self.left[two]
+            if inner != one and (one > two or outer == two):
+                before, one = one, inner
+            elif outer != two:
+                before, two = two + 1, outer
+            else:
+                return True
 
     def prefix(self, token: int) -> int:
         """The longest entry that is a proper prefix of this one; -1 if there is none."""
@@ -94,75 +144,67 @@ class Vocabulary:
     def piece(self, raw: bytes) -> list[int]:
         if (whole := self.rank.get(raw)) is not None:
             return [whole]
-        found = raw.decode("latin-1")
-        out = [token for _, (_, token) in self.found.iter_long(found)]
-        if all(map(self.compatible, out, out[1:])):
-            if len(raw) == sum(len(self.entry[i]) for i in out):
-                return out
-        return self._stepwise(found)
-
-    def _stepwise(self, raw: str) -> list[int]:
-        longest = [-1] * len(raw)
-        held = [0] * len(raw)
-        for end, (n, token) in self.found.iter(raw):
-            start = end - n + 1
-            if n > held[start]:
-                held[start], longest[start] = n, token
-        alive = bytearray(b"\x01") * (len(raw) + 1)
+        n, length, fits = len(raw), self.length, self.fits
+        longest = [-1] * n
+        for end, (size, token) in self.found.iter(raw.decode("latin-1")):
+            longest[end - size + 1] = token  # of the same start, later ends are longer
+        alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
         at, token = 0, longest[0]
-        while at < len(raw):
+        while at < n:
             while token >= 0:
-                end = at + len(self.entry[token])
-                if alive[end] and (not out or self.compatible(out[-1], token)):
-                    break
+                end = at + length[token]
+                if alive[end]:
+                    if not out:
+                        break
+                    pair = out[-1] << 32 | token
+                    good = fits.new.get(pair)
+                    if good is None and (good := fits.miss(pair)) is None:
+                        good = self.compatible(out[-1], token)
+                        fits.keep(pair, good)
+                    if good:
+                        break
                 token = self.prefix(token)
             if token >= 0:
                 out.append(token)
                 at = end
-                token = longest[at] if at < len(raw) else -1
+                token = longest[at] if at < n else -1
             elif out:
                 alive[at] = 0
-                token = out.pop()  # dead now, so a shorter one follows
-                at -= len(self.entry[token])
+                token = out.pop()  # what it led to is dead now, so a shorter one follows
+                at -= length[token]
             else:
                 raise ValueError("the vocabulary lacks a byte of the text")
         return out
 
-    def _cached(self, known: dict[str, tuple[int, ...]], key: str, found: list[int]) -> tuple[int, ...]:
-        ids = tuple(found)  # unlike lists, tuples of numbers cost the garbage collector nothing
-        if len(key) <= CACHED_CHARS:
-            if len(known) >= CACHE:
-                known.clear()
-            known[key] = ids
-        return ids
-
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         """The ids of a stretch of text that begins where a match begins."""
-        out = []
+        out: list[int] = []
         for piece in self.pieces(word):
-            ids = self.known.get(piece)
-            if ids is None:
-                ids = self._cached(self.known, piece, self.piece(piece.encode("utf-8")))
+            ids = self.known.new.get(piece)
+            if ids is None and (ids := self.known.miss(piece)) is None:
+                ids = tuple(self.piece(piece.encode("utf-8")))  # unlike lists, tuples of numbers cost the garbage collector nothing
+                if len(piece) <= CACHED_CHARS:
+                    self.known.keep(piece, ids)
             out += ids
-        return out
+        return tuple(out)
+
+    def _cached(self, cache: Cache, key: str, word: str) -> tuple[int, ...]:
+        if (ids := cache.miss(key)) is None:
+            ids = self._word(word)
+            if len(key) <= CACHED_CHARS:
+                cache.keep(key, ids)
+        return ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         first, later = self.words
         words = text.split(" ") if not _ODD.search(text) else _EVEN.split(text)
-        ids = first.get(words[0])
-        out += self._cached(first, words[0], self._word(words[0])) if ids is None else ids
+        out += self._cached(first, words[0], words[0])
         for word in words[1:]:
-            ids = later.get(word)
-            if ids is None:
-                ids = self._cached(later, word, self._word(" " + word))
-            out += ids
+            out += later.new.get(word) or self._cached(later, word, " " + word)
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.entry[i] for i in ids])
-
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> Vocabulary:
@@ -170,6 +212,12 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(path, pattern)
 
 
+@functools.lru_cache(maxsize=2)
+def entries(path: str) -> list[bytes]:
+    """The bytes of every id; all that decoding needs."""
+    return by_id(read_ranks(path))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """(row, ids) for each row of ``docs``: the row as a struct without its text, and the ids of its text."""
     ship(docs)
@@ -190,17 +238,17 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     return rows.mapInArrow(run, f"{_named('row', rows)}, ids array<int>")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(row, ids, decoded) from (row, ids): the bytes the ids stand for."""
     ship(encoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = vocabulary(path, pattern)
+        entry = entries(path)
         for batch in batches:
             step = max(1, min(batch.num_rows, 256))
             for a in range(0, batch.num_rows, step):
                 part = batch.slice(a, step)
-                raw = [coder.decode(ids.as_py() or []) for ids in part.column(1)]
+                raw = [b"".join([entry[i] for i in ids.as_py() or []]) for ids in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(raw, pa.binary())], ["row", "ids", "decoded"])
 
     return encoded.mapInArrow(run, f"{_named('row', encoded)}, ids array<int>, decoded binary")
