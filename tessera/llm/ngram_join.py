@@ -23,8 +23,9 @@ How the job runs:
 4. What is still apart from its pivot p is compared with other members by
    differences: as R xor S = (R xor p) xor (S xor p), two similar sets of which
    one isn't similar to p must share an element of their differences from p,
-   and one among the first D + 1 in any fixed order (prefix filter; elements
-   outside p come first, as they are the rare ones). So no all-pairs list is
+   and one among the first D + 1 in any order that a group agrees on (prefix
+   filter). Elements that more than an eighth of a group's differences hold
+   (edits of the pivot itself) come last, those outside p first. So no all-pairs list is
    built within a group of near copies, and no link that could change a
    component is skipped.
 
@@ -272,19 +273,16 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return held.join(own, "a")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int, prefix: bool = False) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, differences: bool = False) -> DataFrame:
     """(a, b, shared, total, linked) for pairs (a, b): sizes of intersection and union, exactly.
 
-    With ``prefix`` also the first elements of b's difference from a, as many
-    as a pair with b can differ in, plus one.
+    With ``differences`` also b's elements outside a (``own``) and those of a that it lacks (``lacks``).
     """
     both = _with_sets(pairs, sets)
     shared = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
     kept = ["a", "b", shared.alias("shared"), (F.size("grams_a") + F.size("grams_b")).cast("long").alias("sizes")]
-    if prefix:
-        apart = F.concat(F.sort_array(F.array_except("grams_b", "grams_a")), F.sort_array(F.array_except("grams_a", "grams_b")))
-        most = F.floor(F.size("grams_b") * (100 - percent) / percent).cast("int")
-        kept.append(F.slice(apart, F.lit(1), most + 1).alias("first"))
+    if differences:
+        kept += [F.array_except("grams_b", "grams_a").alias("own"), F.array_except("grams_a", "grams_b").alias("lacks")]
     counted = both.select(*kept).withColumn("total", F.col("sizes") - F.col("shared")).drop("sizes")
     return counted.withColumn("linked", F.col("shared") * 100 >= F.col("total") * percent)
 
@@ -358,14 +356,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     pivots = materialise(outside.groupBy("a").agg(F.min(F.struct((F.col("total") - F.col("shared")).alias("far"), "b")).alias("top")).select("a", F.col("top.b").alias("pivot")), "pivots")
     grouped = checked.select("a", "b").union(pivots.select("a", F.col("a").alias("b"))).join(pivots, "a")
     around = materialise(grouped.where("pivot <> b").select(F.col("pivot").alias("a"), "b").distinct(), "around")
-    turned = materialise(_verify(around, sets, percent, prefix=True).dropDuplicates(["a", "b"]), "turned")
+    turned = materialise(_verify(around, sets, percent, differences=True).dropDuplicates(["a", "b"]), "turned")
     links = links.union(turned.where("linked").select("a", "b"))
     labels = components(links)
 
     # what is apart from its pivot shares an early element of the differences with what it links with
-    members = materialise(_labelled(_labelled(turned, labels, "a"), labels, "b").join(sizes.select(F.col("set_key").alias("b"), "size"), "b").select("a", "b", "label_b", (F.col("label_a") != F.col("label_b")).alias("apart"), "size", "first"), "members")
-    open_groups = members.where("apart").select("a").distinct()
-    early = materialise(members.join(open_groups, "a", "left_semi").select("a", "b", "label_b", "apart", "size", F.explode("first").alias("element")), "early")
+    members = _labelled(_labelled(turned, labels, "a"), labels, "b").withColumn("apart", F.col("label_a") != F.col("label_b"))
+    open_groups = materialise(members.groupBy("a").agg(F.count("*").alias("n"), F.max("apart").alias("open")).where("open").select("a", "n"), "open")
+    members = materialise(members.join(open_groups, "a").join(sizes.select(F.col("set_key").alias("b"), "size"), "b").select("a", "b", "n", "label_b", "apart", "size", "own", "lacks"), "members")
+    counted = members.select("a", "n", F.explode(F.concat("own", "lacks")).alias("element")).groupBy("a", "n", "element").agg(F.count("*").alias("held"))
+    common = materialise(counted.where("held > 1 and 8 * held > n").groupBy("a").agg(F.collect_list("element").alias("common")), "common")  # at most eight times a difference's mean size
+    ranked = members.join(common, "a", "left").withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
+    parts = [f(F.sort_array(side), F.col("common")) for f in (F.array_except, F.array_intersect) for side in ("own", "lacks")]
+    most = F.floor(F.col("size") * (100 - percent) / percent).cast("int") + 1
+    early = materialise(ranked.select("a", "b", "label_b", "apart", "size", F.explode(F.slice(F.concat(parts[0], parts[1], F.sort_array(F.concat(parts[2], parts[3]))), F.lit(1), most)).alias("element")), "early")
     one, other = early.where("apart").alias("x"), early.alias("y")
     met = (one.join(other, (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")))
            .where((F.col("x.label_b") != F.col("y.label_b")) & (~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))))
