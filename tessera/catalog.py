@@ -184,26 +184,26 @@ def sink_csv(spark, d):
     return SF.read_csv_header(spark, path, schema=sup.schema, delimiter="|")
 
 
-@register("sink_file_append", "SELECT * FROM nation UNION ALL SELECT * FROM nation")
+@register("sink_file_append", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
 def sink_file_append(spark, d):
-    nation = T(spark, d, "nation")
+    orders = T(spark, d, "orders")
     path = scratch_path(spark, "append")
-    K.write_files(nation, path, mode="overwrite")
-    K.write_files(nation, path, mode="append")
+    K.write_files(orders, path, mode="overwrite")
+    K.write_files(orders, path, mode="append")
     return spark.read.parquet(path)
 
 
-@register("sink_file_partitioned", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
+@register("sink_file_partitioned", "SELECT * FROM orders")
 def sink_file_partitioned(spark, d):
     path = scratch_path(spark, "partitioned")
     K.write_files(T(spark, d, "orders"), path, partition_by="o_orderstatus")
-    return spark.read.parquet(path).filter(F.col("o_orderstatus") == "O")
+    return spark.read.parquet(path)
 
 
-@register("sink_managed_table", "SELECT * FROM nation")
+@register("sink_managed_table", "SELECT * FROM orders")
 def sink_managed_table(spark, d):
-    name = unique_name("nation_managed")
-    K.save_table(T(spark, d, "nation"), name)
+    name = unique_name("orders_managed")
+    K.save_table(T(spark, d, "orders"), name)
     return spark.table(name)
 
 
@@ -214,23 +214,23 @@ def _empty_table_like(spark, df: DataFrame, name: str, partition_by: str | None
     w.saveAsTable(name)
 
 
-@register("sink_insert_into", "SELECT * FROM nation UNION ALL SELECT * FROM nation")
+@register("sink_insert_into", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
 def sink_insert_into(spark, d):
-    nation = T(spark, d, "nation")
-    name = unique_name("nation_ins")
-    _empty_table_like(spark, nation, name)
-    K.insert_into(spark, nation, name)
-    K.insert_into(spark, nation.select(*reversed(nation.columns)), name)  # reordered: aligned by name first
+    orders = T(spark, d, "orders")
+    name = unique_name("orders_ins")
+    _empty_table_like(spark, orders, name)
+    K.insert_into(spark, orders, name)
+    K.insert_into(spark, orders.select(*reversed(orders.columns)), name)  # reordered: aligned by name first
     return spark.table(name)
 
 
-@register("sink_insert_overwrite", "SELECT * FROM nation")
+@register("sink_insert_overwrite", "SELECT * FROM orders")
 def sink_insert_overwrite(spark, d):
-    nation = T(spark, d, "nation")
-    name = unique_name("nation_ovw")
-    _empty_table_like(spark, nation, name)
-    K.insert_into(spark, nation, name)
-    K.insert_into(spark, nation, name, overwrite=True)
+    orders = T(spark, d, "orders")
+    name = unique_name("orders_ovw")
+    _empty_table_like(spark, orders, name)
+    K.insert_into(spark, orders, name)
+    K.insert_into(spark, orders, name, overwrite=True)
     return spark.table(name)
 
 
@@ -247,11 +247,11 @@ def sink_dynamic_partition(spark, d):
     return spark.table(name)
 
 
-@register("sink_external_table", "SELECT * FROM nation")
+@register("sink_external_table", "SELECT * FROM orders")
 def sink_external_table(spark, d):
     path = scratch_path(spark, "external")
-    K.write_files(T(spark, d, "nation"), path)
-    name = unique_name("nation_ext")
+    K.write_files(T(spark, d, "orders"), path)
+    name = unique_name("orders_ext")
     K.create_external_table(spark, name, path)
     return spark.table(name)
 
@@ -850,7 +850,8 @@ def _event_slices(spark, d, parts: int = 4) -> tuple[str, object]:
     us = S.epoch_micros("ts")
     for i in range(parts):
         a, b = lo + i * step, lo + (i + 1) * step
-        ev.filter((us >= a) & (us < b)).coalesce(1).write.mode("append").parquet(root)
+        own = (us >= a) & (us < b)
+        ev.filter(own | us.isNull() if i == 0 else own).coalesce(1).write.mode("append").parquet(root)
     return root, ev.schema
 
 

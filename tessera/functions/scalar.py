@@ -125,5 +125,5 @@ def split_names(names: str | list[str] | None) -> list[str] | None:
         parts = list(names)
     else:
         parts = names.split(",")
-    parts = [p.strip() for p in parts if p.strip() and p.strip() != "null"]
+    parts = [p.strip() for p in parts if p.strip()]
     return parts or None

@@ -19,6 +19,8 @@ row or a hot counter is combined map-side and split by AQE's skew handling.
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -182,8 +184,10 @@ def restrict(cells: DataFrame, *, start_row: str | None = None, stop_row: str |
 
     Key range ``[start_row, stop_row)`` in byte order and family / qualifier
     lists commute with resolution as long as the tombstones that cover the
-    kept cells stay, so they are pushed to the Parquet scan. A time range
-    limits puts and increments; tombstones always apply.
+    kept cells stay, so they are pushed to the Parquet scan. ``max_ts`` limits
+    puts and increments; tombstones always apply. ``min_ts`` cannot be applied
+    to the log, where it would cut the older part off a counter's total:
+    :func:`scan` applies it to the resolved cells.
     """
     out = cells
     key = F.col("row_key")
@@ -196,19 +200,16 @@ def restrict(cells: DataFrame, *, start_row: str | None = None, stop_row: str |
         out = out.filter(F.col("family").isin(list(families)) | (kind == DELETE_ROW))
     if qualifiers is not None:
         out = out.filter(F.col("qualifier").isin(list(qualifiers)) | kind.isin(DELETE_FAMILY, DELETE_ROW))
-    if min_ts is not None or max_ts is not None:
-        in_range = F.lit(True)
-        if min_ts is not None:
-            in_range = in_range & (F.col("ts") >= F.lit(min_ts))
-        if max_ts is not None:
-            in_range = in_range & (F.col("ts") < F.lit(max_ts))
-        out = out.filter(in_range | kind.isin(DELETE_CELL, DELETE_FAMILY, DELETE_ROW))
+    if max_ts is not None:
+        out = out.filter((F.col("ts") < F.lit(max_ts)) | kind.isin(DELETE_CELL, DELETE_FAMILY, DELETE_ROW))
     return out
 
 
 def scan(cells: DataFrame, **restriction) -> DataFrame:
     """Resolved cells of a scan (key range, families, qualifiers, time range)."""
-    return resolve(restrict(cells, **restriction))
+    out = resolve(restrict(cells, **restriction))
+    least = restriction.get("min_ts")
+    return out if least is None else out.filter(F.col("ts") >= F.lit(least))
 
 
 def scan_map(cells: DataFrame, mapping, **restriction) -> DataFrame:
@@ -241,11 +242,15 @@ def scan_ranges(cells: DataFrame, split_keys: Sequence[str], **restriction) -> D
     prune the log by key when it is stored range-partitioned
     (:func:`write_cells`).
     """
-    splits = sorted(split_keys)
-    range_id = F.lit(0)
-    for i, s in enumerate(splits, start=1):
-        range_id = F.when(F.col("row_key") >= F.lit(s), F.lit(i)).otherwise(range_id)
-    return scan(cells, **restriction).withColumn("range_id", range_id.cast("int"))
+    splits = sorted(split_keys, key=lambda k: k.encode())  # byte order, as Spark compares text
+    step = max(1, math.isqrt(len(splits)))
+    texts = lambda keys: F.lit(list(keys)) if keys else F.array().cast("array<string>")
+    at_or_before = lambda keys: F.size(F.filter(keys, lambda s: s <= F.col("row_key")))
+    # two steps: among every step-th key, then among the keys of that stretch
+    coarse = at_or_before(texts(splits[step - 1::step]))
+    out = scan(cells, **restriction).withColumn("_stretch", coarse)
+    within = at_or_before(F.slice(texts(splits), F.col("_stretch") * step + 1, F.lit(step)))
+    return out.withColumn("range_id", (F.col("_stretch") * step + within).cast("int")).drop("_stretch")
 
 
 def distinct_qualifiers(resolved: DataFrame) -> list[str]:
@@ -254,14 +259,20 @@ def distinct_qualifiers(resolved: DataFrame) -> list[str]:
 
 
 def to_wide(resolved: DataFrame, *, key_name: str = "row_key",
-            qualifiers: Sequence[str] | None = None) -> DataFrame:
+            qualifiers: Sequence[str] | None = None, by_family: bool = False) -> DataFrame:
     """Resolved cells to a wide DataFrame: the key, then one column per qualifier.
 
+    With ``by_family`` columns are named ``family:qualifier``. Without, a
+    qualifier that several families hold reads as its newest version.
+
     Pass ``qualifiers`` to fix the schema (and skip the discovery job); a cell
     that is absent reads as null.
     """
+    if by_family:
+        resolved = resolved.withColumn("qualifier", F.concat_ws(":", "family", "qualifier"))
     quals = list(qualifiers) if qualifiers is not None else distinct_qualifiers(resolved)
-    wide = resolved.groupBy("row_key").pivot("qualifier", quals).agg(F.max("value"))
+    wide = resolved.groupBy("row_key").pivot("qualifier", quals).agg(
+        F.max_by("value", F.struct("ts", "seq", "family")))
     return wide.select(F.col("row_key").alias(key_name), *[F.col(f"`{q}`") for q in quals])
 
 
@@ -279,8 +290,9 @@ def bulk_get(cells: DataFrame, keys: DataFrame, key_col: str, **restriction) ->
     Duplicate requests are kept; a key without cells yields nothing. A small
     request set is broadcast by AQE at run time; a large one shuffles.
     """
-    resolved = scan(cells, **restriction)
     req = keys.withColumn("row_key", F.col(key_col).cast("string"))
+    wanted = req.select("row_key").distinct()
+    resolved = scan(cells.join(wanted, "row_key", "left_semi"), **restriction)  # only requested rows are resolved
     return req.join(resolved, "row_key", "inner")
 
 
@@ -290,7 +302,8 @@ def bulk_get_wide(cells: DataFrame, keys: DataFrame, key_col: str, *,
 
     The key column name is a parameter; duplicate requests are kept.
     """
-    wide = scan_wide(cells, qualifiers=qualifiers)
+    wanted = keys.select(F.col(key_col).cast("string").alias("row_key")).distinct()
+    wide = scan_wide(cells.join(wanted, "row_key", "left_semi"), qualifiers=qualifiers)
     req = keys.select(F.col(key_col).cast("string").alias("row_key"))
     out = req.join(wide, "row_key", "left")
     return out.withColumnRenamed("row_key", key_name or key_col)
@@ -318,18 +331,36 @@ def latest_value(cells: DataFrame, *, family: str, qualifier: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- mutations
 
+_last_version = 0
+
+
+def next_version() -> int:
+    """A version newer than all that this process gave before: the time in microseconds, or one more."""
+    global _last_version
+    _last_version = max(time.time_ns() // 1000, _last_version + 1)
+    return _last_version
+
+
+def _stamped(mutation: dict) -> dict:
+    """Mutations without a version get the next one, so a later call wins."""
+    return mutation if mutation.get("ts") is not None else {**mutation, "ts": next_version()}
+
+
 def put(cells: DataFrame, df: DataFrame, **mutation) -> DataFrame:
-    """Bulk put: append put mutations built from ``df``."""
+    """Bulk put: append put mutations built from ``df``; without ``ts``, newer than every earlier call."""
+    mutation = _stamped(mutation)
     return append(cells, mutations(df, kind=PUT, **mutation))
 
 
 def increment(cells: DataFrame, df: DataFrame, *, delta=1, **mutation) -> DataFrame:
-    """Bulk increment of 64-bit counters."""
+    """Bulk increment of 64-bit counters; without ``ts``, newer than every earlier call."""
+    mutation = _stamped(mutation)
     return append(cells, mutations(df, kind=INCREMENT, delta=delta, **mutation))
 
 
 def delete(cells: DataFrame, df: DataFrame, *, scope: str = "row", **mutation) -> DataFrame:
     """Bulk delete of rows, families or cells (tombstones)."""
+    mutation = _stamped(mutation)
     kind = {"row": DELETE_ROW, "family": DELETE_FAMILY, "cell": DELETE_CELL}[scope]
     if scope == "row":
         mutation["family"] = None
@@ -342,9 +373,17 @@ def delete(cells: DataFrame, df: DataFrame, *, scope: str = "row", **mutation) -
 def mutate(cells: DataFrame, mutation_rows: DataFrame) -> DataFrame:
     """Batched mutations of any kind: rows that already carry ``kind``.
 
-    Rows of an unknown kind are dropped by resolution, never applied.
+    A row of an unknown kind, or without the key parts its kind needs, fails
+    the job when it is read.
     """
-    return append(cells, mutation_rows)
+    kind = F.col("kind")
+    keyed = F.col("row_key").isNotNull() & (kind.isin(DELETE_ROW) | F.col("family").isNotNull()) & (
+        kind.isin(DELETE_ROW, DELETE_FAMILY) | F.col("qualifier").isNotNull())
+    known = kind.isin(PUT, INCREMENT, DELETE_CELL, DELETE_FAMILY, DELETE_ROW)
+    checked = F.when(known & keyed, kind).otherwise(
+        F.raise_error(F.concat(F.lit("not a mutation: kind "), F.coalesce(kind, F.lit("null")),
+                               F.lit(", row key "), F.coalesce("row_key", F.lit("null")))))
+    return append(cells, mutation_rows.withColumn("kind", checked))
 
 
 # --------------------------------------------------------------------------- storage
@@ -371,10 +410,41 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(cells: DataFrame) -> DataFrame:
-    """A resolved log as puts only: the base version for later mutations."""
-    return resolve(cells).select(
-        "row_key", "family", "qualifier", "ts", "seq", F.lit(PUT).alias("kind"), "value",
-        F.lit(None).cast("bigint").alias("delta"))
+    """The log without rows that no later or late mutation can make count again.
+
+    Kept are, for each cell, its newest live put and its increments newer than
+    the newest put or covering tombstone, and the newest tombstone of each
+    cell, family and row. Resolving what is kept together with *any* other
+    mutations, also older ones that arrive late, equals resolving everything.
+    """
+    log = cells.select(*CELL_COLUMNS)
+    ver = F.struct("ts", "seq")
+    key = ["row_key", "family", "qualifier"]
+    tombs = []
+    for kind, by in ((DELETE_CELL, key), (DELETE_FAMILY, key[:2]), (DELETE_ROW, key[:1])):
+        newest = log.filter(F.col("kind") == kind).groupBy(*by).agg(F.max(ver).alias("v"))
+        tombs.append(newest)
+    kept = [t.select(*[(F.col(c) if c in by else F.lit(None).cast("string").alias(c)) for c in key],
+                     F.col("v.ts").alias("ts"), F.col("v.seq").alias("seq"), F.lit(kind).alias("kind"),
+                     F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("delta"))
+            for t, kind, by in ((tombs[0], DELETE_CELL, key), (tombs[1], DELETE_FAMILY, key[:2]), (tombs[2], DELETE_ROW, key[:1]))]
+    puts = (log.filter(F.col("kind") == PUT).groupBy(*key)
+            .agg(F.max(F.struct("ts", "seq", "value")).alias("top"))
+            .select(*key, "top", F.struct(F.col("top.ts").alias("ts"), F.col("top.seq").alias("seq")).alias("put_ver")))
+    for i, by in enumerate((key, key[:2], key[:1])):
+        tombs[i] = tombs[i].withColumnRenamed("v", f"t{i}")
+    covered = F.greatest("t0", "t1", "t2")
+
+    def with_tombs(df: DataFrame) -> DataFrame:
+        return df.join(tombs[0], key, "left").join(tombs[1], key[:2], "left").join(tombs[2], key[:1], "left")
+
+    live = (with_tombs(puts).filter(covered.isNull() | (F.col("put_ver") > covered))
+            .select(*key, F.col("top.ts").alias("ts"), F.col("top.seq").alias("seq"), F.lit(PUT).alias("kind"),
+                    F.col("top.value").alias("value"), F.lit(None).cast("bigint").alias("delta")))
+    incs = log.filter(F.col("kind") == INCREMENT).join(puts.select(*key, "put_ver"), key, "left")
+    base = F.greatest("put_ver", covered)
+    open_incs = with_tombs(incs).filter(base.isNull() | (ver > base)).select(*CELL_COLUMNS)
+    return append(live, open_incs, *kept)
 
 
 def create_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -394,26 +464,23 @@ def insert_cells(spark: SparkSession, name: str, cells: DataFrame) -> None:
     cells.select(*CELL_COLUMNS).write.insertInto(name)
 
 
-def compact_to(cells: DataFrame, path: str) -> tuple[int, int] | None:
-    """Write the resolved state of a log as a base version of puts.
+def compact_to(log: DataFrame, path: str) -> list[str]:
+    """Write the compacted form of a *stored* log; returns the log files it covers.
 
-    Returns the watermark ``(ts, seq)``: the newest version in the log. A read
-    of the base plus the log entries *newer* than the watermark
-    (:func:`read_compacted`) equals resolving the whole log, so older log files
-    can be dropped. Counters are stored with their summed value, which is why
-    increments at or before the watermark must not be read again.
+    Those files can be dropped, or left to :func:`read_compacted` to skip. The
+    list names files, not versions, so a mutation that arrives later with an
+    older version is still read.
     """
-    mark = cells.agg(F.max(version()).alias("m")).first()["m"]
-    write_cells(compact(cells), path, mode="overwrite")
-    return None if mark is None else (int(mark["ts"]), int(mark["seq"]))
+    files = sorted(log.inputFiles())
+    if not files:
+        raise ValueError("only a log read from files can be compacted")
+    write_cells(compact(log), path, mode="overwrite")
+    return files
 
 
-def read_compacted(spark: SparkSession, base_path: str, log: DataFrame,
-                   watermark: tuple[int, int] | None) -> DataFrame:
-    """A compacted base plus the log entries newer than its watermark."""
+def read_compacted(spark: SparkSession, base_path: str, log: DataFrame, covered: Sequence[str]) -> DataFrame:
+    """A compacted base plus the mutations in the log's files that it doesn't cover."""
+    gone = set(covered)
+    new = [f for f in log.inputFiles() if f not in gone]
     base = read_cells(spark, base_path)
-    if watermark is None:
-        return append(base, log)
-    ts, seq = watermark
-    newer = log.filter((F.col("ts") > F.lit(ts)) | ((F.col("ts") == F.lit(ts)) & (F.col("seq") > F.lit(seq))))
-    return append(base, newer)
+    return append(base, spark.read.schema(CELL_SCHEMA).parquet(*new)) if new else base

@@ -14,10 +14,19 @@ from tessera.functions.scalar import split_names
 NULL_TEXT = "null"
 
 
+def _columns(df: DataFrame, columns: str | Sequence[str] | None) -> list[str]:
+    """The columns to clean: all if none are given. Names reading ``null`` are
+    skipped; a list of nothing else cleans nothing."""
+    given = split_names(columns)
+    return df.columns if given is None else [c for c in given if c != NULL_TEXT]
+
+
 def clean_null_rows(df: DataFrame, columns: str | Sequence[str] | None = None) -> DataFrame:
     """Drop rows whose given columns (default: all) are null or read ``null``
     once trimmed (case-sensitive). One filter; it reaches the scan."""
-    cols = split_names(columns) or df.columns
+    cols = _columns(df, columns)
+    if not cols:
+        return df
     cond = reduce(lambda a, b: a & b,
                   [F.trim(F.col(f"`{c}`").cast("string")) != F.lit(NULL_TEXT) for c in cols])
     return df.filter(cond)
@@ -29,7 +38,7 @@ def clean_defaults(df: DataFrame, columns: str | Sequence[str] | None = None) ->
     Numeric columns become double (null -> 0.0); text columns get ``'0.0'``;
     other types raise. Column order is kept; one projection.
     """
-    cols = set(split_names(columns) or df.columns)
+    cols = set(_columns(df, columns))
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")

@@ -52,16 +52,17 @@ def _cell_entries(df: DataFrame, key_col: str, exclude: Sequence[str]) -> Column
 
 
 def df_to_cells(df: DataFrame, *, family: str, key_col: str | None = None, num_salts: int = 0,
-                ts: int | Column = 0, exclude: Sequence[str] = ()) -> DataFrame:
+                ts: int | Column | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """A DataFrame as put mutations: one cell per non-key column, one per map entry.
 
     The key column (default: the first) is excluded case-insensitively and
     becomes the row key, salted when ``num_salts > 0``. Values are text, null
     as ``""``. A null map gives no cells. One generator, one pass, no union.
+    Without ``ts`` the cells are newer than those of every earlier call.
     """
     key_col = key_col or df.columns[0]
     entries = _cell_entries(df, key_col, exclude)
-    ts_c = ts if isinstance(ts, Column) else F.lit(ts)
+    ts_c = ts if isinstance(ts, Column) else F.lit(C.next_version() if ts is None else ts)
     return (
         df.select(salted_row_key(F.col(f"`{key_col}`"), num_salts).alias("row_key"),
                   ts_c.cast("bigint").alias("ts"), F.inline(entries))
@@ -71,7 +72,7 @@ def df_to_cells(df: DataFrame, *, family: str, key_col: str | None = None, num_s
 
 
 def put_dataframe(cells: DataFrame, df: DataFrame, *, family: str, num_salts: int = 0,
-                  key_col: str | None = None, ts: int | Column = 0) -> DataFrame:
+                  key_col: str | None = None, ts: int | Column | None = None) -> DataFrame:
     """Store sink of a DataFrame: salted cells appended to the log.
 
     An empty DataFrame appends nothing (no action is run to find out).

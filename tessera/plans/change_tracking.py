@@ -39,9 +39,9 @@ def step_observations(events: DataFrame, *, key: str, status: Column, ts: str, s
 def change_history(obs: DataFrame) -> DataFrame:
     """Rows whose status differs from the key's previous step (or is its first)."""
     w = Window.partitionBy("key").orderBy("step_ts")
-    prev = F.lag("status").over(w)
-    return obs.withColumn("_prev", prev).filter(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col("status"))).drop("_prev")
+    first = F.lag(F.lit(1)).over(w).isNull()
+    same = F.lag("status").over(w).eqNullSafe(F.col("status"))
+    return obs.withColumn("_keep", first | ~same).filter("_keep").drop("_keep")
 
 
 def history_table(changes: DataFrame, *, key_name: str = "id_ts") -> DataFrame:
@@ -88,8 +88,11 @@ def run_steps(spark: SparkSession, initial: DataFrame, updates: Iterable[tuple[i
     version = 0
     for step_ts, update in updates:
         prev = spark.read.parquet(f"{state_path}/v={version}")
-        merged = (prev.join(update.select(key, F.col(status).alias("_new")), key, "left")
-                  .select(key, F.coalesce("_new", status).alias(status)))
+        new = update.select(key, F.struct(F.col(status).alias("value")).alias("_new"))
+        # new keys are added; a new null replaces the old status
+        merged = (prev.join(new, key, "full_outer")
+                  .select(key, F.when(F.col("_new").isNotNull(), F.col("_new.value"))
+                          .otherwise(F.col(status)).alias(status)))
         changed = changed_rows(merged, prev).persist()
         C.write_cells(to_cells(changed, step_ts), cells_path)
         changed.select(history_key(F.col(key), _wall_time(step_ts)).alias("id_ts"),
@@ -120,16 +123,16 @@ def stream_change_tracking(stream: DataFrame, *, key: str, status: Column, ts: s
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            prev = spark.read.schema(state_schema).parquet(f"{state_path}/v={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - first batch: no state yet
-            prev = spark.createDataFrame([], state_schema)
+        # only the first batch starts from nothing; a later one without its state must fail
+        prev = (spark.createDataFrame([], state_schema) if batch_id == 0 else
+                spark.read.schema(state_schema).parquet(f"{state_path}/v={batch_id - 1}"))
         obs = (batch.groupBy(F.col(key).cast("string").alias("row_key"))
                .agg(F.max_by(status, F.struct(F.col(ts), F.col(tiebreak))).alias("status"),
                     F.max(ts).alias("_last_ts")))
         # the batch's newest time travels as text, cast back to the column's own
         # type: a Python datetime literal would pick up a time zone on the way
         step_ts = obs.agg(F.max("_last_ts").cast("string")).first()[0]
+        obs = obs.persist()
         new = obs.select("row_key", "status")
         changed = changed_rows(new, prev).persist()
         if step_ts is not None:
@@ -139,10 +142,13 @@ def stream_change_tracking(stream: DataFrame, *, key: str, status: Column, ts: s
                 .write.mode("overwrite").parquet(f"{cells_path}/batch_id={batch_id}")
             changed.select(history_key(F.col("row_key"), ts_lit).alias("id_ts"), "status") \
                 .write.mode("overwrite").parquet(f"{hist_path}/batch_id={batch_id}")
-        merged = (prev.join(new.select("row_key", F.col("status").alias("_new")), "row_key", "full_outer")
-                  .select("row_key", F.coalesce("_new", "status").alias("status")))
+        fresh = new.select("row_key", F.struct(F.col("status").alias("value")).alias("_new"))
+        merged = (prev.join(fresh, "row_key", "full_outer")
+                  .select("row_key", F.when(F.col("_new").isNotNull(), F.col("_new.value"))
+                          .otherwise(F.col("status")).alias("status")))
         merged.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
         changed.unpersist()
+        obs.unpersist()
 
     foreach_batch(stream, step, checkpoint)
     return cells_path, hist_path

@@ -37,7 +37,7 @@ class CellSink:
     path: str
     family: str
     num_salts: int = 0
-    ts: int = 0
+    ts: int | None = None  # None: later loads win
 
 
 def load_enrich_store(spark: SparkSession, source: str, kind: str = "sql", *,
@@ -57,7 +57,8 @@ def load_enrich_store(spark: SparkSession, source: str, kind: str = "sql", *,
     if location:
         write_files(df, location, mode=mode, partition_by=partition_by)
         if table:
-            create_external_table(spark, table, location, partitioned=bool(split_names(partition_by)))
+            create_external_table(spark, table, location, partitioned=bool(split_names(partition_by)),
+                                  replace=overwrite)
     elif table:
         staging = f"temp_{table.split('.')[-1]}"
         if persist_staging_table:

@@ -40,6 +40,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc_dir = spark.sparkContext.getCheckpointDir()
         if sc_dir:
             return sc_dir
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -58,7 +61,7 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -74,7 +77,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = f"{sc.applicationId}/{sc.startTime}"
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))

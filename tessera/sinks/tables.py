@@ -47,13 +47,17 @@ def insert_into(spark: SparkSession, df: DataFrame, table: str, *, overwrite: bo
                 partition_by: str | Sequence[str] | None = None) -> None:
     """``INSERT INTO|OVERWRITE`` an existing table.
 
-    Inserts are positional, so the columns are put in table order first (the
-    partition columns are last in a partitioned table). With partition columns
+    A frame with the table's column names is put in table order first (the
+    partition columns are last in a partitioned table); with other names the
+    insert is positional, as in ``INSERT ... SELECT *``. With partition columns
     the overwrite is dynamic: only partitions present in ``df`` are replaced.
     The session setting is restored afterwards.
     """
     cols = spark.table(table).columns
-    ordered = df.select(*cols)
+    if len(df.columns) != len(cols):
+        raise ValueError(f"{table} has {len(cols)} columns, the data {len(df.columns)}")
+    same = {c.lower() for c in df.columns} == {c.lower() for c in cols}
+    ordered = df.select(*[f"`{c}`" for c in cols]) if same else df
     if not split_names(partition_by):
         ordered.write.insertInto(table, overwrite=overwrite)
         return
@@ -71,12 +75,21 @@ def insert_into(spark: SparkSession, df: DataFrame, table: str, *, overwrite: bo
 
 def create_external_table(spark: SparkSession, table: str, path: str, *, fmt: str = "parquet",
                           partitioned: bool = False, replace: bool = True) -> None:
-    """Register files at ``path`` as an external table; repair partitions if any."""
+    """Register files at ``path`` as an external table; repair partitions if any.
+
+    An external table of that name is registered anew (``replace``) or kept
+    and refreshed; a managed table is never touched, since dropping it would
+    delete its files.
+    """
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "MANAGED":
+            raise ValueError(f"{table} is a managed table; it is not replaced by an external one")
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
 
 
 def temp_view(df: DataFrame, name: str) -> str:

@@ -7,9 +7,9 @@ inference costs an extra pass over the input.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -61,26 +61,29 @@ def _read_one(spark: SparkSession, fmt: str, paths: list[str], schema) -> DataFr
 
 
 def read_multi_path(spark: SparkSession, fmt: str, paths: Sequence[str], *,
-                    schema: T.StructType | str | None = None) -> DataFrame | None:
+                    schema: T.StructType | str | None = None,
+                    skipped: list[str] | None = None) -> DataFrame | None:
     """Read several paths as one DataFrame, skipping the ones that cannot be read.
 
-    Spark fails the whole read when any path is missing, so on failure each
-    path is tried alone (this only touches file listings, not data) and the
-    readable ones are unioned by name. ``None`` when nothing is readable.
+    Each path is tried alone (file listings, and footers if no schema is
+    given); a missing, empty or corrupt one is skipped, with a warning, and
+    added to ``skipped`` if that is given. Readable paths are unioned by name:
+    a column that a path lacks is null there. ``None`` when nothing is readable.
     """
-    paths = list(paths)
-    try:
-        return _read_one(spark, fmt, paths, schema)
-    except AnalysisException:
-        pass
-    good: list[str] = []
+    frames: list[tuple[str, DataFrame]] = []
     for p in paths:
         try:
-            _read_one(spark, fmt, [p], schema)
-            good.append(p)
-        except AnalysisException:
-            continue
-    if not good:
+            frames.append((p, _read_one(spark, fmt, [p], schema)))
+        except Exception as e:  # noqa: BLE001 - whatever makes a path unreadable
+            warnings.warn(f"skipped unreadable path {p}: {type(e).__name__}", stacklevel=2)
+            if skipped is not None:
+                skipped.append(p)
+    if not frames:
         return None
-    # One scan over all readable paths keeps a single file index and split planning.
-    return _read_one(spark, fmt, good, schema)
+    if all(df.schema == frames[0][1].schema for _, df in frames):
+        # One scan over all readable paths keeps a single file index and split planning.
+        return _read_one(spark, fmt, [p for p, _ in frames], schema)
+    out = frames[0][1]
+    for _, df in frames[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out

@@ -28,10 +28,10 @@ def from_literals(spark: SparkSession, rows: Sequence[Sequence[Any]], schema) ->
     return spark.createDataFrame(list(rows), schema)
 
 
-def load(spark: SparkSession, source: str, kind: str = "sql", *,
+def load(spark: SparkSession, source: str | Sequence[str], kind: str = "sql", *,
          queries: Mapping[str, str] | None = None, args: Mapping[str, Any] | None = None) -> DataFrame:
     """Dispatch on ``kind``: ``sql`` (text, or a name when ``queries`` is given),
-    ``csv`` (header, inferred types), anything else Parquet (missing paths tolerated).
+    ``csv`` (header, inferred types), anything else Parquet: one path or a list of them (unreadable ones tolerated).
     """
     k = (kind or "sql").lower()
     if k in ("sql", "hive"):
@@ -40,7 +40,7 @@ def load(spark: SparkSession, source: str, kind: str = "sql", *,
         return run_sql(spark, source, args)
     if k == "csv":
         return read_csv_header(spark, source)
-    df = read_multi_path(spark, "parquet", source.split(","))
+    df = read_multi_path(spark, "parquet", [source] if isinstance(source, str) else list(source))
     if df is None:
         raise FileNotFoundError(f"no readable parquet at {source}")
     return df

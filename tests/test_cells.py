@@ -1,6 +1,7 @@
 import random
 
 from hypothesis import given, settings, strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import cells as C
@@ -167,12 +168,54 @@ def test_compaction_equals_full_resolve(spark, tmp):
            ("c", "c", "x", 2, 0, "put", "c", None)]
     new = [("a", "c", "n", 4, 0, "increment", None, 2), ("b", "c", "x", 5, 0, "put", "b2", None),
            ("c", "c", "x", 6, 0, "delete_cell", None, None), ("a", "c", "x", 4, 1, "put", "2", None)]
-    old_log = log(spark, old)
-    mark = C.compact_to(old_log, f"{tmp}/base")
-    assert mark == (3, 0)
-    full = log(spark, old + new)
-    got = C.resolve(C.read_compacted(spark, f"{tmp}/base", full, mark))
-    assert rows(got, "row_key", "qualifier", "value") == rows(C.resolve(full), "row_key", "qualifier", "value")
+    late = [("a", "c", "n", 1, 0, "increment", None, 7), ("b", "c", "x", 2, 0, "put", "hidden", None),
+            ("d", "c", "x", 1, 0, "put", "late", None), ("c", "c", "x", 1, 5, "put", "older", None)]
+    C.write_cells(log(spark, old), f"{tmp}/log")
+    covered = C.compact_to(C.read_cells(spark, f"{tmp}/log"), f"{tmp}/base")
+    C.write_cells(log(spark, new + late), f"{tmp}/log")  # later versions, and versions older than the base
+    whole = C.read_cells(spark, f"{tmp}/log")
+    got = C.resolve(C.read_compacted(spark, f"{tmp}/base", whole, covered))
+    want = rows(C.resolve(log(spark, old + new + late)), "row_key", "qualifier", "value")
+    assert rows(got, "row_key", "qualifier", "value") == want
+    assert ("d", "x", "late") in want and ("a", "n", "14") in want
+
+
+def test_later_put_wins_and_delete_hides_without_versions(spark):
+    first = spark.createDataFrame([("1", "z")], "id string, v string")
+    second = spark.createDataFrame([("1", "a")], "id string, v string")
+    cells = C.empty_cells(spark)
+    for df in (first, second):
+        cells = C.put(cells, df, row_key="id", family="c", qualifier="v", value="v")
+    assert rows(C.resolve(cells), "value") == [("a",)]
+    cells = C.delete(cells, first, row_key="id")
+    assert C.resolve(cells).count() == 0
+    cells = C.put(cells, first, row_key="id", family="c", qualifier="v", value="v")
+    assert rows(C.resolve(cells), "value") == [("z",)]
+
+
+def test_unknown_mutation_kind_fails(spark):
+    bad = log(spark, [("a", "c", "x", 1, 0, "putt", "1", None)])
+    with pytest.raises(Exception, match="not a mutation"):
+        C.mutate(C.empty_cells(spark), bad).collect()
+
+
+def test_time_range_keeps_counter_totals(spark):
+    cells = log(spark, [("a", "c", "n", 1, 0, "increment", None, 20), ("a", "c", "n", 9, 0, "increment", None, 10)])
+    assert rows(C.scan(cells, min_ts=5), "value") == [("30",)]
+    assert C.scan(cells, min_ts=10).count() == 0
+
+
+def test_wide_form_by_family(spark):
+    cells = C.resolve(log(spark, [("a", "f", "q", 1, 0, "put", "z", None), ("a", "g", "q", 5, 0, "put", "a", None)]))
+    assert rows(C.to_wide(cells)) == [("a", "a")]
+    assert rows(C.to_wide(cells, by_family=True).select("f:q", "g:q")) == [("z", "a")]
+
+
+def test_many_split_keys(spark):
+    keys = [f"{i:05d}" for i in range(10_000)]
+    cells = log(spark, [(k, "c", "q", 1, 0, "put", "v", None) for k in ("00000", "00123x", "09999", "1", "")])
+    tagged = dict(rows(C.scan_ranges(cells, keys).select("row_key", "range_id")))
+    assert tagged == {"": 0, "00000": 1, "00123x": 124, "09999": 10_000, "1": 10_000}
 
 
 def test_hot_row_spreads_over_files(spark, tmp):

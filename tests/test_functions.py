@@ -76,6 +76,6 @@ def test_equals_ignore_case_and_nulls(spark):
 
 
 def test_split_names():
-    assert S.split_names("a, b,,null") == ["a", "b"]
+    assert S.split_names("a, b,,null") == ["a", "b", "null"]
     assert S.split_names(None) is None
     assert S.split_names("") is None
