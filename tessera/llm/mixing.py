@@ -114,7 +114,7 @@ def times_taken(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """``rows`` (with ``source``, ``doc_id``, ``size``, ``key``) plus source_size, target and ``times``, how often each is taken."""
     found = rows.join(small(limits, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("of_source")))
     place = _range(F.col("n_docs"), F.col("key"))
-    more = F.coalesce((place < F.col("edge")) | ((place == F.col("edge")) & (_order("key", "doc_id", "size") <= F.col("last"))), F.lit(False))
+    more = F.coalesce((F.col("rest") > 0) & ((place < F.col("edge")) | ((place == F.col("edge")) & (_order("key", "doc_id", "size") <= F.col("last")))), F.lit(False))
     return found.select(*rows.columns, "source_size", "target", (F.col("epochs") + more.cast("long")).cast("int").alias("times"))
 
 
