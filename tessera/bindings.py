@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def customer_cells(spark: SparkSession, sf_dir: str, *, num_salts: int = 0) -> DataFrame:
     """``customer`` as puts keyed by ``c_custkey`` in family ``c``."""
-    return df_to_cells(table(spark, sf_dir, "customer"), family=FAMILY, key_col="c_custkey",
+    return df_to_cells(table(spark, sf_dir, "customer"), family=FAMILY, key_col="c_custkey", ts=0,  # older than all events
                        num_salts=num_salts)
 
 

@@ -523,6 +523,45 @@ def cell_put(spark, d):
     return C.resolve(cells).select("row_key", "qualifier", "value")
 
 
+@register("cell_put_twice", """
+SELECT CAST(o_orderkey AS VARCHAR) AS row_key, o_orderpriority AS value FROM orders""")
+def cell_put_twice(spark, d):
+    orders = T(spark, d, "orders")
+    cell = {"row_key": "o_orderkey", "family": "c", "qualifier": "v"}
+    cells = C.put(C.empty_cells(spark), orders, value="o_orderstatus", **cell)
+    cells = C.put(cells, orders, value="o_orderpriority", **cell)  # wins as the later call, though less as text
+    return C.resolve(cells).select("row_key", "value")
+
+
+@register("cell_delete_then_put", """
+SELECT CAST(o_orderkey AS VARCHAR) AS row_key, CASE WHEN o_orderstatus = 'F' THEN 'again' ELSE o_orderpriority END AS value
+FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice > 200000""")
+def cell_delete_then_put(spark, d):
+    orders = T(spark, d, "orders")
+    cell = {"row_key": "o_orderkey", "family": "c", "qualifier": "v"}
+    cells = C.put(C.empty_cells(spark), orders, value="o_orderpriority", **cell)
+    done = orders.filter(F.col("o_orderstatus") == "F")
+    cells = C.delete(cells, done, row_key="o_orderkey")
+    cells = C.put(cells, done.filter(F.col("o_totalprice") > 200000), value=F.lit("again"), **cell)
+    return C.resolve(cells).select("row_key", "value")
+
+
+@register("cell_compaction_late", """
+SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS qualifier, CAST(arg_max(value, struct_pack(t := ts, e := event_id)) AS VARCHAR) AS value
+FROM events GROUP BY user_id, event_type""")
+def cell_compaction_late(spark, d):
+    ev = T(spark, d, "events")
+    puts = C.mutations(ev, row_key="user_id", family="c", qualifier=F.col("event_type"), value="value",
+                       **B.event_version(ev))
+    path, base = scratch_path(spark, "late-log"), scratch_path(spark, "late-base")
+    late = F.col("seq") % 2 == 0  # half of all puts, of all versions, arrive after the compaction
+    C.write_cells(puts.filter(~late), path)
+    covered = C.compact_to(C.read_cells(spark, path), base)
+    C.write_cells(puts.filter(late), path)
+    cells = C.read_compacted(spark, base, C.read_cells(spark, path), covered)
+    return C.resolve(cells).select("row_key", "qualifier", "value")
+
+
 def _funnel_case(col: str) -> str:
     whens = " ".join(f"WHEN {col} = '{new}' THEN {'NULL' if exp is None else repr(exp)}"
                      for new, exp in B.FUNNEL_EXPECTS)
