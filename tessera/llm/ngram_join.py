@@ -132,24 +132,16 @@ class Bands:
         """(segments up to one deletion, exact segments) with 2 * first + second > D, at least cost.
 
         Cost for a document: its keys, plus the partners it meets by chance in
-        buckets of (nearly) empty segments, taking a tenth of all documents to
+        buckets of nearly empty segments, taking a tenth of all documents to
         be in the band.
         """
         apart, size = self.most_apart(self.low[k + 1] - 1, self.low[k + 1] - 1), self.low[k]
         if apart == 0:
             return 0, 0
-        best = None
-        for loose in sorted({0, 1, 2, 3, (apart + 1) // 4, (apart + 1) // 2, (apart + 2) // 2}):
-            exact = max(0, apart + 1 - 2 * loose)
-            if loose > (apart + 2) // 2:
-                continue
-            m = loose + exact
-            s = size / m
-            empty, nearly = math.exp(-2 * s), ((1 + s) * math.exp(-s)) ** 2
-            cost = exact + loose * (1 + s) + 0.1 * documents * (exact * empty + loose * nearly)
-            if best is None or cost < best[0]:
-                best = cost, loose, exact
-        return best[1:]
+        if apart > 1:
+            return 0, apart + 1
+        halves = 2 + 0.1 * documents * 2 * math.exp(-size) * (1 + size)
+        return (1, 0) if 1 + size < halves else (0, 2)
 
     def of(self, size: int) -> list[int]:
         """The bands a set of this size takes part in: its own, and the next if a partner may be there."""
@@ -170,10 +162,14 @@ def segment_keys(h: np.ndarray, bands: Bands) -> np.ndarray:
         total = np.zeros(m, np.uint64)
         np.add.at(total, seg, v)
         tag = _mix((np.arange(m, dtype=np.uint64) + _U(k << 40)) * _GOLD)
-        out.append(_mix(total + tag))
+        held = np.bincount(seg, minlength=m) > 0
+        out.append(_mix(total + tag)[held])
         if loose:
-            near = seg < loose
-            out.append(_mix(total[seg[near]] - v[near] + tag[seg[near]]))
+            out.append(_mix(total[seg] - v + tag[seg]))
+        for i in np.flatnonzero(~held):  # an empty segment: the next one up to one deletion
+            after = (i + 1) % m
+            own = tag[i : i + 1] ^ _GOLD
+            out += [_mix(total[after : after + 1] + own), _mix(total[after] - v[seg == after] + own)]
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
 
 
