@@ -41,6 +41,9 @@ DICTIONARY_BYTES = 1_000_000
 DICTIONARY_SHARE = 0.5
 BLOCK, LEVEL = 2048, 6
 THRESHOLD = 0.3
+#: The measures that neither dictionary enters: good texts may lie in their middle, so their squares count as well.
+#: Those of the dictionaries count in one direction only; the more a text is like the good one, the better.
+PLAIN = slice(2, 5)
 
 
 @dataclass
@@ -53,6 +56,8 @@ class Model:
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
     weights: np.ndarray | None = None
+    low: np.ndarray | None = None
+    high: np.ndarray | None = None
 
 
 def held_out(doc_id: Column) -> Column:
@@ -85,9 +90,10 @@ class Measure:
         return [(bad - good) / (bad + good), worst, plain / n, len(self.plain(raw)) / n, math.log1p(len(raw)), good / plain, bad / plain]
 
 
-def _terms(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
-    z = np.clip((x - mean) / spread, -6, 6)
-    return np.concatenate([np.ones((len(z), 1)), z, z**2], axis=1)
+def _terms(x: np.ndarray, model: Model) -> np.ndarray:
+    """Terms of the curve. Measures beyond those it was fitted on, as texts inside a dictionary have, count as the outermost."""
+    z = np.clip((np.clip(x, model.low, model.high) - model.mean) / model.spread, -6, 6)
+    return np.concatenate([np.ones((len(z), 1)), z, z[:, PLAIN] ** 2], axis=1)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -117,7 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     weight = np.where(y == 1, counts[True] / max(len(rest[True]), 1), counts[False] / max(len(rest[False]), 1))
     weight /= weight.sum()
     mean, spread = weight @ x, x.std(axis=0) + 1e-9
-    terms = _terms(x, mean, spread)
+    model = Model(prior, texts[True], texts[False], mean, spread, None, x.min(axis=0), x.max(axis=0))
+    terms = _terms(x, model)
     w = np.zeros(terms.shape[1])
     for _ in range(60):  # Newton steps on the penalised likelihood
         p = 1 / (1 + np.exp(-np.clip(terms @ w, -30, 30)))
@@ -125,7 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         bend = (terms * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ terms + 1e-4 * np.eye(len(w))
         step = np.linalg.solve(bend, slope)
         w -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
-    return Model(prior, texts[True], texts[False], mean, spread, w)
+    model.weights = w
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -144,7 +152,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     found = np.full(part.num_rows, own.prior)
                 else:
                     x = np.array([measure.features(t.as_py()) for t in part.column(1)])
-                    found = 1 / (1 + np.exp(-np.clip(_terms(x, own.mean, own.spread) @ own.weights, -30, 30)))
+                    found = 1 / (1 + np.exp(-np.clip(_terms(x, own) @ own.weights, -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["row", "score"])
 
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
