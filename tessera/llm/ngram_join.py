@@ -96,7 +96,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     word = _mix(np.add.reduceat(value, start) + (stop - start).astype(np.uint64) * _GOLD)
     first = np.searchsorted(start, np.concatenate([[0], ends]))  # of each text among all words
     run = word.copy()
-    for k in range(1, words):
+    for k in range(1, min(words, len(word) + 1)):  # a chunk may have fewer words in all
         run[: len(word) - k] = _mix(run[: len(word) - k] * _GOLD + word[k:])
     sets = []
     for a, b in zip(first[:-1], first[1:], strict=True):

@@ -74,3 +74,10 @@ def test_bands_cover_every_pair_of_sizes():
             if a != b and bands.most_apart(a, b) >= b - a and bands.most_apart(a, b):
                 common = set(bands.of(a)) & set(bands.of(b))
                 assert any(2 * bands.plan[k][0] + bands.plan[k][1] > bands.most_apart(a, b) for k in common), (a, b)
+
+
+@pytest.mark.parametrize("words", range(1, 7))
+def test_chunks_of_few_words(words):
+    for text in ("one", "one two", "one two three", "one two three four"):
+        alone, beside = J.shingle_sets([text.encode()], words), J.shingle_sets([text.encode(), b"x " * 9], words)
+        assert list(alone[0]) == list(beside[0]) and len(alone[0]) == max(1, len(text.split()) - words + 1)
