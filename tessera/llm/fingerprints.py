@@ -6,14 +6,15 @@ is 1. Two texts at small edit distance fall back into step after an edit, so
 their emitted strings are at small Hamming distance. A text of n characters is
 walked whole, about 2 n steps.
 
-The fingerprint is a sample of the embedding (bit sampling): texts of 2^(k-1)
-to 2^k characters have scale k and are sampled at ``SAMPLES`` shared random steps
-below 2.25 * 2^k, and as many of scale k - 1, so that texts whose lengths differ by a
-factor of up to two (or more, if their scales are neighbours) share a scale.
+The fingerprint is a sample of the embedding (bit sampling): texts of 2^(k-2)
+to 2^(k-1) characters have scale k and are sampled at ``SAMPLES`` shared random steps
+below 2.25 * 2^k, and as many of scale k - 1, whose steps cover the whole text.
+Texts whose lengths differ by a factor of up to two (or more, if their scales
+are neighbours) so share a scale that covers both whole.
 It is written as ``k:`` and two hexadecimal digits a sample, 00 after the
 text's end. The likeness of two fingerprints is the share of equal samples of
-the larger scale both have, of those where either text goes on (0 if there is
-no common scale, 1 for two empty texts).
+the scale that covers the longer text, of those where either text goes on (0 if
+they don't share it, 1 for two empty texts).
 
 Walks run in lockstep over many texts of one scale with numpy (the bits of a
 step are one 64-bit word), few or very long ones alone.
@@ -52,7 +53,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def scale(n: int) -> int:
-    return max(LEAST_SCALE, (n - 1).bit_length())
+    """The larger scale of a text of n characters; the steps of the one below cover the text."""
+    return max(LEAST_SCALE, (n - 1).bit_length()) + 1
 
 
 @functools.lru_cache(maxsize=64)
@@ -74,14 +76,13 @@ def _walk(classes: np.ndarray, symbols: np.ndarray, begin: np.ndarray, end: np.n
     wanted = np.concatenate(low)
     steps = np.unique(wanted)
     seen = np.zeros((len(steps), len(begin)), np.uint8)
-    words = _steps(1 << int(steps[-1] + 1).bit_length())
+    words = _steps(int(steps[-1]) + 1)
     if len(begin) < LOCKSTEP:
-        listed = words[: steps[-1] + 1].tolist()
         for t, (b, e) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
             own, at, j = classes[b : e + 1].tobytes(), 0, 0
             for s, upto in enumerate(steps.tolist()):
                 if at < e - b:
-                    for word in listed[j:upto]:
+                    for word in words[j:upto].tolist():
                         at += word >> own[at] & 1
                 j = upto
                 seen[s, t] = symbols[b + at]
@@ -124,13 +125,13 @@ def embed(texts: list[str]) -> list[str]:
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal samples at the larger common scale, 0 to 1."""
+    """Share of equal samples at the scale that covers the longer text, 0 to 1."""
     if not a or not b:
         return float(a == b)
     (ka, sa), (kb, sb) = ((int(x[0]), np.frombuffer(bytes.fromhex(x[1]), np.uint8)) for x in (a.split(":"), b.split(":")))
     if abs(ka - kb) > 1:
         return 0.0
-    k = min(ka, kb)
+    k = max(ka, kb) - 1
     x, y = (s[:SAMPLES] if own == k else s[SAMPLES:] for own, s in ((ka, sa), (kb, sb)))
     goes_on = int(np.count_nonzero((x > 0) | (y > 0)))
     return int(np.count_nonzero((x == y) & (x > 0))) / goes_on if goes_on else 0.0

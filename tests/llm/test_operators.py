@@ -209,6 +209,20 @@ def test_fingerprints_equal_a_plain_walk_in_lockstep_and_alone():
     assert [fingerprints.embed([t])[0] for t in texts[:40]] == together[:40]
 
 
+def test_likeness_looks_at_the_whole_of_the_longer_text():
+    rng = random.Random(8)
+    for n in (1100, 1400, 1700, 2000, 2048):
+        found = []
+        for _ in range(12):
+            text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+            changed = fingerprints.edited(text, "".join(rng.choice("ABCDEFG") for _ in range(10)))  # one scale lower
+            found.append(fingerprints.likeness(*fingerprints.embed([text, changed])))
+        assert 0.4 < sum(found) / len(found) < 0.6, (n, found)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(1800))
+    other = text[:900] + text[900:].upper()  # one scale
+    assert 0.35 < fingerprints.likeness(*fingerprints.embed([text, other])) < 0.65 and fingerprints.likeness(*fingerprints.embed([text, text])) == 1
+
+
 def test_edited_texts_meet_their_successors(spark):
     rng = random.Random(4)
     rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(0, 400)))) for i in rng.sample(range(1000), 120)] + [(2000, None)]
