@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import materialise, ship, text_or_empty
-from .ngram_join import components
+from .ngram_join import _labelled, components
 
 SAMPLES, LEAST_SCALE = 128, 3
 #: Characters walked together; bounds a worker's memory.
@@ -239,9 +239,20 @@ def near_components(prints: DataFrame, least: float = 0.8, bands: int = 32, widt
 
     Rows with equal fingerprints form a class. Bands are ``width`` sampled
     symbols of one scale; of each bucket all classes are verified against the
-    one with the least id, by ``likeness``; verified links are connected. No
-    all-pairs list is built. Finding by bands is probabilistic: a pair of
-    likeness s meets in one of them with probability 1 - (1 - s^width)^bands.
+    one with the least id, by ``likeness``, and verified links are connected.
+    Where classes stay outside their hub's component, the least of them is
+    the group's pivot and all are verified against it, too. What is still
+    apart is compared by differences from the pivot: two like fingerprints
+    share one of the first of their differing samples, in any order that all
+    agree on (rare ones first), or both are close to the pivot (prefix
+    filter). Pairs met so are verified as they are joined and only links are
+    kept, so no all-pairs list is built. No link between classes that share a
+    bucket is left out if it could change a component; in the worst case (many
+    strangers with the same rare samples) that takes a group's size squared.
+
+    A pair of likeness ``least`` or more always shares a bucket if fewer than
+    ``bands`` of its samples may differ and bands don't overlap, as by default;
+    else a pair of likeness s does with probability 1 - (1 - s^width)^bands.
     """
     ship(prints)
     classes = materialise(prints.where("fingerprint <> ''").groupBy("fingerprint").agg(F.min("doc_id").alias("class_id")), "fp-classes")
@@ -250,13 +261,11 @@ def near_components(prints: DataFrame, least: float = 0.8, bands: int = 32, widt
 
     def band(level: int):
         start = lambda i: level * 2 * SAMPLES + i * 2 * stride + 1
-        return F.array(*[F.concat_ws("/", F.greatest(k - level, F.lit(LEAST_SCALE)).cast("string"), F.lit(str(i)), F.substring(body, start(i), 2 * min(width, stride))) for i in range(bands)])
+        return F.array(*[F.concat_ws("/", (k - level).cast("string"), F.lit(str(i)), F.substring(body, start(i), 2 * min(width, stride))) for i in range(bands)])
 
-    posted = classes.select("class_id", "fingerprint", F.explode(F.concat(band(0), band(1))).alias("band"))
-    posted = posted.where(~F.col("band").rlike("/0+$"))
-    hubs = materialise(posted.groupBy("band").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("top")).where("top > hub").select("band", "hub"), "fp-hubs")
-    pairs = posted.select("band", "class_id").join(hubs, "band").where("hub <> class_id").select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
-    both = pairs.join(classes.select(F.col("class_id").alias("a"), F.col("fingerprint").alias("fa")), "a").join(classes.select(F.col("class_id").alias("b"), F.col("fingerprint").alias("fb")), "b")
+    def linked(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(classes.select(F.col("class_id").alias("a"), F.col("fingerprint").alias("fa")), "a").join(classes.select(F.col("class_id").alias("b"), F.col("fingerprint").alias("fb")), "b")
+        return both.select("a", "b", "fa", "fb").mapInArrow(verify, "a long, b long")
 
     def verify(batches):
         for b in batches:
@@ -264,5 +273,99 @@ def near_components(prints: DataFrame, least: float = 0.8, bands: int = 32, widt
             kept = [(i, j) for i, j, p, q in zip(a, c, x, y, strict=True) if likeness(p, q) >= least]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in kept], pa.int64()), pa.array([j for _, j in kept], pa.int64())], ["a", "b"])
 
-    labels = components(both.select("a", "b", "fa", "fb").mapInArrow(verify, "a long, b long"))
+    posted = classes.select("class_id", F.explode(F.concat(band(0), band(1))).alias("band"))
+    posted = posted.where(~F.col("band").rlike("/0+$")).withColumn("scale", F.split_part("band", F.lit("/"), F.lit(1)).cast("int"))
+    hubs = materialise(posted.groupBy("band").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("top")).where("top > hub").select("band", "hub"), "fp-hubs")
+    stars = materialise(posted.join(hubs, "band").where("hub <> class_id").select(F.col("hub").alias("a"), F.col("class_id").alias("b"), "scale").distinct(), "fp-stars")
+    links = materialise(linked(stars.select("a", "b").distinct()), "fp-links")
+    labels = components(links)
+
+    # groups of which a member is outside its hub's component: the least such member is the pivot
+    outside = _labelled(_labelled(stars, labels, "a"), labels, "b").where("label_a <> label_b")
+    pivots = materialise(outside.groupBy("a", "scale").agg(F.min("b").alias("pivot")), "fp-pivots")
+    groups = materialise(stars.join(pivots, ["a", "scale"]).select(F.col("pivot").alias("a"), "b", "scale").distinct(), "fp-groups")
+    links = links.union(materialise(linked(groups.where("a <> b").select("a", "b").distinct()), "fp-turned"))
+    labels = components(links)
+
+    # what is apart from its pivot shares an early difference with what it links with
+    members = _labelled(_labelled(groups, labels, "a"), labels, "b").withColumn("apart", F.col("label_a") != F.col("label_b"))
+    open_groups = members.groupBy("a", "scale").agg(F.max("apart").alias("open")).where("open").select("a", "scale")
+    sampled = lambda end, name: classes.select(F.col("class_id").alias(end), k.alias(f"k_{end}"), body.alias(name))
+    at_scale = lambda end, name: F.unhex(F.substring(F.col(name), 2 * SAMPLES * (F.col(f"k_{end}") - F.col("scale")) + 1, F.lit(2 * SAMPLES)))
+    members = members.join(open_groups, ["a", "scale"]).join(sampled("a", "at_a"), "a").join(sampled("b", "at_b"), "b")
+    members = materialise(members.select("a", "scale", "b", "k_b", "label_b", "apart", at_scale("b", "at_b").alias("own"), at_scale("a", "at_a").alias("pivot")), "fp-members")
+    early = materialise(_early_differences(members, least), "fp-early")
+    one, other = early.where("apart").alias("x"), early.alias("y")
+    met = (one.join(other, (F.col("x.a") == F.col("y.a")) & (F.col("x.scale") == F.col("y.scale")) & (F.col("x.element") == F.col("y.element")))
+           .where((F.col("x.label_b") != F.col("y.label_b")) & (~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))))
+           .where(F.greatest("x.k_b", "y.k_b") == F.col("x.scale") + 1)  # others are compared at the scale below
+           .select(F.col("x.b").alias("a"), F.col("y.b").alias("b"), F.col("x.own").alias("fa"), F.col("y.own").alias("fb")))
+
+    def verify_sampled(batches):
+        for b in batches:
+            x, y = _sampled(b.column(2)), _sampled(b.column(3))
+            goes_on = np.count_nonzero((x > 0) | (y > 0), axis=1)
+            like = np.count_nonzero((x == y) & (x > 0), axis=1) / np.maximum(goes_on, 1) >= least
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(like)), b.column(1).filter(pa.array(like))], ["a", "b"])
+
+    more = materialise(met.mapInArrow(verify_sampled, "a long, b long").distinct(), "fp-more")
+    if more.limit(1).count():
+        labels = components(links.union(more))
     return classes.join(labels.select(F.col("node").alias("class_id"), "label"), "class_id", "left").select("fingerprint", "class_id", F.coalesce("label", "class_id").alias("component_id"))
+
+
+def _sampled(column: pa.Array) -> np.ndarray:
+    """The samples of one scale, one row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SAMPLES)
+
+
+def _early_differences(members: DataFrame, least: float) -> DataFrame:
+    """(a, scale, b, k_b, label_b, apart, own, element) from ``members``: the rarest differences of ``own`` from ``pivot``.
+
+    With g samples before its end a fingerprint differs from a like one in
+    at most ``most`` of g (1 - least) / least samples (the other may be
+    longer), so ``most`` + 1 differences are enough. If like ones share none,
+    both have at most ``most``; all such have element -1.
+    """
+    places = np.arange(SAMPLES, dtype=np.int64) * 256
+
+    def count(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            x, scales = _sampled(b.column(1)), b.column(0).to_numpy()
+            for level in np.unique(scales):
+                held[level] = held.get(level, 0) + np.bincount((x[scales == level] + places).ravel(), minlength=256 * SAMPLES)
+        for level, n in held.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), level, np.int32)), pa.array(at), pa.array(n[at])], ["scale", "element", "n"])
+
+    counted = members.select("scale", "own").mapInArrow(count, "scale int, element long, n long").groupBy("scale", "element").agg(F.sum("n").alias("n"))
+    held = {}
+    for page in counted.groupBy("scale").agg(F.collect_list(F.struct("element", "n")).alias("cells")).toLocalIterator():  # a scale has at most 32,768 cells
+        held[page["scale"]] = np.zeros(256 * SAMPLES, np.int64)
+        held[page["scale"]][[c["element"] for c in page["cells"]]] = [c["n"] for c in page["cells"]]
+    shared = members.sparkSession.sparkContext.broadcast(held)
+    never = np.iinfo(np.int64).max
+
+    def run(batches):
+        for b in batches:
+            x, p, scales = _sampled(b.column(6)), _sampled(b.column(7)), b.column(1).to_numpy()
+            codes, differ = x + places, x != p
+            ranks = np.full(codes.shape, never)
+            for level in np.unique(scales):
+                own = scales == level
+                ranks[own] = shared.value[level][codes[own]] * (256 * SAMPLES) + codes[own]
+            ranks[~differ] = never
+            n, goes_on = differ.sum(axis=1), np.count_nonzero(x, axis=1)
+            most = np.minimum(goes_on * (1 - least) / max(least, 1e-9), SAMPLES * (1 - least)) + 1e-9
+            most = most.astype(np.int64)
+            order = np.argsort(ranks, axis=1)
+            row, place = np.nonzero(np.arange(SAMPLES) < np.minimum(n, most + 1)[:, None])
+            close = np.flatnonzero(n <= most)
+            rows = np.concatenate([row, close])
+            elements = np.concatenate([codes[row, order[row, place]], np.full(len(close), -1)])
+            for at in range(0, len(rows), 50_000):
+                part = pa.array(rows[at : at + 50_000])
+                yield pa.RecordBatch.from_arrays([*(c.take(part) for c in b.columns[:7]), pa.array(elements[at : at + 50_000])], [*b.schema.names[:7], "element"])
+
+    return members.mapInArrow(run, "a long, scale int, b long, k_b int, label_b long, apart boolean, own binary, element long")

@@ -251,6 +251,45 @@ def test_near_components_find_near_copies(spark):
     assert sum(found[10 * g + 2] == 10 * g for g in range(12)) >= 11 and all(found[i] // 10 == i // 10 for i in found)
 
 
+def test_near_components_among_strangers_on_one_template(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    template = [rng.integers(1, 30, 128) for _ in range(3)]  # scales 7, 8 and 9
+
+    def stranger():
+        out = [t.copy() for t in template]
+        for s in out:
+            s[92:] = rng.integers(1, 30, 36)  # whole bands are the template's, so the least id is every such bucket's hub
+        return out
+
+    def near(of, n):
+        out = [s.copy() for s in of]
+        for s in out:
+            at = np.concatenate([92 + 4 * np.arange(9), rng.permutation([i for i in range(92, 128) if i % 4])])[:n]  # no band beyond the template agrees
+            s[at] = (s[at] + rng.integers(1, 28, n)) % 29 + 1
+        return out
+
+    def written(scales, k):  # at scale k the text ends halfway if k covers it twice
+        high, low = scales[k - 7].copy(), scales[k - 8]
+        return f"{k}:" + bytes([int(x) for x in [*high, *low]]).hex()
+
+    made = []
+    for g in range(100):
+        first = stranger()
+        made.append(written(first, 8 + g % 2))
+        if g % 2:
+            made.append(written(near(first, 20 + g % 8), 8 + g // 2 % 2))
+    rng.shuffle(made)
+    prints = spark.createDataFrame([(i, f) for i, f in enumerate(made)], "doc_id long, fingerprint string")
+    found = {r.class_id: r.component_id for r in fingerprints.near_components(prints).collect()}
+    root = list(range(len(made)))
+    links = [(i, j) for i in root for j in range(i) if fingerprints.likeness(made[i], made[j]) >= 0.8]
+    for _ in root:
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    assert len(links) > 20 and found == dict(enumerate(root))
+
+
 # ------------------------------------------------------------------ quality
 
 def test_quality_on_held_out_labels(spark):
