@@ -63,6 +63,8 @@ BAND_RATIO = 1.5
 BITMAP_LOG2 = 26
 #: Most rows of an id list that is broadcast; beyond it, joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Classes of a part of a component whose links are counted, and most parts of one.
+COUNT_PART, MOST_PARTS = 2_000, 64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -309,14 +311,34 @@ def _labelled(pairs: DataFrame, labels: DataFrame, end: str) -> DataFrame:
     return pairs.join(named, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def _link_counts(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(set_key, n_links): with how many other classes each class links, exactly.
+
+    Links lie within components, so each component is joined with itself,
+    large ones in parts, and verified pairs are counted as they come: pairs
+    aren't written or shuffled, but all of a component are looked at, so this
+    takes its size squared.
+    """
+    held = labels.groupBy("label").agg(F.least(F.ceil(F.count("*") / COUNT_PART), F.lit(MOST_PARTS)).cast("int").alias("parts"))
+    own = sets.dropDuplicates(["set_key"]).join(labels.select(F.col("node").alias("set_key"), "label").join(held, "label"), "set_key")
+    own = materialise(own.withColumn("part", F.pmod(F.xxhash64("set_key"), "parts").cast("int")), "grouped")
+    x, y = own.alias("x"), own.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    near = F.least(F.size("x.grams"), F.size("y.grams")) * 100 >= F.greatest(F.size("x.grams"), F.size("y.grams")) * percent
+    pairs = x.join(y, (F.col("x.label") == F.col("y.label")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.set_key") < F.col("y.set_key")) & near)
+    shared = F.size(F.array_intersect("x.grams", "y.grams")).cast("long")
+    counted = pairs.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b"), shared.alias("shared"), (F.size("x.grams") + F.size("y.grams")).cast("long").alias("sizes"))
+    linked = counted.where(F.col("shared") * 100 >= (F.col("sizes") - F.col("shared")) * percent)
+    return linked.select(F.explode(F.array("a", "b")).alias("set_key")).groupBy("set_key").agg(F.count("*").alias("n_links"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
     """Link documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more.
 
     ``docs`` has ``doc_id`` and ``text``. Returns for each row ``doc_id``,
     ``n_shingles`` (set size), ``component_id`` (smallest doc_id reachable by
-    links, its own included), ``class_id`` (smallest doc_id with an equal set)
-    and ``n_links`` (links to other classes
-    that were found on the way; not all links within a group are looked at).
+    links, its own included) and ``class_id`` (smallest doc_id with an equal set),
+    and with ``count_links`` also ``n_links`` (links to other classes, all of
+    them), for which every pair within a component is compared.
     See the module's text for nulls, empty texts, repeated rows and empty tables.
     """
     ship(docs)
@@ -375,11 +397,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     if more.limit(1).count():
         links = links.union(more)
         labels = components(links)
-    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    ends = links.select(F.col("a").alias("set_key")).union(links.select(F.col("b").alias("set_key"))).groupBy("set_key").agg(F.count("*").alias("n_links"))
-    classes = materialise(sizes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")).join(ends, "set_key", "left"), "classed")
+    classes = materialise(sizes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")), "classed")
     least = materialise(classes.groupBy("label").agg(F.min("class_id").alias("component_id")), "least")
-    final = materialise(classes.join(least, "label").select("set_key", "class_id", "component_id", "n_links"), "final")
-    return (marked.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    final = materialise(classes.join(least, "label").select("set_key", "class_id", "component_id"), "final")
+    found = marked.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
+    columns = ["doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id")]
+    if count_links:
+        found = found.join(_link_counts(sets, labels, percent), "set_key", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return found.select(*columns)

@@ -59,6 +59,21 @@ def test_components_equal_brute_force(spark, words, percent):
     assert got == brute(rows, words, percent)
 
 
+def test_links_are_counted_exactly(spark, monkeypatch):
+    monkeypatch.setattr(J, "COUNT_PART", 7)  # components in several parts
+    rows = near_copies(random.Random(11))
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = frozenset(tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))) if w else frozenset()
+    classes = {s for s in sets.values() if s}
+    want = {i: sum(10 * len(s & o) >= 9 * len(s | o) for o in classes if s and o != s) for i, s in sets.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in J.jaccard_components(df, 3, 90, count_links=True).collect()}
+    assert got == want and max(want.values()) > 5
+    assert "n_links" not in J.jaccard_components(df.limit(0)).columns
+
+
 def test_empty_table_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert J.jaccard_components(empty).count() == 0
