@@ -52,7 +52,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that occur earlier, and what was removed, by original offsets."""
-    found = substring_dedup.dedup_units(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = substring_dedup.dedup_units(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=5)  # as its SQL says
     runs = F.coalesce("spans", F.array().cast(found.schema["spans"].dataType))
     total = lambda f: F.aggregate(runs, F.lit(0).cast("long"), lambda a, s: a + f(s))
     return found.select(

@@ -4,10 +4,11 @@ Units are the pieces of a text between separators (a line feed, or an empty
 line for paragraphs). A unit is normalised (lower case, white space runs as
 one space, trimmed) and known by a 128-bit digest. Digests are grouped over
 the whole table; the occurrence with the least (doc_id, null last; place) stays and
-the others are removed, whether in the same text or in others. Units of fewer
-than ``min_words`` words (5 by default) are left alone, because short phrases
-recur by chance. The result keeps, for each removed run of units, its offsets
-in the original text.
+the others are removed, whether in the same text or in others. Every unit that
+isn't only white space counts, however short; with ``min_words`` those of fewer
+words (separated by white space, so a line of Chinese is one) are left alone.
+The result keeps, for each removed run of units, its offsets in the original
+text.
 
 Digests are counted with a combine before the shuffle, so a unit that a third
 of the table holds moves one row for each task; the join back is on the
@@ -63,7 +64,7 @@ def _unit_rows(base: DataFrame, separator: str, min_words: int) -> DataFrame:
 _TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -> DataFrame:
+def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 1) -> DataFrame:
     """``docs`` (with ``doc_id``, ``text``) as struct ``row``, plus ``spans`` and ``clean_text``.
 
     ``spans``: removed runs of units, as (first, last) unit numbers and

@@ -112,6 +112,13 @@ def test_substring_dedup_keeps_offsets(spark):
     assert {r.row.doc_id: r.clean_text for r in substring_dedup.dedup_units(paragraphs, "\n\n").collect()} == {1: f"{line}\n\nx", 2: "y\n\nz"}
 
 
+def test_substring_dedup_removes_short_and_spaceless_lines(spark):
+    chinese, url = "重复的一行没有空格" * 20, "https://example.org/" + "a" * 300
+    rows = [(1, f"{chinese}\n{url}\nDie tz."), (2, f"own\n{chinese}\n\n{url}\nlast"), (3, "die  TZ."), (4, "\n \n")]
+    got = {r.row.doc_id: r.clean_text for r in substring_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "own\n\nlast", 3: "", 4: "\n \n"}
+
+
 def test_dedups_on_awkward_rows(spark):
     for f in (line_dedup.dedup_lines, substring_dedup.dedup_units):
         assert f(awkward(spark)).count() == len(AWKWARD)
