@@ -32,7 +32,8 @@ How the job runs:
 Texts with equal sets form one class and take part once. Hashes of 64 bits
 stand for shingles and sets (a false match of two given sets has a chance near
 2^-64). Nulls and texts without words have the empty set, link with nothing and
-keep their own component. Rows with equal ``doc_id`` are one document for the
+keep their own component. Rows without ids take part by their texts; a component
+of them alone has a null id. Rows with equal ``doc_id`` are one document for the
 purpose of ``component_id`` (each row is returned). An empty table gives an
 empty result. Extra columns are ignored.
 """
@@ -361,9 +362,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     buckets = materialise(ranked.drop("score").join(hubs, "seg_key"), "buckets")
 
     stars = materialise(buckets.where("hub <> set_key").select(F.col("hub").alias("a"), F.col("set_key").alias("b")).distinct(), "stars")
-    nodes = buckets.select("set_key").distinct().join(sizes, "set_key")
-    wanted = materialise(nodes.select(F.col("class_id").alias("doc_id")), "wanted")
-    sets = materialise(_sets(base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi"), words), "sets")
+    nodes = materialise(buckets.select("set_key").distinct().join(sizes, "set_key").select("set_key", F.col("class_id").alias("doc_id")), "wanted")
+    wanted = nodes.where("doc_id is not null").select("doc_id")
+    sets = _sets(base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi"), words)
+    nameless = nodes.where("doc_id is null").select("set_key")
+    if nameless.limit(1).count():  # classes of rows without ids
+        sets = sets.union(_sets(base.where("doc_id is null"), words).join(nameless, "set_key", "left_semi").dropDuplicates(["set_key"]))
+    sets = materialise(sets, "sets")
 
     checked = materialise(_verify(stars, sets, percent).distinct(), "checked")
     links = checked.where("linked").select("a", "b")

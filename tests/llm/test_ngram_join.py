@@ -82,6 +82,13 @@ def test_empty_table_and_null_ids(spark):
     assert got == [(-1, 2, 3), (3, 2, 3), (3, 2, 3), (5, 0, 5)]
 
 
+def test_rows_without_ids_link_others(spark):
+    text = lambda n: " ".join(f"w{i}" for i in range(n + 2))
+    rows = [(7, text(50)), (None, text(45)), (3, text(40)), (None, text(45).replace("w", "v")), (None, text(46).replace("w", "v"))]  # 40 and 50: below 85 %
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()), key=str)
+    assert got == sorted([(7, 50, 3), (None, 45, 3), (3, 40, 3), (None, 45, None), (None, 46, None)], key=str)
+
+
 def test_bands_cover_every_pair_of_sizes():
     bands = J.Bands(90, 1000)
     for a in range(1, 700):
