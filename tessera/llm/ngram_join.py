@@ -5,8 +5,9 @@ hashes. Two sets R, S with Jaccard similarity t or more differ in at most
 ``D = (|R| + |S|) (1 - t) / (1 + t)`` elements. The universe of hashes is cut
 into segments, as many as a size band's D asks for; similar sets then agree on
 one segment exactly, or up to one element on a segment that is indexed with
-its one-deletion neighbourhood (pigeonhole). A cost model picks, by band, how
-many segments are indexed each way.
+its one-deletion neighbourhood (pigeonhole). Bands with D > 1 have D + 1 exact
+segments; only with D = 1 a cost decides between the two ways. Of an empty
+segment the next one is indexed up to one deletion instead.
 
 How the job runs:
 
