@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, fingerprints, html_extract, line_dedup, mixing, ngram_join, quality, sharding, substring_dedup
+from . import bpe, conversations, exact_dedup, fingerprints, html_extract, line_dedup, mixing, ngram_join, quality, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,6 +109,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every damaged conversation."""
+    return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")), gone="gone")
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES["op1_ngram_jaccard_join"] = rf"""
@@ -216,3 +222,74 @@ removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT p.doc_id, len(p.u)::BIGINT AS n_lines, coalesce(r.n, 0)::BIGINT AS n_removed, CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM pieces p LEFT JOIN removed r ON r.doc_id = p.doc_id LEFT JOIN kept k ON k.doc_id = p.doc_id
 """
+
+
+def _edited(state: str, cost: int, letter: str) -> str:
+    """A state of the SQL repair is its cost in nine digits, then its audit, so that text order is the order wanted."""
+    return f"lpad((left({state}, 9)::INT + {cost})::VARCHAR, 9, '0') || substr({state}, 10) || '{letter}'"
+
+
+_I2 = f"least(x2, {_edited('x0', 5, 'I')}, {_edited('x1', 5, 'I')}, {_edited('x3', 5, 'I')})"
+_KEPT = {
+    x: " , ".join(f"CASE WHEN NOT m THEN CASE WHEN r = '{x}' THEN " + _edited(y, 0, "K") + " ELSE " + _edited(y, 1, "R") + " END END" for y in ys)
+    for x, ys in {"u": ("y0", "y1", "y3"), "a": ("y2",)}.items()
+}
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256)) AS i)),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS h
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT * FROM hashed UNION ALL SELECT * FROM hashed WHERE h = 3) WHERE h <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS r FROM damaged),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '{_WORDS}') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS met FROM placed),
+steps AS (SELECT conv_id, i, r, fault IN ('blank', 'duplicate') AS m, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS t FROM faults),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (met IS NOT NULL AND met NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+states AS (
+  SELECT conv_id, 0::BIGINT AS i, '000000000' AS x0, NULL::VARCHAR AS x1, NULL::VARCHAR AS x2, NULL::VARCHAR AS x3 FROM counts
+  UNION ALL
+  SELECT conv_id, i, {_edited('y0', 2, 'D')},
+    least({_edited('y1', 2, 'D')}, CASE WHEN NOT m AND r = 's' THEN lpad((left(y0, 9)::INT + t)::VARCHAR, 9, '0') || substr(y0, 10) || 'K' END),
+    least({_edited('y2', 2, 'D')}, k2), least({_edited('y3', 2, 'D')}, k3)
+  FROM (
+    SELECT *, lpad((left(u, 9)::INT + t)::VARCHAR, 9, '0') || substr(u, 10) AS k2, lpad((left(a, 9)::INT + t)::VARCHAR, 9, '0') || substr(a, 10) AS k3
+    FROM (
+      SELECT *, least({_KEPT['u']}, NULL) AS u, least({_KEPT['a']}, NULL) AS a
+      FROM (
+        SELECT s.conv_id, w.i, w.r, w.m, w.t, x0 AS y0, x1 AS y1, {_I2} AS y2, least(x3, {_edited(_I2, 5, 'I')}) AS y3
+        FROM states s JOIN steps w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = s.i + 1)))),
+goals AS (
+  SELECT s.conv_id, least(x0, x3, {_edited(_I2, 5, 'I')}) AS best FROM states s JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.i),
+letters AS (
+  SELECT conv_id, unnest(string_split(substr(best, 10), '')) AS letter, generate_subscripts(string_split(substr(best, 10), ''), 1) AS p FROM goals WHERE length(best) > 9),
+numbered AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS o FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+written AS (
+  SELECT n.conv_id, n.letter, n.p, n.o, f.role, f.r, f.text FROM numbered n LEFT JOIN placed f ON n.letter <> 'I' AND f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.i
+  WHERE n.letter <> 'D'),
+heads AS (SELECT conv_id, bool_or(o = 1 AND letter = 'K' AND r = 's')::INT AS head FROM written GROUP BY conv_id),
+repaired AS (
+  SELECT w.conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (o - 1 - head) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS whole
+  FROM written w JOIN heads h ON h.conv_id IS NOT DISTINCT FROM w.conv_id GROUP BY w.conv_id)
+SELECT k.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(left(g.best, 9)::BIGINT, 0) AS cost,
+  coalesce(substr(g.best, 10), '') AS audit, sha256(coalesce(p.whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN goals g ON g.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
