@@ -36,14 +36,14 @@ def plain_damage(rows):
 
 
 def plain_repair(turns):
-    """All audits: each row kept, given a role or deleted, with up to two inserted rows at every place."""
+    """All audits: each row kept, given a role or deleted, with an inserted row or none at every place."""
     faults, seen = [], set()
     for _, role, text in turns:
         bare = text.rstrip(WHITE)
         faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
         seen.add((role, text))
     best = None
-    gaps = [[()] + [(x,) for x in "ua"] + [tuple(p) for p in itertools.product("ua", repeat=2)]] * (len(turns) + 1)
+    gaps = [[(), ("u",), ("a",)]] * (len(turns) + 1)
     own = [["D"] if f in ("blank", "duplicate") else ["D", "K", "Ru", "Ra"] for f in faults]
     for edits in itertools.product(*own):
         for inserted in itertools.product(*gaps):
@@ -85,7 +85,16 @@ def test_repair_equals_all_edits(spark):
     got = {r[0]: tuple(r)[1:] for r in conversations.repair(conversations.damage(frame(spark, rows)), gone="gone").collect()}
     want = {conv: plain_repair(turns) for conv, turns in plain_damage(rows)}
     assert got == want
-    assert "" in {w[6] for w in want.values()} and any("I" in w[6] for w in want.values())
+    assert {"K", "R", "D"} <= set("".join(w[6] for w in want.values())) and "" in {w[6] for w in want.values()}
+
+
+def test_dear_deletions_lead_to_insertions(monkeypatch):
+    """With the contract's costs no insertion pays; with dearer deletions it does."""
+    monkeypatch.setattr(conversations, "DELETE", 9)
+    repair = conversations.Repair()
+    out = [*repair.add(0, "system", "Be brief.", False), *repair.add(1, "assistant", "Yes.", False), *repair.end()]
+    assert out == [("K", "system", "Be brief."), ("I", "user", ""), ("K", "assistant", "Yes.")]
+    assert repair.summary()[-2:] == (5, "KIK")
 
 
 def test_blocks_do_not_matter(monkeypatch):
@@ -98,7 +107,7 @@ def test_blocks_do_not_matter(monkeypatch):
             monkeypatch.setattr(conversations, "BLOCK", block)
             repair, out = conversations.Repair(), []
             for i, (role, text, again) in enumerate(rows):
-                out += repair.add(i, role, text if rng else text, again)
+                out += repair.add(i, role, text, again)
             out += repair.end()
             results.add((repair.summary(), tuple(out)))
         assert len(results) == 1
