@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, conversations, exact_dedup, fingerprints, html_extract, line_dedup, mixing, ngram_join, quality, sharding, substring_dedup
+from . import bpe, conversations, exact_dedup, fingerprints, html_extract, line_dedup, mixing, ngram_join, periodic_runs, quality, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,6 +115,20 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")), gone="gone")
 
 
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, the most repeating one, and what is left without repetitions."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, alter=periodic_runs.planted_period)
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    # more exponent, then smaller start, then smaller period; runs come by start and period
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    return found.select("row.doc_id", "runs", "clean_text", lines.alias("lines"), best.alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("clean_text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES["op1_ngram_jaccard_join"] = rf"""

@@ -91,6 +91,7 @@ def test_repair_equals_all_edits(spark):
 def test_dear_deletions_lead_to_insertions(monkeypatch):
     """With the contract's costs no insertion pays; with dearer deletions it does."""
     monkeypatch.setattr(conversations, "DELETE", 9)
+    monkeypatch.setattr(conversations, "REROLE", 9)
     repair = conversations.Repair()
     out = [*repair.add(0, "system", "Be brief.", False), *repair.add(1, "assistant", "Yes.", False), *repair.end()]
     assert out == [("K", "system", "Be brief."), ("I", "user", ""), ("K", "assistant", "Yes.")]
