@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, conversations, exact_dedup, fingerprints, html_extract, line_dedup, mixing, ngram_join, periodic_runs, quality, sharding, substring_dedup
+from . import bpe, conversations, exact_dedup, fingerprints, html_extract, line_dedup, mixing, ngram_join, periodic_runs, quality, secrets, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,6 +129,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("clean_text").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+@_query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document that hold secrets."""
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(kinds) - F.size(F.array_remove(kinds, k)) for k in range(3)]
+    return found.select("row.doc_id", *[c.cast("long").alias(f"n_{k}") for c, k in zip(counts, secrets.KINDS, strict=False)], F.sha2(secrets.written("base").cast("binary"), 256).alias("base_sha256"),
+                        secrets.written(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES["op1_ngram_jaccard_join"] = rf"""
@@ -307,3 +317,72 @@ LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM k.conv_id
 LEFT JOIN goals g ON g.conv_id IS NOT DISTINCT FROM k.conv_id
 LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM k.conv_id
 """
+
+_ASSIGN = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password") + "|" + "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in ("passwd", "secret", "token")) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+_SHAPES = {
+    "assign": rf"(?:{_ASSIGN})[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)",
+    "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", "random": "[A-Za-z0-9+/_-]+"}
+_LEAST = {"assign": 1, "access": 20, "hex": 24, "random": 16}
+_Z = "(CASE WHEN {0} >= 0 THEN {1} ELSE 1 - {2} END)"
+
+
+def _tail_sql(z: str) -> str:
+    t = f"(1 / (1 + 0.2316419::DOUBLE * {z}))"
+    return (f"(0.3989422804014327::DOUBLE * exp(-{z} * {z} / 2) * {t} * (0.319381530::DOUBLE + {t} * (-0.356563782::DOUBLE"
+            f" + {t} * (1.781477937::DOUBLE + {t} * (-1.821255978::DOUBLE + {t} * 1.330274429::DOUBLE)))))")
+
+
+_CLASSES = ", ".join(f"({i}, '{a}', {secrets.least_length(len(a), o)})" for i, (_, a, o) in enumerate(secrets.ENCODINGS, 1))
+_ENCODING = "CASE " + " ".join(f"WHEN regexp_full_match(word, '[{a.replace('-', chr(92) + '-')}]+') THEN {i}" for i, (_, a, _) in enumerate(secrets.ENCODINGS, 1)) + " END"
+_MATCHES = " UNION ALL ".join(
+    f"SELECT rid, '{kind}' AS kind, regexp_extract_all(text, '{p}') AS w, string_split_regex(text, '{p}') AS g FROM d" for kind, p in _SHAPES.items())
+ORACLES["op13_secret_scan"] = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS (SELECT rid, kind, unnest(w) AS word, unnest(g[1:len(w)]) AS gap, generate_subscripts(w, 1) AS i FROM ({_MATCHES})),
+placed AS (SELECT rid, kind, word, sum(length(gap) + length(word)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM matches),
+found AS MATERIALIZED (
+  SELECT rid, kind, word, (stop - length(word))::BIGINT AS start, stop::BIGINT AS stop FROM placed
+  WHERE length(word) >= CASE kind {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _LEAST.items())} END
+    AND (kind <> 'assign' OR length(regexp_extract(word, '{_SHAPES['assign']}', 1)) >= {secrets.LEAST_VALUE})),
+base AS (SELECT rid, start, stop, kind, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END AS place FROM found WHERE kind <> 'random'),
+classes(encoding, alphabet, least) AS (VALUES {_CLASSES}),
+tokens AS (
+  SELECT row_number() OVER () AS tid, rid, start, stop, word, encoding, alphabet, length(word)::DOUBLE AS n, length(alphabet)::DOUBLE AS k
+  FROM (SELECT *, {_ENCODING} AS encoding FROM found WHERE kind = 'random') JOIN classes USING (encoding) WHERE length(word) >= least),
+symbols AS (
+  SELECT tid, k, i, (strpos(alphabet, c) - 1)::DOUBLE AS x FROM (
+    SELECT tid, k, alphabet, unnest(string_split(word, '')) AS c, generate_subscripts(string_split(word, ''), 1) AS i FROM tokens)),
+pairs AS (SELECT *, lag(x) OVER (PARTITION BY tid ORDER BY i) AS before, first(x) OVER (PARTITION BY tid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_x,
+  last(x) OVER (PARTITION BY tid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_x FROM symbols),
+sums AS (
+  SELECT tid, sum(CASE WHEN before IS NOT NULL AND (x >= k / 2) <> (before >= k / 2) THEN 1.0 ELSE 0.0 END)::DOUBLE AS turns,
+    sum(CASE WHEN x >= k / 2 THEN 1.0 ELSE 0.0 END)::DOUBLE AS upper_, sum(x) AS total, sum(x * x) AS squared, sum(coalesce(x * before, x * last_x)) AS products
+  FROM pairs GROUP BY tid),
+squares AS (SELECT tid, sum(c * c)::DOUBLE AS squares FROM (SELECT tid, x, count(*) AS c FROM symbols GROUP BY tid, x) GROUP BY tid),
+scored AS (
+  SELECT t.*, (pow((k / n * squares - n) / (k - 1), (1 / 3)::DOUBLE) - (1 - 1 / (9 * ((k - 1) * n / (2 * (n - 1)))))) * 3 * sqrt((k - 1) * n / (2 * (n - 1))) AS uneven,
+    1 + 2 * upper_ * (n - upper_) / n AS mean, turns, n * squared - total * total AS bottom, n * products - total * total AS top
+  FROM tokens t JOIN sums USING (tid) JOIN squares USING (tid)),
+spread AS (
+  SELECT *, CASE WHEN (mean - 1) * (mean - 2) / (n - 1) > 0 THEN abs((turns + 1 - mean) / sqrt((mean - 1) * (mean - 2) / (n - 1))) END AS runs,
+    CASE WHEN bottom > 0 THEN abs((top / bottom + 1 / (n - 1)) * (n - 1) * sqrt(n - 2) / n) END AS serial FROM scored),
+tested AS (
+  SELECT *, {' + '.join(f'(n >= {b})::INT' for b in secrets.BANDS)} AS band,
+    1 - pow(1 - least({_Z.format('uneven', _tail_sql('uneven'), _tail_sql('(-uneven)'))}, CASE WHEN runs IS NULL THEN 0 ELSE 2 * {_tail_sql('runs')} END,
+      CASE WHEN serial IS NULL THEN 0 ELSE 2 * {_tail_sql('serial')} END), 3.0::DOUBLE) AS p FROM spread),
+bins AS (SELECT encoding, band, greatest(0, least(99, floor(p * 100)))::INT AS bin FROM tested),
+levels AS (
+  SELECT encoding, band, bin, (SELECT count(*) FROM bins b WHERE b.encoding = e.encoding AND b.band = e.band AND b.bin >= l.bin) AS above,
+    (SELECT count(*) FROM bins b WHERE b.encoding = e.encoding AND b.band = e.band AND b.bin >= 50) AS high
+  FROM (SELECT DISTINCT encoding, band FROM bins) e, (SELECT unnest(range(0, 51))::INT AS bin) l),
+limits AS (SELECT encoding, band, min(bin) / 100.0::DOUBLE AS lowest FROM levels WHERE above - high - high * (50 - bin) / 50.0::DOUBLE <= {secrets.FALSE_SHARE} * above GROUP BY encoding, band),
+added AS (
+  SELECT rid, start, stop, 'random' AS kind, 3 AS place FROM tested JOIN limits USING (encoding, band)
+  WHERE p >= lowest AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = tested.rid AND b.start < tested.stop AND tested.start < b.stop)),
+told AS (SELECT rid, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop) AS spans FROM base GROUP BY rid),
+whole AS (SELECT rid, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop) AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+  sha256(coalesce(told.spans, '')) AS base_sha256, coalesce(whole.spans, '') AS spans
+FROM d LEFT JOIN told USING (rid) LEFT JOIN whole USING (rid)
+"""
