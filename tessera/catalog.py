@@ -599,6 +599,72 @@ def cell_check_and_put(spark, d):
     return C.resolve(C.append(base, accepted)).select("row_key", "value")
 
 
+def _seeded_sql(start: str, then: str, out: str) -> str:
+    """The fold of the events of each user from a start status; ``then`` is what an accepted event leaves."""
+    ok = "((f.status IS NULL AND e.exp IS NULL) OR f.status = e.exp)"
+    return f"""
+WITH RECURSIVE ev AS (
+  SELECT user_id, event_type AS new_v, CAST({_funnel_case('event_type')} AS VARCHAR) AS exp, CAST(event_id AS VARCHAR) AS id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events),
+fold(user_id, rn, status, last_event) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST({start} AS VARCHAR), CAST(CASE WHEN {start} IS NOT NULL THEN 'base' END AS VARCHAR) FROM ev
+  UNION ALL
+  SELECT f.user_id, e.rn, CASE WHEN {ok} THEN {then.format('e.new_v')} ELSE f.status END, CASE WHEN {ok} THEN {then.format('e.id')} ELSE f.last_event END
+  FROM fold f JOIN ev e ON e.user_id = f.user_id AND e.rn = f.rn + 1),
+last AS (SELECT user_id, max(rn) AS rn FROM ev GROUP BY user_id),
+done AS (SELECT CAST(f.user_id AS VARCHAR) AS row_key, f.status, f.last_event FROM fold f JOIN last l ON f.user_id = l.user_id AND f.rn = l.rn)
+{out}"""
+
+
+_START = "CASE user_id % 3 WHEN 0 THEN 'signup' WHEN 1 THEN 'view' END"
+_TWO_CELLS = """SELECT row_key, 'status' AS qualifier, status AS value FROM done WHERE status IS NOT NULL
+UNION ALL SELECT row_key, 'last_event', last_event FROM done WHERE last_event IS NOT NULL"""
+
+
+def _seeded_users(ev: DataFrame) -> DataFrame:
+    """Two cells for two thirds of the users, older than every event."""
+    users = ev.select("user_id").distinct()
+    status = F.when(F.col("user_id") % 3 == 0, "signup").when(F.col("user_id") % 3 == 1, "view")
+    known = users.withColumn("status", status).filter("status IS NOT NULL")
+    cell = lambda family, qualifier, value: C.mutations(known, row_key="user_id", family=family, qualifier=qualifier, value=value, ts=0)
+    return C.append(cell("c", "status", "status"), cell("d", "last_event", F.lit("base")))
+
+
+def _two_cell_requests(ev: DataFrame, deletes: bool) -> DataFrame:
+    """Requests on the status that write another family's cell as well, or delete the whole row after an error."""
+    puts = F.array(cas.mutation(C.PUT, family="c", qualifier="status", value=F.col("event_type")),
+                   cas.mutation(C.PUT, family="d", qualifier="last_event", value=F.col("event_id")))
+    gone = F.array(cas.mutation(C.DELETE_ROW))
+    then = F.when(F.col("event_type") == "error", gone).otherwise(puts) if deletes else puts
+    return cas.requests(ev, row_key="user_id", family="c", qualifier="status", expected=B.funnel_expected(F.col("event_type")), then=then,
+                        **B.event_version(ev))
+
+
+@register("cell_check_and_put_seeded", _seeded_sql(_START, "{}", "SELECT row_key, status AS value FROM done WHERE status IS NOT NULL"))
+def cell_check_and_put_seeded(spark, d):
+    ev = T(spark, d, "events")
+    base = _seeded_users(ev)
+    cells = C.append(base, cas.check_and_put(base, _funnel_requests(ev)))
+    return C.scan(cells, families=["c"]).select("row_key", "value")
+
+
+@register("cell_check_and_put_other", _seeded_sql(_START, "{}", _TWO_CELLS))
+def cell_check_and_put_other(spark, d):
+    ev = T(spark, d, "events")
+    base = _seeded_users(ev)
+    cells = C.append(base, cas.check_and_mutate(base, _two_cell_requests(ev, deletes=False)))
+    return C.resolve(cells).select("row_key", "qualifier", "value")
+
+
+@register("cell_check_and_delete_row_seq", _seeded_sql(_START, "CASE WHEN e.new_v = 'error' THEN NULL ELSE {} END", _TWO_CELLS))
+def cell_check_and_delete_row_seq(spark, d):
+    ev = T(spark, d, "events")
+    base = _seeded_users(ev)
+    cells = C.append(base, cas.check_and_mutate(base, _two_cell_requests(ev, deletes=True)))
+    return C.resolve(cells).select("row_key", "qualifier", "value")
+
+
 @register("cell_increment", """
 SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS qualifier, CAST(count(*) AS VARCHAR) AS value
 FROM events GROUP BY user_id, event_type""")
@@ -655,7 +721,7 @@ def cell_check_and_delete(spark, d):
     users = ev.select("user_id").distinct()
     reqs = cas.requests(users, row_key="user_id", family="c", qualifier="last_type",
                         expected=F.lit("error"), ts=F.lit(2**62), seq=0)
-    tombs = cas.check_and_delete(base, reqs, scope="row", single_per_cell=True)
+    tombs = cas.check_and_delete(base, reqs, scope="row", single_per_row=True)
     return C.resolve(C.append(base, tombs)).select("row_key", "value")
 
 
@@ -903,7 +969,7 @@ def _stream_events(spark, d):
 def _drain_cells(spark, stream_cells) -> DataFrame:
     from tessera.streaming.mutations import append_to_files
     root = scratch_path(spark, "stream-cells")
-    append_to_files(stream_cells.select(*C.CELL_COLUMNS), f"{root}/data", f"{root}/_checkpoint")
+    append_to_files(stream_cells.select(*C.CELL_COLUMNS), f"{root}/data", f"{root}/_checkpoint", partition_by="kind")
     return C.read_cells(spark, f"{root}/data")
 
 
@@ -969,23 +1035,31 @@ def stream_mutate_mixed(spark, d):
 
 @register("stream_check_and_put", CHECK_AND_PUT_SQL)
 def stream_check_and_put(spark, d):
-    from tessera.streaming.mutations import accepted_as_cells, stream_check_and_mutate
+    from tessera.streaming.mutations import stream_check_and_mutate
     accepted = stream_check_and_mutate(_funnel_requests(_stream_events(spark, d)), None, action="put")
-    return C.resolve(_drain_cells(spark, accepted_as_cells(accepted))).select("row_key", "value")
+    return C.resolve(_drain_cells(spark, accepted)).select("row_key", "value")
 
 
 @register("stream_check_and_delete", ORACLES["cell_check_and_delete"])
 def stream_check_and_delete(spark, d):
-    from tessera.streaming.mutations import accepted_as_cells, stream_check_and_mutate
+    from tessera.streaming.mutations import stream_check_and_mutate
     base = B.event_puts(spark, d, qualifier=F.lit("last_type"), value="event_type")
-    current = C.resolve(base).select("row_key", "family", "qualifier", "value")
+    current = C.resolve(base).select("row_key", "family", "qualifier", "value", "ts", "seq")
     reqs = cas.requests(_stream_events(spark, d), row_key="user_id", family="c", qualifier="last_type",
                         expected=F.lit("error"), ts=F.lit(2**62), seq=F.col("event_id"))
-    accepted = stream_check_and_mutate(reqs, current, action="delete")
-    tombs = _drain_cells(spark, accepted_as_cells(accepted, action="delete", delete_scope="row"))
+    accepted = stream_check_and_mutate(reqs, current, action="delete", delete_scope="row")
+    tombs = _drain_cells(spark, accepted)
     return C.resolve(C.append(base, tombs)).select("row_key", "value")
 
 
+@register("stream_check_and_mutate", ORACLES["cell_check_and_delete_row_seq"])
+def stream_check_and_mutate_q(spark, d):
+    from tessera.streaming.mutations import stream_check_and_mutate
+    base = _seeded_users(T(spark, d, "events"))
+    accepted = stream_check_and_mutate(_two_cell_requests(_stream_events(spark, d), deletes=True), C.resolve(base))
+    return C.resolve(C.append(base, _drain_cells(spark, accepted))).select("row_key", "qualifier", "value")
+
+
 @register("stream_enrich", """
 SELECT event_id, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey""")
 def stream_enrich(spark, d):

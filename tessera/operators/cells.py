@@ -10,8 +10,8 @@ Schema (one row per mutation)::
 Family deletes leave ``qualifier`` null; row deletes leave ``family`` null too.
 
 Reading means *resolving* the log: per cell, the newest put wins; a tombstone
-hides every put and increment at or before its own version; increments after
-the newest live put (or tombstone) are summed onto it. Resolution is a hash
+hides every put and increment at or before its own ``ts``, whatever their
+``seq``; increments after the newest live put (or tombstone) are summed onto it. Resolution is a hash
 aggregate per cell plus equi joins against the (usually tiny, AQE-broadcast)
 family and row tombstones: no per-key collection, no window over a row, so a hot
 row or a hot counter is combined map-side and split by AQE's skew handling.
@@ -20,10 +20,11 @@ row or a hot counter is combined map-side and split by AQE's skew handling.
 from __future__ import annotations
 
 import math
+import re
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +91,17 @@ def mutations(df: DataFrame, *, row_key, family=None, qualifier=None, value=None
     )
 
 
+def _part(name: str) -> Column:
+    """A key part that must not be null; reading a null one fails the job."""
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"not a mutation: {name} is null"))).alias(name)
+
+
+def keyed(rows: DataFrame, *parts: str) -> DataFrame:
+    """``rows`` whose key ``parts`` (all of row key, family and qualifier by default) may not be null."""
+    parts = parts or ("row_key", "family", "qualifier")
+    return rows.select(*[_part(c) if c in parts else F.col(c) for c in CELL_COLUMNS])
+
+
 def append(cells: DataFrame, *more: DataFrame) -> DataFrame:
     """Append mutation logs (bag union by name)."""
     out = cells.select(*CELL_COLUMNS)
@@ -106,22 +118,23 @@ WITH log AS (
 per_cell AS (
   SELECT row_key, family, qualifier,
          max(CASE WHEN kind = 'put' THEN struct(ts, seq, value) END) AS top,
-         max(CASE WHEN kind = 'delete_cell' THEN struct(ts, seq) END) AS tomb_cell,
+         max(CASE WHEN kind = 'delete_cell' THEN struct(ts, 9223372036854775807L AS seq) END) AS tomb_cell,
          max(CASE WHEN kind = 'increment' THEN struct(ts, seq) END) AS last_inc
   FROM log
   WHERE kind IN ('put', 'increment', 'delete_cell') AND family IS NOT NULL AND qualifier IS NOT NULL
   GROUP BY row_key, family, qualifier),
 fam AS (
-  SELECT row_key, family, max(struct(ts, seq)) AS tomb_family
+  SELECT row_key, family, max(struct(ts, 9223372036854775807L AS seq)) AS tomb_family
   FROM log WHERE kind = 'delete_family' AND family IS NOT NULL GROUP BY row_key, family),
 rowt AS (
-  SELECT row_key, max(struct(ts, seq)) AS tomb_row FROM log WHERE kind = 'delete_row' GROUP BY row_key),
+  SELECT row_key, max(struct(ts, 9223372036854775807L AS seq)) AS tomb_row FROM log WHERE kind = 'delete_row' GROUP BY row_key),
 incs AS (
   SELECT row_key, family, qualifier, struct(ts, seq) AS ver, delta
   FROM log WHERE kind = 'increment' AND family IS NOT NULL AND qualifier IS NOT NULL),
 inc_keys AS (SELECT DISTINCT row_key, family, qualifier FROM incs),
 inc_cell_base AS (
-  SELECT l.row_key, l.family, l.qualifier, max(struct(l.ts, l.seq)) AS cell_base
+  SELECT l.row_key, l.family, l.qualifier,
+         max(struct(l.ts, CASE WHEN l.kind = 'put' THEN l.seq ELSE 9223372036854775807L END AS seq)) AS cell_base
   FROM log l LEFT SEMI JOIN inc_keys k
     ON l.row_key = k.row_key AND l.family = k.family AND l.qualifier = k.qualifier
   WHERE l.kind IN ('put', 'delete_cell')
@@ -205,8 +218,27 @@ def restrict(cells: DataFrame, *, start_row: str | None = None, stop_row: str |
     return out
 
 
-def scan(cells: DataFrame, **restriction) -> DataFrame:
-    """Resolved cells of a scan (key range, families, qualifiers, time range)."""
+def newest_versions(cells: DataFrame, versions: int) -> DataFrame:
+    """The log with the newest ``versions`` puts of each cell; other mutations stay.
+
+    Spark limits a ranked window's groups before the shuffle, so at most
+    ``versions`` puts of a cell leave each task.
+    """
+    newest = Window.partitionBy("row_key", "family", "qualifier").orderBy(F.desc("ts"), F.desc("seq"), F.desc("value"))
+    log = cells.select(*CELL_COLUMNS)
+    puts = log.filter(F.col("kind") == PUT).withColumn("_place", F.row_number().over(newest))
+    return append(puts.filter(F.col("_place") <= versions), log.filter(F.col("kind") != PUT))
+
+
+def scan(cells: DataFrame, *, versions: int | None = None, **restriction) -> DataFrame:
+    """Resolved cells of a scan (key range, families, qualifiers, time range).
+
+    With ``versions`` a cell keeps its newest so many puts, and ``max_ts`` sees
+    those alone. A log compacted with the same number gives the same cells.
+    """
+    if versions is not None:
+        in_time = {k: v for k, v in restriction.items() if k in ("min_ts", "max_ts")}
+        cells = newest_versions(restrict(cells, **{k: v for k, v in restriction.items() if k not in in_time}), versions)
     out = resolve(restrict(cells, **restriction))
     least = restriction.get("min_ts")
     return out if least is None else out.filter(F.col("ts") >= F.lit(least))
@@ -253,33 +285,45 @@ def scan_ranges(cells: DataFrame, split_keys: Sequence[str], **restriction) -> D
     return out.withColumn("range_id", (F.col("_stretch") * step + within).cast("int")).drop("_stretch")
 
 
-def distinct_qualifiers(resolved: DataFrame) -> list[str]:
-    """The qualifier set (the schema of the wide form), sorted byte-wise."""
-    return sorted(r[0] for r in resolved.select("qualifier").distinct().collect())
+def to_map(resolved: DataFrame, *, key_name: str = "row_key") -> DataFrame:
+    """Resolved cells to one row per key with a map ``cells`` of ``family:qualifier`` to value.
+
+    The wide form for unknown qualifiers: no job looks for them, and no list of
+    them reaches the driver. A row's map is as wide as the row.
+    """
+    entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("name"), F.col("value"))
+    return resolved.groupBy(F.col("row_key").alias(key_name)).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
 
 
 def to_wide(resolved: DataFrame, *, key_name: str = "row_key",
             qualifiers: Sequence[str] | None = None, by_family: bool = False) -> DataFrame:
     """Resolved cells to a wide DataFrame: the key, then one column per qualifier.
 
-    With ``by_family`` columns are named ``family:qualifier``. Without, a
-    qualifier that several families hold reads as its newest version.
-
-    Pass ``qualifiers`` to fix the schema (and skip the discovery job); a cell
-    that is absent reads as null.
+    With ``by_family`` the ``qualifiers`` and columns are named
+    ``family:qualifier``. Without, a qualifier that several families of one row
+    hold fails the job: families are never merged. A cell that is absent reads as null.
+    Without ``qualifiers`` the wide form is that of :func:`to_map`.
     """
+    if qualifiers is None:
+        return to_map(resolved, key_name=key_name)
     if by_family:
         resolved = resolved.withColumn("qualifier", F.concat_ws(":", "family", "qualifier"))
-    quals = list(qualifiers) if qualifiers is not None else distinct_qualifiers(resolved)
-    wide = resolved.groupBy("row_key").pivot("qualifier", quals).agg(
-        F.max_by("value", F.struct("ts", "seq", "family")))
-    return wide.select(F.col("row_key").alias(key_name), *[F.col(f"`{q}`") for q in quals])
+        value = F.first("value")
+    else:
+        several = F.concat(F.lit("several families hold "), F.first("qualifier"), F.lit("; use by_family"))
+        value = F.when(F.min("family") == F.max("family"), F.first("value")).when(F.max("family").isNotNull(), F.raise_error(several))
+    wide = resolved.groupBy("row_key").pivot("qualifier", list(qualifiers)).agg(value)
+    return wide.select(F.col("row_key").alias(key_name), *[F.col(f"`{q}`") for q in qualifiers])
 
 
-def scan_wide(cells: DataFrame, *, key_name: str = "row_key",
-              qualifiers: Sequence[str] | None = None, **restriction) -> DataFrame:
-    return to_wide(scan(cells, qualifiers=qualifiers, **restriction),
-                   key_name=key_name, qualifiers=qualifiers)
+def scan_wide(cells: DataFrame, *, key_name: str = "row_key", qualifiers: Sequence[str] | None = None,
+              by_family: bool = False, **restriction) -> DataFrame:
+    plain = qualifiers
+    if qualifiers is not None and by_family:
+        restriction.setdefault("families", sorted({q.split(":", 1)[0] for q in qualifiers}))
+        plain = sorted({q.split(":", 1)[1] for q in qualifiers})
+    return to_wide(scan(cells, qualifiers=plain, **restriction),
+                   key_name=key_name, qualifiers=qualifiers, by_family=by_family)
 
 
 # --------------------------------------------------------------------------- gets
@@ -349,13 +393,13 @@ def _stamped(mutation: dict) -> dict:
 def put(cells: DataFrame, df: DataFrame, **mutation) -> DataFrame:
     """Bulk put: append put mutations built from ``df``; without ``ts``, newer than every earlier call."""
     mutation = _stamped(mutation)
-    return append(cells, mutations(df, kind=PUT, **mutation))
+    return append(cells, keyed(mutations(df, kind=PUT, **mutation)))
 
 
 def increment(cells: DataFrame, df: DataFrame, *, delta=1, **mutation) -> DataFrame:
     """Bulk increment of 64-bit counters; without ``ts``, newer than every earlier call."""
     mutation = _stamped(mutation)
-    return append(cells, mutations(df, kind=INCREMENT, delta=delta, **mutation))
+    return append(cells, keyed(mutations(df, kind=INCREMENT, delta=delta, **mutation)))
 
 
 def delete(cells: DataFrame, df: DataFrame, *, scope: str = "row", **mutation) -> DataFrame:
@@ -367,7 +411,8 @@ def delete(cells: DataFrame, df: DataFrame, *, scope: str = "row", **mutation) -
         mutation["qualifier"] = None
     elif scope == "family":
         mutation["qualifier"] = None
-    return append(cells, mutations(df, kind=kind, **mutation))
+    parts = {"row": ("row_key",), "family": ("row_key", "family"), "cell": ()}[scope]
+    return append(cells, keyed(mutations(df, kind=kind, **mutation), *parts))
 
 
 def mutate(cells: DataFrame, mutation_rows: DataFrame) -> DataFrame:
@@ -390,11 +435,11 @@ def mutate(cells: DataFrame, mutation_rows: DataFrame) -> DataFrame:
 
 def write_cells(cells: DataFrame, path: str, *, mode: str = "append",
                 num_partitions: int | None = None) -> None:
-    """Store a mutation log range-partitioned and sorted by key.
+    """Store a mutation log in one folder per kind, range-partitioned and sorted by key.
 
     Sorted files carry tight min/max statistics per row group, so key-range
     scans and gets prune at the Parquet reader, which is what region splits
-    did for the store.
+    did for the store. The folders tell :func:`read_cells` which kinds there are.
     """
     order = ["row_key", "family", "qualifier", "ts", "seq"]
     out = cells.select(*CELL_COLUMNS)
@@ -402,48 +447,87 @@ def write_cells(cells: DataFrame, path: str, *, mode: str = "append",
     # instead of one, while the files stay globally ordered by row key.
     out = out.repartitionByRange(num_partitions, *order) if num_partitions \
         else out.repartitionByRange(*order)
-    out.sortWithinPartitions(*order).write.mode(mode).parquet(path)
+    out.sortWithinPartitions("kind", *order).write.mode(mode).partitionBy("kind").parquet(path)
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CELL_SCHEMA).parquet(path)
+def _by_kind(log: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """A log partitioned by ``kind`` as a union of one branch for each kind there is.
+
+    The kind is a literal in each branch, so the optimizer drops every part of
+    :func:`resolve` that looks for kinds which the log doesn't hold.
+    """
+    spark = log.sparkSession
+    branches = [log.filter(F.col("kind") == k).withColumn("kind", F.lit(k)) for k in KINDS if k in kinds]
+    return append(*branches) if branches else empty_cells(spark)
+
+
+_KIND_FOLDER = re.compile(r"/kind=([a-z_]+)/")
 
 
-def compact(cells: DataFrame) -> DataFrame:
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """A stored log; one stored by kind has a branch for each kind in it."""
+    log = spark.read.schema(CELL_SCHEMA).parquet(path)
+    files = log.inputFiles()
+    kinds = {m.group(1) for f in files if (m := _KIND_FOLDER.search(f))}
+    if not kinds or not all(_KIND_FOLDER.search(f) for f in files):
+        return log.select(*CELL_COLUMNS)
+    return _by_kind(log, kinds)
+
+
+def _read_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """The mutations in the given files of a log, stored by kind or not."""
+    kinds: dict[str | None, list[str]] = {}
+    for f in files:
+        found = _KIND_FOLDER.search(f)
+        kinds.setdefault(found.group(1) if found else None, []).append(f)
+    stored = T.StructType([f for f in CELL_SCHEMA.fields if f.name != "kind"])
+    parts = [spark.read.schema(CELL_SCHEMA).parquet(*names) if kind is None
+             else spark.read.schema(stored).parquet(*names).withColumn("kind", F.lit(kind)) for kind, names in kinds.items()]
+    return append(*parts)
+
+
+def compact(cells: DataFrame, *, versions: int = 1, settled_ts: int | None = None) -> DataFrame:
     """The log without rows that no later or late mutation can make count again.
 
-    Kept are, for each cell, its newest live put and its increments newer than
-    the newest put or covering tombstone, and the newest tombstone of each
-    cell, family and row. Resolving what is kept together with *any* other
-    mutations, also older ones that arrive late, equals resolving everything.
+    Kept are, for each cell, its newest ``versions`` puts as far as no tombstone
+    covers them, its increments newer than the newest put or covering
+    tombstone, and the newest tombstone of each cell, family and row. Resolving
+    what is kept together with *any* other mutations, also older ones that
+    arrive late, equals resolving everything. A read at an earlier time
+    (``max_ts``) reaches back as many versions as are kept: ``scan`` with the same
+    ``versions`` gives the same cells before and after.
+
+    Nothing older than ``settled_ts`` may arrive any more: with it, a cell's kept
+    increments up to then become one.
     """
     log = cells.select(*CELL_COLUMNS)
     ver = F.struct("ts", "seq")
     key = ["row_key", "family", "qualifier"]
-    tombs = []
-    for kind, by in ((DELETE_CELL, key), (DELETE_FAMILY, key[:2]), (DELETE_ROW, key[:1])):
-        newest = log.filter(F.col("kind") == kind).groupBy(*by).agg(F.max(ver).alias("v"))
-        tombs.append(newest)
+    scopes = ((DELETE_CELL, key), (DELETE_FAMILY, key[:2]), (DELETE_ROW, key[:1]))
+    tombs = [log.filter(F.col("kind") == kind).groupBy(*by).agg(F.max(ver).alias("v")) for kind, by in scopes]
     kept = [t.select(*[(F.col(c) if c in by else F.lit(None).cast("string").alias(c)) for c in key],
                      F.col("v.ts").alias("ts"), F.col("v.seq").alias("seq"), F.lit(kind).alias("kind"),
                      F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("delta"))
-            for t, kind, by in ((tombs[0], DELETE_CELL, key), (tombs[1], DELETE_FAMILY, key[:2]), (tombs[2], DELETE_ROW, key[:1]))]
-    puts = (log.filter(F.col("kind") == PUT).groupBy(*key)
-            .agg(F.max(F.struct("ts", "seq", "value")).alias("top"))
-            .select(*key, "top", F.struct(F.col("top.ts").alias("ts"), F.col("top.seq").alias("seq")).alias("put_ver")))
-    for i, by in enumerate((key, key[:2], key[:1])):
-        tombs[i] = tombs[i].withColumnRenamed("v", f"t{i}")
+            for t, (kind, by) in zip(tombs, scopes)]
+    covers = [t.select(*by, F.col("v.ts").alias(f"t{i}")) for i, (t, (_, by)) in enumerate(zip(tombs, scopes))]
     covered = F.greatest("t0", "t1", "t2")
 
     def with_tombs(df: DataFrame) -> DataFrame:
-        return df.join(tombs[0], key, "left").join(tombs[1], key[:2], "left").join(tombs[2], key[:1], "left")
-
-    live = (with_tombs(puts).filter(covered.isNull() | (F.col("put_ver") > covered))
-            .select(*key, F.col("top.ts").alias("ts"), F.col("top.seq").alias("seq"), F.lit(PUT).alias("kind"),
-                    F.col("top.value").alias("value"), F.lit(None).cast("bigint").alias("delta")))
-    incs = log.filter(F.col("kind") == INCREMENT).join(puts.select(*key, "put_ver"), key, "left")
-    base = F.greatest("put_ver", covered)
-    open_incs = with_tombs(incs).filter(base.isNull() | (ver > base)).select(*CELL_COLUMNS)
+        for cover, (_, by) in zip(covers, scopes):
+            df = df.join(cover, by, "left")
+        return df
+
+    puts = log.filter(F.col("kind") == PUT)
+    live = with_tombs(newest_versions(puts, versions)).filter(covered.isNull() | (F.col("ts") > covered)).select(*CELL_COLUMNS)
+    newest = puts.groupBy(*key).agg(F.max(ver).alias("put_ver"))
+    incs = with_tombs(log.filter(F.col("kind") == INCREMENT).join(newest, key, "left"))
+    open_incs = incs.filter((covered.isNull() | (F.col("ts") > covered)) & (F.col("put_ver").isNull() | (ver > F.col("put_ver")))).select(*CELL_COLUMNS)
+    if settled_ts is not None:
+        old = F.col("ts") <= settled_ts
+        summed = (open_incs.filter(old).groupBy(*key).agg(F.max(ver).alias("v"), F.sum("delta").alias("delta"))
+                  .select(*key, F.col("v.ts").alias("ts"), F.col("v.seq").alias("seq"), F.lit(INCREMENT).alias("kind"),
+                          F.lit(None).cast("string").alias("value"), "delta"))
+        open_incs = append(open_incs.filter(~old), summed)
     return append(live, open_incs, *kept)
 
 
@@ -464,7 +548,7 @@ def insert_cells(spark: SparkSession, name: str, cells: DataFrame) -> None:
     cells.select(*CELL_COLUMNS).write.insertInto(name)
 
 
-def compact_to(log: DataFrame, path: str) -> list[str]:
+def compact_to(log: DataFrame, path: str, *, versions: int = 1, settled_ts: int | None = None) -> list[str]:
     """Write the compacted form of a *stored* log; returns the log files it covers.
 
     Those files can be dropped, or left to :func:`read_compacted` to skip. The
@@ -474,7 +558,7 @@ def compact_to(log: DataFrame, path: str) -> list[str]:
     files = sorted(log.inputFiles())
     if not files:
         raise ValueError("only a log read from files can be compacted")
-    write_cells(compact(log), path, mode="overwrite")
+    write_cells(compact(log, versions=versions, settled_ts=settled_ts), path, mode="overwrite")
     return files
 
 
@@ -483,4 +567,4 @@ def read_compacted(spark: SparkSession, base_path: str, log: DataFrame, covered:
     gone = set(covered)
     new = [f for f in log.inputFiles() if f not in gone]
     base = read_cells(spark, base_path)
-    return append(base, spark.read.schema(CELL_SCHEMA).parquet(*new)) if new else base
+    return append(base, _read_files(spark, new)) if new else base

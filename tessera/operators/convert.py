@@ -57,18 +57,18 @@ def df_to_cells(df: DataFrame, *, family: str, key_col: str | None = None, num_s
 
     The key column (default: the first) is excluded case-insensitively and
     becomes the row key, salted when ``num_salts > 0``. Values are text, null
-    as ``""``. A null map gives no cells. One generator, one pass, no union.
+    as ``""``. A null map gives no cells; a null key fails the job. One generator, one pass, no union.
     Without ``ts`` the cells are newer than those of every earlier call.
     """
     key_col = key_col or df.columns[0]
     entries = _cell_entries(df, key_col, exclude)
     ts_c = ts if isinstance(ts, Column) else F.lit(C.next_version() if ts is None else ts)
-    return (
+    return C.keyed(
         df.select(salted_row_key(F.col(f"`{key_col}`"), num_salts).alias("row_key"),
                   ts_c.cast("bigint").alias("ts"), F.inline(entries))
         .select("row_key", F.lit(family).alias("family"), "qualifier", "ts", "seq",
-                F.lit(C.PUT).alias("kind"), "value", F.lit(None).cast("bigint").alias("delta"))
-    )
+                F.lit(C.PUT).alias("kind"), "value", F.lit(None).cast("bigint").alias("delta")),
+        "row_key")
 
 
 def put_dataframe(cells: DataFrame, df: DataFrame, *, family: str, num_salts: int = 0,

@@ -7,8 +7,8 @@ in the store. Here:
   the Parquet file sink (exactly-once through its commit log); reads resolve;
 * ``foreachBatch`` side effects write each batch to its own ``batch_id=``
   folder with overwrite, so a replayed batch replaces itself;
-* check-and-put / check-and-delete keep each cell's current value as keyed
-  state (``applyInPandasWithState``) and emit the accepted mutations;
+* check-and-put / check-and-delete keep each row's cells as map state
+  (``transformWithState``) and emit the accepted mutations;
 * gets are a stream-static join against the resolved cells.
 """
 
@@ -17,15 +17,16 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
+from tessera.operators import cas
 from tessera.operators import cells as C
-from tessera.session import checkpoint_root, ship_package
+from tessera.operators.row_state import MAX_SEQ, RowState
+from tessera.session import ship_package
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, *, fmt: str = "parquet",
@@ -53,10 +54,10 @@ def run_to_end(writer) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def append_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append a stream to Parquet files, exactly once, and drain it."""
-    run_to_end(stream.writeStream.format("parquet").outputMode("append")
-               .option("path", path).option("checkpointLocation", checkpoint))
+def append_to_files(stream: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> None:
+    """Append a stream to Parquet files, exactly once, and drain it (mutations: ``partition_by="kind"``)."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    run_to_end(writer.partitionBy(partition_by) if partition_by else writer)
 
 
 def idempotent_batch_writer(path: str, transform: Callable[[DataFrame, int], DataFrame] | None = None):
@@ -97,82 +98,108 @@ def stream_mutations(stream: DataFrame, **mutation) -> DataFrame:
 
 # ----------------------------------------------------------------- check-and-mutate
 
-_ACCEPTED = T.StructType([
-    T.StructField("row_key", T.StringType()), T.StructField("family", T.StringType()),
-    T.StructField("qualifier", T.StringType()), T.StructField("ts", T.LongType()),
-    T.StructField("seq", T.LongType()), T.StructField("value", T.StringType()),
-])
-_STATE = T.StructType([T.StructField("present", T.BooleanType()), T.StructField("value", T.StringType())])
-
-
-_OUT_COLS = ["row_key", "family", "qualifier", "ts", "seq", "value"]
-
-
-def _cas_state_fn(delete: bool):
-    """Per cell and micro-batch: fold the requests in version order from the
-    state (seeded on the cell's first batch), emit the accepted ones."""
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        if state.exists:
-            present, cur = state.get
-            cur = cur if present else None
-        else:
-            seed = pdf["_seed"].iat[0]
-            cur = None if seed is None or (isinstance(seed, float) and np.isnan(seed)) else seed
-        order = np.lexsort((pdf["seq"].to_numpy(), pdf["ts"].to_numpy()))
-        exp = pdf["expected"].to_numpy()[order]
-        val = pdf["value"].to_numpy()[order]
-        keep = np.zeros(len(order), dtype=bool)
-        for i in range(len(order)):
-            e = exp[i]
-            if (cur is None and e is None) or (cur is not None and cur == e):
-                keep[i] = True
-                cur = None if delete else val[i]
-        state.update((cur is not None, cur))
-        yield pdf.iloc[order[keep]][_OUT_COLS]
-
-    return fn
+_ACCEPTED = f"row_key string, ts bigint, seq bigint, then {cas.THEN}"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _KeptRow(RowState):
+    """A row whose cells and tombstones are map states of a stream.
+
+    ``cells`` holds what is present, ``tombs`` the newest tombstone of the row
+    (``row``), of families and of cells that no wider one covers.
+    """
+
+    def __init__(self, cells, tombs):
+        super().__init__(closed=False)
+        self._kept, self._tombs = cells, tombs
+        found = tombs.getValue(("row", "", ""))
+        self.row_tomb = found[0] if found else None
+        self._tombs_before = self.row_tomb
+
+    def load(self, family, qualifier):
+        if found := self._kept.getValue((family, qualifier)):
+            value, ts, seq = found
+            return True, value, None if ts is None else (ts, seq)
+        tomb = self._tombs.getValue(("cell", family, qualifier))
+        return (False, None, (tomb[0], MAX_SEQ)) if tomb else None
+
+    def family_tomb(self, family):
+        if family not in self.family_tombs and (found := self._tombs.getValue(("family", family, ""))):
+            self.family_tombs[family] = found[0]
+        return self.family_tombs.get(family)
+
+    def save(self) -> None:
+        """Write back what was met; entries that a delete covers go."""
+        if self.row_tomb is not None:
+            self._tombs.updateValue(("row", "", ""), (self.row_tomb,))
+        for family, ts in self.family_tombs.items():
+            self._tombs.updateValue(("family", family, ""), (ts,))
+        for (family, qualifier), (present, value, last) in self.cells.items():
+            if present:
+                self._kept.updateValue((family, qualifier), (value, *(last or (None, None))))
+                continue
+            if self._kept.containsKey((family, qualifier)):
+                self._kept.removeKey((family, qualifier))
+            if last is not None:
+                self._tombs.updateValue(("cell", family, qualifier), (last[0],))
+        if self.row_tomb != self._tombs_before or self.family_tombs:
+            covered = lambda family, ts: ts is not None and ts <= max(self.row_tomb if self.row_tomb is not None else ts - 1, self.family_tombs.get(family, ts - 1))
+            for key in [k for k, v in self._kept.iterator() if covered(k[0], v[1])]:
+                self._kept.removeKey(key)
+            for key in [k for k, v in self._tombs.iterator() if (k[0] == "cell" and covered(k[1], v[0])) or (
+                    k[0] == "family" and self.row_tomb is not None and v[0] <= self.row_tomb)]:
+                self._tombs.removeKey(key)
+
+
+class ConditionalRows(StatefulProcessor):
+    """Keeps each row's cells as state and emits the requests that it accepts."""
+
+    def init(self, handle) -> None:
+        self.cells = handle.getMapState("cells", "family string, qualifier string", "value string, ts bigint, seq bigint")
+        self.tombs = handle.getMapState("tombs", "scope string, family string, qualifier string", "ts bigint")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        r = initialState
+        self.cells.updateValue((r["family"], r["qualifier"]), (r["value"], r["ts"], r["seq"]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = _KeptRow(self.cells, self.tombs)
+        nulls_first = lambda v: (v is not None, v)
+        order = lambda r: (r["ts"], r["seq"], r["family"], r["qualifier"], nulls_first(r["expected"]), r["tie"])
+        for r in sorted(rows, key=order):
+            if state.request(r["family"], r["qualifier"], r["expected"], r["ts"], r["seq"], r["then"]):
+                yield Row(row_key=r["row_key"], ts=r["ts"], seq=r["seq"], then=r["then"])
+        state.save()
+
+    def close(self) -> None:
+        pass
 
 
 def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *,
-                            action: str = "put") -> DataFrame:
-    """Accepted check-and-put / check-and-delete mutations of a request stream.
+                            action: str = "put", delete_scope: str = "cell") -> DataFrame:
+    """Accepted mutations of a stream of conditional requests, as cell-log rows.
 
     ``stream_reqs`` has the columns of ``cas.requests``; ``current`` (optional,
-    static) holds the cells' values at the start as ``(row_key, family,
-    qualifier, value)`` and seeds the state of cells seen for the first time.
-    Requests of one cell within a micro-batch are applied in ``(ts, seq)``
-    order; batches are applied in arrival order.
+    static) holds the live cells at the start as ``(row_key, family, qualifier,
+    value[, ts, seq])`` and becomes the initial state. Rows are the grain, as in
+    the batch form: the requests of a row in a micro-batch are applied in version
+    order, batches in arrival order, and a request that is older than its checked cell's
+    last change is refused. What is held at a time is one row's requests of one
+    micro-batch and the cells they meet. State is kept in RocksDB; a deleted
+    cell's entry goes, and of a deleted row one tombstone stays.
     """
-    delete = action == "delete"
-    ship_package(stream_reqs.sparkSession)
-    reqs = stream_reqs
+    spark = stream_reqs.sparkSession
+    ship_package(spark)
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # the only provider with map state
+    reqs = cas.with_then(stream_reqs, action, delete_scope)
+    reqs = reqs.select("row_key", "family", "qualifier", "expected", "ts", "seq", "then", F.xxhash64("then").alias("tie"))
+    initial = None
     if current is not None:
-        # the values at the start, taken once: a stream-static join would
-        # otherwise recompute the static side on every micro-batch
-        checkpoint_root(stream_reqs.sparkSession)
-        seed = current.select("row_key", "family", "qualifier", F.col("value").alias("_seed")) \
-            .checkpoint(eager=True)
-        reqs = reqs.join(seed, ["row_key", "family", "qualifier"], "left")
-    else:
-        reqs = reqs.withColumn("_seed", F.lit(None).cast("string"))
-    seeded = reqs.select("row_key", "family", "qualifier", "ts", "seq", "expected", "value", "_seed")
-    return seeded.groupBy("row_key", "family", "qualifier").applyInPandasWithState(
-        _cas_state_fn(delete), _ACCEPTED, _STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def accepted_as_cells(accepted: DataFrame, *, action: str = "put", delete_scope: str = "cell") -> DataFrame:
-    """Accepted mutations as cell-log rows."""
-    if action == "put":
-        return accepted.select("row_key", "family", "qualifier", "ts", "seq", F.lit(C.PUT).alias("kind"),
-                               "value", F.lit(None).cast("bigint").alias("delta"))
-    kind = {"cell": C.DELETE_CELL, "family": C.DELETE_FAMILY, "row": C.DELETE_ROW}[delete_scope]
-    fam = F.col("family") if delete_scope != "row" else F.lit(None).cast("string")
-    qual = F.col("qualifier") if delete_scope == "cell" else F.lit(None).cast("string")
-    return accepted.select("row_key", fam.alias("family"), qual.alias("qualifier"), "ts", "seq",
-                           F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("value"),
-                           F.lit(None).cast("bigint").alias("delta"))
+        version = [F.col(c) if c in current.columns else F.lit(None).cast("bigint").alias(c) for c in ("ts", "seq")]
+        initial = current.select("row_key", "family", "qualifier", "value", *version).groupBy("row_key")
+    accepted = reqs.groupBy("row_key").transformWithState(ConditionalRows(), _ACCEPTED, "append", "none", initial)
+    return cas.as_cells(accepted)
 
 
 def stream_enrich(stream: DataFrame, static: DataFrame, on, how: str = "left") -> DataFrame:

@@ -30,7 +30,8 @@ def brute_resolve(entries):
                                    or (ef == f and eq == q)))
             if covers:
                 muts.append(e)
-        muts.sort(key=lambda e: (e[3], e[4], e[6] or ""))
+        # a delete covers everything of its ts
+        muts.sort(key=lambda e: (e[3], e[5].startswith("delete"), e[4], e[6] or ""))
         present, val, counter = False, None, None
         for _r, _f, _q, ts, seq, kind, value, delta in muts:
             if kind == C.PUT:
@@ -207,8 +208,10 @@ def test_time_range_keeps_counter_totals(spark):
 
 def test_wide_form_by_family(spark):
     cells = C.resolve(log(spark, [("a", "f", "q", 1, 0, "put", "z", None), ("a", "g", "q", 5, 0, "put", "a", None)]))
-    assert rows(C.to_wide(cells)) == [("a", "a")]
-    assert rows(C.to_wide(cells, by_family=True).select("f:q", "g:q")) == [("z", "a")]
+    assert rows(C.to_wide(cells, qualifiers=["f:q", "g:q"], by_family=True)) == [("a", "z", "a")]
+    assert [(r.row_key, r.cells) for r in C.to_wide(cells).collect()] == [("a", {"f:q": "z", "g:q": "a"})]
+    with pytest.raises(Exception, match="several families hold q"):
+        C.to_wide(cells, qualifiers=["q"]).collect()
 
 
 def test_many_split_keys(spark):

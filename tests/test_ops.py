@@ -135,10 +135,10 @@ def test_check_and_put_chunked_equals_fold(spark):
     df = spark.createDataFrame(reqs, "k string, exp string, val string, ts long, seq long")
     r = cas.requests(df, row_key="k", family="c", qualifier="s", expected="exp", value="val", ts="ts", seq="seq")
     for action in ("put", "delete"):
-        chunked = cas.check_and_mutate(base, r, action=action, hot_cell_rows=0, num_chunks=7)
-        plain = cas.check_and_mutate(base, r, action=action, hot_cell_rows=None)
+        chunked = cas.check_and_mutate(base, r, action=action, hot_row_requests=0, num_chunks=7)
+        plain = cas.check_and_mutate(base, r, action=action, hot_row_requests=None)
         assert rows(chunked, "row_key", "ts", "kind") == rows(plain, "row_key", "ts", "kind")
-    state = dict(rows(C.resolve(C.append(base, cas.check_and_put(base, r, hot_cell_rows=0, num_chunks=7))),
+    state = dict(rows(C.resolve(C.append(base, cas.check_and_put(base, r, hot_row_requests=0, num_chunks=7))),
                       "row_key", "value"))
     want = {}
     for k in sorted({x[0] for x in reqs}):
@@ -153,7 +153,7 @@ def test_check_and_delete_single_path_equals_general(spark):
                                   ("u2", "c", "t", 1, 0, "put", "view", None)], C.CELL_SCHEMA)
     users = spark.createDataFrame([("u1",), ("u2",), ("u3",)], "u string")
     r = cas.requests(users, row_key="u", family="c", qualifier="t", expected=F.lit("error"), ts=F.lit(10))
-    a = rows(cas.check_and_delete(base, r, scope="row", single_per_cell=True), "row_key", "kind")
+    a = rows(cas.check_and_delete(base, r, scope="row", single_per_row=True), "row_key", "kind")
     b = rows(cas.check_and_delete(base, r, scope="row"), "row_key", "kind")
     assert a == b == [("u1", "delete_row")]
 

@@ -54,7 +54,7 @@ def test_stream_check_and_put_equals_batch_fold(spark, tmp):
                             ts=epoch_micros("ts"), seq=F.col("event_id"))
 
     accepted = SM.stream_check_and_mutate(reqs(stream), None)
-    SM.append_to_files(SM.accepted_as_cells(accepted), f"{tmp}/out", f"{tmp}/ck")
+    SM.append_to_files(accepted, f"{tmp}/out", f"{tmp}/ck")
     got = rows(C.resolve(C.read_cells(spark, f"{tmp}/out")), "row_key", "value")
     base = C.empty_cells(spark)
     want = rows(C.resolve(cas.check_and_put(base, reqs(ev))), "row_key", "value")
