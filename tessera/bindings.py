@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import epoch_micros
 from tessera.operators import cells as C
 from tessera.operators.convert import df_to_cells
+from tessera.session import scratch_path
 
 FAMILY = "c"
 CUSTOMER_QUALIFIERS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -70,23 +71,32 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matching records derived from ``customer`` with controlled collisions and nulls."""
     c = table(spark, sf_dir, "customer")
     band = F.floor(F.col("c_acctbal") / 1000).cast("bigint").cast("string")
+    # keys agree among neighbouring customers only, so pairs grow with the table, not with its square
+    near = lambda n: F.floor(F.col("c_custkey") / n).cast("bigint").cast("string")
     return c.select(
         F.col("c_custkey").alias("app_id"),
         F.initcap("c_mktsegment").alias("first_name"),
         F.when(F.col("c_nationkey") == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("N"), F.col("c_nationkey").cast("string"), F.lit("-"), band)).alias("last_name"),
+        .otherwise(F.concat(F.lit("N"), near(500), F.lit("-"), band)).alias("last_name"),
         F.lower(F.concat(F.col("c_mktsegment"), F.lit("."),
-                         F.floor(F.col("c_acctbal") / 100).cast("bigint").cast("string"),
+                         F.floor(F.col("c_acctbal") / 100).cast("bigint").cast("string"), F.lit("."), near(1500),
                          F.lit("@example.com"))).alias("email"),
         F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.col("c_nationkey").cast("string"), F.lit("-"),
+        .otherwise(F.concat(F.col("c_nationkey").cast("string"), F.lit("-"), near(1500), F.lit("-"),
                             F.floor("c_acctbal").cast("bigint").cast("string"))).alias("phone"),
         F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("c_nationkey").cast("string"), F.lit(" "), F.col("c_mktsegment"),
-                            F.lit(" St "), band)).alias("address"),
+                            F.lit(" St "), near(1000))).alias("address"),
     )
 
 
+def stored(cells: DataFrame, name: str) -> DataFrame:
+    """The log written to the scratch folder and read back, as a stored table is read."""
+    path = scratch_path(cells.sparkSession, name)
+    C.write_cells(cells, path)
+    return C.read_cells(cells.sparkSession, path)
+
+
 # Fixed test binding of check-and-put: the status a new event type expects to
 # replace (null = the status cell must be absent).
 FUNNEL_EXPECTS = [("signup", None), ("view", "signup"), ("click", "view"),

@@ -84,12 +84,12 @@ def scan_csv_header(spark, d):
 
 
 @register("scan_csv_schema", """
-SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
-FROM nation""")
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey
+FROM customer""")
 def scan_csv_schema(spark, d):
     path = scratch_path(spark, "csv-pipe")
-    K.write_csv(T(spark, d, "nation"), path, delimiter="|", header=False)
-    return SF.read_csv_schema(spark, path, columns="n_nationkey,n_name,n_regionkey", delimiter="|")
+    K.write_csv(T(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), path, delimiter="|", header=False)
+    return SF.read_csv_schema(spark, path, columns="c_custkey,c_name,c_nationkey", delimiter="|")
 
 
 @register("scan_parquet", "SELECT * FROM orders")
@@ -154,22 +154,22 @@ def source_named_query(spark, d):
 
 
 @register("source_dispatch", """
-SELECT 'sql' AS kind, n_nationkey, n_name, n_regionkey FROM nation
-UNION ALL SELECT 'csv', n_nationkey, n_name, n_regionkey FROM nation
-UNION ALL SELECT 'parquet', n_nationkey, n_name, n_regionkey FROM nation""")
+SELECT 'sql' AS kind, c_custkey, c_name, c_nationkey FROM customer
+UNION ALL SELECT 'csv', c_custkey, c_name, c_nationkey FROM customer
+UNION ALL SELECT 'parquet', c_custkey, c_name, c_nationkey FROM customer""")
 def source_dispatch(spark, d):
-    v = _views(spark, d, "nation")
+    v = _views(spark, d, "customer")
     csv_path = scratch_path(spark, "dispatch-csv")
-    K.write_csv(T(spark, d, "nation"), csv_path, header=True)
+    K.write_csv(T(spark, d, "customer"), csv_path, header=True)
     parts = [
-        ("sql", SQ.load(spark, f"SELECT n_nationkey, n_name, n_regionkey FROM {v['nation']}", "sql")),
+        ("sql", SQ.load(spark, f"SELECT c_custkey, c_name, c_nationkey FROM {v['customer']}", "sql")),
         ("csv", SQ.load(spark, csv_path, "csv")),
-        ("parquet", SQ.load(spark, f"{d}/nation.parquet", "parquet")),
+        ("parquet", SQ.load(spark, f"{d}/customer.parquet", "parquet")),
     ]
     out = None
     for kind, df in parts:
-        df = df.select(F.lit(kind).alias("kind"), F.col("n_nationkey").cast("int"), "n_name",
-                       F.col("n_regionkey").cast("int"))
+        df = df.select(F.lit(kind).alias("kind"), F.col("c_custkey").cast("bigint"), "c_name",
+                       F.col("c_nationkey").cast("int"))
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -311,10 +311,10 @@ def row_index_dense(spark, d):
 
 
 @register("row_index_window", """
-SELECT n_nationkey, n_name, n_regionkey, CAST(99 + row_number() OVER (ORDER BY n_nationkey) AS BIGINT) AS row_num
-FROM nation""")
+SELECT c_custkey, c_name, c_nationkey, CAST(99 + row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS row_num
+FROM customer""")
 def row_index_window(spark, d):
-    return index.row_index_by_window(T(spark, d, "nation"), "n_nationkey", offset=100)
+    return index.row_index_by_window(T(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), "c_custkey", offset=100)
 
 
 # ================================================================== scalar functions
@@ -349,14 +349,14 @@ def fn_levenshtein(spark, d):
 
 
 @register("fn_trim", r"""
-SELECT n_nationkey, regexp_replace(chr(9) || n_name || '  ' || chr(10), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS trimmed,
-       trim(chr(9) || n_name || '  ') AS space_trimmed
-FROM nation""")
+SELECT c_custkey, regexp_replace(chr(9) || c_name || '  ' || chr(10), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS trimmed,
+       trim(chr(9) || c_name || '  ') AS space_trimmed
+FROM customer""")
 def fn_trim(spark, d):
-    padded = F.concat(F.lit("\t"), F.col("n_name"), F.lit("  "), F.lit("\n"))
-    return T(spark, d, "nation").select(
-        "n_nationkey", S.jvm_trim(padded).alias("trimmed"),
-        F.trim(F.concat(F.lit("\t"), F.col("n_name"), F.lit("  "))).alias("space_trimmed"))
+    padded = F.concat(F.lit("\t"), F.col("c_name"), F.lit("  "), F.lit("\n"))
+    return T(spark, d, "customer").select(
+        "c_custkey", S.jvm_trim(padded).alias("trimmed"),
+        F.trim(F.concat(F.lit("\t"), F.col("c_name"), F.lit("  "))).alias("space_trimmed"))
 
 
 @register("fn_parse_date", """
@@ -440,7 +440,7 @@ def df_to_cells_map(spark, d):
 WITH {CUSTOMER_CELLS_CTE}
 SELECT row_key, qualifier, upper(value) AS value_upper FROM cc WHERE row_key >= '1' AND row_key < '5'""")
 def cell_scan_map(spark, d):
-    return C.scan_map(B.customer_cells(spark, d),
+    return C.scan_map(B.stored(B.customer_cells(spark, d), "customer-cells"),
                       [F.col("row_key"), F.col("qualifier"), F.upper("value").alias("value_upper")],
                       start_row="1", stop_row="5")
 
@@ -450,7 +450,7 @@ WITH {CUSTOMER_CELLS_CTE}
 SELECT row_key, count(*) AS n_cells, string_agg(qualifier || '=' || value, ',' ORDER BY qualifier) AS joined
 FROM cc GROUP BY row_key""")
 def cell_scan_rows(spark, d):
-    rows = C.scan_rows(B.customer_cells(spark, d))
+    rows = C.scan_rows(B.stored(B.customer_cells(spark, d), "customer-cells"))
     return rows.select("row_key", F.size("cells").cast("bigint").alias("n_cells"),
                        F.array_join(F.transform("cells", lambda c: F.concat(c["qualifier"], F.lit("="), c["value"])),
                                     ",").alias("joined"))
@@ -462,7 +462,7 @@ SELECT CASE WHEN row_key >= '9' THEN 3 WHEN row_key >= '6' THEN 2 WHEN row_key >
        count(*) AS n_cells, count(DISTINCT row_key) AS n_rows
 FROM cc GROUP BY 1""")
 def cell_scan_ranges(spark, d):
-    tagged = C.scan_ranges(B.customer_cells(spark, d), ["3", "6", "9"])
+    tagged = C.scan_ranges(B.stored(B.customer_cells(spark, d), "customer-cells"), ["3", "6", "9"])
     return tagged.groupBy("range_id").agg(F.count("*").alias("n_cells"),
                                           F.countDistinct("row_key").alias("n_rows"))
 
@@ -473,7 +473,7 @@ CUSTOMER_WIDE_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, C
 
 @register("cell_scan_wide", CUSTOMER_WIDE_SQL)
 def cell_scan_wide(spark, d):
-    return C.scan_wide(B.customer_cells(spark, d), key_name="c_custkey", qualifiers=B.CUSTOMER_QUALIFIERS)
+    return C.scan_wide(B.stored(B.customer_cells(spark, d), "customer-cells"), key_name="c_custkey", qualifiers=B.CUSTOMER_QUALIFIERS)
 
 
 @register("cell_bulk_get", f"""
@@ -481,7 +481,7 @@ WITH {CUSTOMER_CELLS_CTE}
 SELECT o_orderkey, row_key, qualifier, value FROM orders JOIN cc ON CAST(o_custkey AS VARCHAR) = row_key""")
 def cell_bulk_get(spark, d):
     keys = T(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return C.bulk_get(B.customer_cells(spark, d), keys, "o_custkey").select(
+    return C.bulk_get(B.stored(B.customer_cells(spark, d), "customer-cells"), keys, "o_custkey").select(
         "o_orderkey", "row_key", "qualifier", "value")
 
 
@@ -491,24 +491,44 @@ SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, c_name, CAST(c_nationkey AS VARC
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def cell_bulk_get_wide(spark, d):
     keys = T(spark, d, "orders").select("o_custkey")
-    return C.bulk_get_wide(B.customer_cells(spark, d), keys, "o_custkey", qualifiers=B.CUSTOMER_QUALIFIERS)
+    return C.bulk_get_wide(B.stored(B.customer_cells(spark, d), "customer-cells"), keys, "o_custkey", qualifiers=B.CUSTOMER_QUALIFIERS)
 
 
 @register("cell_point_get", """
-SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN 'c_mktsegment' ELSE ' c_name' END AS q,
-       CASE WHEN n_regionkey = 0 THEN c_mktsegment ELSE c_name END AS value
-FROM nation LEFT JOIN customer ON c_custkey = n_nationkey""")
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'c_mktsegment' ELSE ' c_name' END AS q,
+       CASE WHEN o_orderstatus = 'F' THEN c_mktsegment ELSE c_name END AS value
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
 def cell_point_get(spark, d):
-    req = T(spark, d, "nation").select(
-        "n_nationkey", F.when(F.col("n_regionkey") == 0, F.lit("c_mktsegment")).otherwise(F.lit(" c_name")).alias("q"))
-    return C.point_get(B.customer_cells(spark, d), req, row_col="n_nationkey", family="c", qualifier_col="q")
+    qualifier = F.when(F.col("o_orderstatus") == "F", F.lit("c_mktsegment")).otherwise(F.lit(" c_name"))
+    req = T(spark, d, "orders").select("o_orderkey", "o_custkey", qualifier.alias("q"))
+    cells = B.stored(B.customer_cells(spark, d), "customer-cells")
+    return C.point_get(cells, req, row_col="o_custkey", family="c", qualifier_col="q").select("o_orderkey", "q", "value")
+
+
+@register("cell_get_columns", """
+SELECT o_orderkey, CASE WHEN c_custkey IS NOT NULL THEN 'c_mktsegment' END AS qualifier, c_mktsegment AS value
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey + (o_orderkey % 2) * 1000000000
+WHERE o_orderkey % 2 = 1 OR o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, q.qualifier, CASE q.qualifier WHEN 'c_name' THEN c_name WHEN 'c_nationkey' THEN CAST(c_nationkey AS VARCHAR)
+    WHEN 'c_acctbal' THEN CAST(c_acctbal AS VARCHAR) ELSE c_mktsegment END
+FROM orders JOIN customer ON c_custkey = o_custkey, (VALUES ('c_name'), ('c_nationkey'), ('c_acctbal'), ('c_mktsegment')) q(qualifier)
+WHERE o_orderkey % 2 = 0 AND o_orderstatus <> 'F'""")
+def cell_get_columns(spark, d):
+    """Each request names the columns it wants, or none for the whole row; half of the keys are absent and keep their request."""
+    one = F.array(F.struct(F.lit("c").alias("family"), F.lit("c_mktsegment").alias("qualifier")))
+    wants = F.when((F.col("o_orderstatus") == "F") | (F.col("o_orderkey") % 2 == 1), one)
+    key = F.col("o_custkey") + (F.col("o_orderkey") % 2) * 1_000_000_000
+    req = T(spark, d, "orders").select("o_orderkey", key.alias("k"), wants.alias("wants"))
+    cells = B.stored(B.customer_cells(spark, d), "customer-cells")
+    return C.bulk_get(cells, req, "k", columns="wants", keep_absent=True).select("o_orderkey", "qualifier", "value")
 
 
 @register("cell_latest_value", """
 SELECT CAST(user_id AS VARCHAR) AS row_key, arg_max(event_type, ts) AS value FROM events GROUP BY user_id""")
 def cell_latest_value(spark, d):
     puts = B.event_puts(spark, d, qualifier=F.lit("last_type"), value="event_type")
-    return C.latest_value(puts, family="c", qualifier="last_type")
+    return C.latest_value(B.stored(puts, "event-cells"), family="c", qualifier="last_type")
 
 
 # ================================================================== mutations
@@ -782,18 +802,18 @@ def map_partitions(spark, d):
 
 
 @register("cell_table_create_drop", """
-SELECT CAST(n_nationkey AS VARCHAR) AS row_key, 'n_name' AS qualifier, n_name AS value FROM nation
-UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'n_regionkey', CAST(n_regionkey AS VARCHAR) FROM nation""")
+SELECT CAST(s_suppkey AS VARCHAR) AS row_key, 's_name' AS qualifier, s_name AS value FROM supplier
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier""")
 def cell_table_create_drop(spark, d):
     name = unique_name("cells_tbl")
-    nation_cells = df_to_cells(T(spark, d, "nation"), family="c")
+    supplier_cells = df_to_cells(T(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), family="c")
     C.create_table(spark, name)
     C.insert_cells(spark, name, B.customer_cells(spark, d))
     C.drop_table(spark, name)
     C.drop_table(spark, name)  # absent table tolerated
     C.create_table(spark, name)
-    C.insert_cells(spark, name, nation_cells)
-    return C.resolve(spark.table(name)).select("row_key", "qualifier", "value")
+    C.insert_cells(spark, name, supplier_cells)
+    return C.resolve(C.read_table(spark, name)).select("row_key", "qualifier", "value")
 
 
 # ================================================================== matching, lookup
@@ -802,12 +822,12 @@ APPS_SQL = """
 SELECT c_custkey AS app_id,
        upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS first_name,
        CASE WHEN c_nationkey = 0 THEN NULL
-            ELSE 'N' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(CAST(floor(c_acctbal / 1000) AS BIGINT) AS VARCHAR) END AS last_name,
-       lower(c_mktsegment || '.' || CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) || '@example.com') AS email,
+            ELSE 'N' || CAST(c_custkey // 500 AS VARCHAR) || '-' || CAST(CAST(floor(c_acctbal / 1000) AS BIGINT) AS VARCHAR) END AS last_name,
+       lower(c_mktsegment || '.' || CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) || '.' || CAST(c_custkey // 1500 AS VARCHAR) || '@example.com') AS email,
        CASE WHEN c_acctbal < 0 THEN NULL
-            ELSE CAST(c_nationkey AS VARCHAR) || '-' || CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS phone,
+            ELSE CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey // 1500 AS VARCHAR) || '-' || CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS phone,
        CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL
-            ELSE CAST(c_nationkey AS VARCHAR) || ' ' || c_mktsegment || ' St ' || CAST(CAST(floor(c_acctbal / 1000) AS BIGINT) AS VARCHAR) END AS address
+            ELSE CAST(c_nationkey AS VARCHAR) || ' ' || c_mktsegment || ' St ' || CAST(c_custkey // 1000 AS VARCHAR) END AS address
 FROM customer"""
 
 MATCH_SQL = f"""
@@ -1063,15 +1083,13 @@ def stream_check_and_mutate_q(spark, d):
 @register("stream_enrich", """
 SELECT event_id, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey""")
 def stream_enrich(spark, d):
-    from tessera.streaming.mutations import append_to_files, stream_enrich as enrich
+    from tessera.streaming.mutations import stream_gets
     store = scratch_path(spark, "customer-cells")
     C.write_cells(B.customer_cells(spark, d), store)  # the stored table the stream reads live
-    wide = C.scan_wide(C.read_cells(spark, store), key_name="c_custkey", qualifiers=["c_name", "c_mktsegment"])
-    s = _stream_events(spark, d).select("event_id", "user_id",
-                                        F.col("user_id").cast("string").alias("c_custkey"))
     root = scratch_path(spark, "stream-enrich")
-    append_to_files(enrich(s, wide, "c_custkey").drop("c_custkey"), f"{root}/data", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/data")
+    found = stream_gets(_stream_events(spark, d).select("event_id", "user_id"), store, key_col="user_id",
+                        qualifiers=["c_name", "c_mktsegment"], path=root, checkpoint=f"{root}/_checkpoint")
+    return found.select("event_id", "user_id", "c_name", "c_mktsegment")
 
 
 STREAM_CHANGE_SQL = """

@@ -24,6 +24,7 @@ import re
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,15 +92,17 @@ def mutations(df: DataFrame, *, row_key, family=None, qualifier=None, value=None
     )
 
 
-def _part(name: str) -> Column:
-    """A key part that must not be null; reading a null one fails the job."""
-    return F.coalesce(F.col(name), F.raise_error(F.lit(f"not a mutation: {name} is null"))).alias(name)
-
-
 def keyed(rows: DataFrame, *parts: str) -> DataFrame:
-    """``rows`` whose key ``parts`` (all of row key, family and qualifier by default) may not be null."""
+    """``rows`` whose key ``parts`` (all of row key, family and qualifier by default) may not be null.
+
+    Reading a row without one fails the job.
+    """
     parts = parts or ("row_key", "family", "qualifier")
-    return rows.select(*[_part(c) if c in parts else F.col(c) for c in CELL_COLUMNS])
+    whole = F.lit(True)
+    for c in parts:
+        whole = whole & F.col(c).isNotNull()
+    said = F.concat(F.lit("not a mutation: null in "), F.to_json(F.struct(*[F.coalesce(c, F.lit("null")).alias(c) for c in parts])))
+    return rows.select(*[F.when(whole, F.col(c)).otherwise(F.raise_error(said)).alias(c) if c == "row_key" else F.col(c) for c in CELL_COLUMNS])
 
 
 def append(cells: DataFrame, *more: DataFrame) -> DataFrame:
@@ -328,16 +331,46 @@ def scan_wide(cells: DataFrame, *, key_name: str = "row_key", qualifiers: Sequen
 
 # --------------------------------------------------------------------------- gets
 
-def bulk_get(cells: DataFrame, keys: DataFrame, key_col: str, **restriction) -> DataFrame:
+#: Up to this many requested keys become literals that the Parquet reader checks.
+LITERAL_KEYS = 1_000
+
+
+def requested(cells: DataFrame, keys: DataFrame) -> DataFrame:
+    """The log of the rows in ``keys`` (one column ``row_key``).
+
+    A few keys go into the scan as literals; with more, their least and
+    greatest do and a semi join leaves the rest. Files and row groups of a stored log
+    (sorted by key, with Bloom filters on it) are skipped by both. Looks at the keys now, at most
+    ``LITERAL_KEYS`` of them on the driver.
+    """
+    found = keys.filter(F.col("row_key").isNotNull()).distinct()
+    few = [r[0] for r in found.limit(LITERAL_KEYS + 1).collect()]
+    if len(few) <= LITERAL_KEYS:
+        return cells.filter(F.col("row_key").isin(few)) if few else cells.filter(F.lit(False))
+    low, high = found.agg(F.min("row_key"), F.max("row_key")).first()
+    return cells.filter((F.col("row_key") >= low) & (F.col("row_key") <= high)).join(found, "row_key", "left_semi")
+
+
+def bulk_get(cells: DataFrame, keys: DataFrame, key_col: str, *, columns: str | None = None,
+             keep_absent: bool = False, **restriction) -> DataFrame:
     """Cells of the requested keys: one output row per (request, cell).
 
-    Duplicate requests are kept; a key without cells yields nothing. A small
-    request set is broadcast by AQE at run time; a large one shuffles.
+    Duplicate requests are kept. ``columns`` names an array column of
+    (family, qualifier) structs that lists what a request wants; a null
+    qualifier stands for the whole family, a null or empty array for the row. A request
+    that finds nothing yields nothing, or with ``keep_absent`` one row without a cell.
+    A small request set is broadcast by AQE at run time; a large one shuffles.
     """
-    req = keys.withColumn("row_key", F.col(key_col).cast("string"))
-    wanted = req.select("row_key").distinct()
-    resolved = scan(cells.join(wanted, "row_key", "left_semi"), **restriction)  # only requested rows are resolved
-    return req.join(resolved, "row_key", "inner")
+    req = keys.withColumn("row_key", F.col(f"`{key_col}`").cast("string"))
+    resolved = scan(requested(cells, req.select("row_key")), **restriction)  # only requested rows are resolved
+    how = "left" if keep_absent else "inner"
+    if columns is None:
+        return req.join(resolved, "row_key", how)
+    wants = F.col(f"`{columns}`")
+    listed = F.exists(wants, lambda w: (w["family"] == F.col("_cell.family")) & (w["qualifier"].isNull() | (w["qualifier"] == F.col("_cell.qualifier"))))
+    packed = resolved.select("row_key", F.struct("family", "qualifier", "value", "ts", "seq").alias("_cell"))
+    on = (F.col("row_key") == F.col("_key")) & (wants.isNull() | (F.size(wants) == 0) | listed)
+    return req.join(packed.withColumnRenamed("row_key", "_key"), on, how).select("row_key", *[c for c in req.columns if c != "row_key"], "_cell.*")
 
 
 def bulk_get_wide(cells: DataFrame, keys: DataFrame, key_col: str, *,
@@ -346,9 +379,8 @@ def bulk_get_wide(cells: DataFrame, keys: DataFrame, key_col: str, *,
 
     The key column name is a parameter; duplicate requests are kept.
     """
-    wanted = keys.select(F.col(key_col).cast("string").alias("row_key")).distinct()
-    wide = scan_wide(cells.join(wanted, "row_key", "left_semi"), qualifiers=qualifiers)
-    req = keys.select(F.col(key_col).cast("string").alias("row_key"))
+    req = keys.select(F.col(f"`{key_col}`").cast("string").alias("row_key"))
+    wide = scan_wide(requested(cells, req), qualifiers=qualifiers)
     out = req.join(wide, "row_key", "left")
     return out.withColumnRenamed("row_key", key_name or key_col)
 
@@ -356,13 +388,15 @@ def bulk_get_wide(cells: DataFrame, keys: DataFrame, key_col: str, *,
 def point_get(cells: DataFrame, requests: DataFrame, *, row_col: str, family: str | Column,
               qualifier_col: str) -> DataFrame:
     """Set-oriented single-cell gets: ``value`` of (row, family, qualifier) per
-    request row, null when absent. The qualifier is trimmed like the JVM does."""
+    request row, null when absent. The qualifier is trimmed like the JVM does.
+    Only requested rows, and of a literal family only its cells, are resolved."""
     from tessera.functions.scalar import jvm_trim
 
     fam = _lit_or_col(family, literal_str=True)
     req = requests.withColumn("_rk", F.col(row_col).cast("string")) \
         .withColumn("_fam", fam).withColumn("_q", jvm_trim(F.col(qualifier_col)))
-    res = resolve(cells.join(req.select(F.col("_rk").alias("row_key")).distinct(), "row_key", "left_semi"))
+    log = requested(cells, req.select(F.col("_rk").alias("row_key")))
+    res = scan(log, families=[family] if isinstance(family, str) else None)
     res = res.select(F.col("row_key").alias("_rk"), F.col("family").alias("_fam"),
                      F.col("qualifier").alias("_q"), F.col("value"))
     return req.join(res, ["_rk", "_fam", "_q"], "left").drop("_rk", "_fam", "_q")
@@ -390,15 +424,23 @@ def _stamped(mutation: dict) -> dict:
     return mutation if mutation.get("ts") is not None else {**mutation, "ts": next_version()}
 
 
+def _addressed(mutation: dict) -> dict:
+    """Arguments that name a cell."""
+    for part in ("row_key", "family", "qualifier"):
+        if mutation.get(part) is None:
+            raise ValueError(f"not a mutation: {part} is null")
+    return mutation
+
+
 def put(cells: DataFrame, df: DataFrame, **mutation) -> DataFrame:
     """Bulk put: append put mutations built from ``df``; without ``ts``, newer than every earlier call."""
-    mutation = _stamped(mutation)
+    mutation = _stamped(_addressed(mutation))
     return append(cells, keyed(mutations(df, kind=PUT, **mutation)))
 
 
 def increment(cells: DataFrame, df: DataFrame, *, delta=1, **mutation) -> DataFrame:
     """Bulk increment of 64-bit counters; without ``ts``, newer than every earlier call."""
-    mutation = _stamped(mutation)
+    mutation = _stamped(_addressed(mutation))
     return append(cells, keyed(mutations(df, kind=INCREMENT, delta=delta, **mutation)))
 
 
@@ -447,7 +489,8 @@ def write_cells(cells: DataFrame, path: str, *, mode: str = "append",
     # instead of one, while the files stay globally ordered by row key.
     out = out.repartitionByRange(num_partitions, *order) if num_partitions \
         else out.repartitionByRange(*order)
-    out.sortWithinPartitions("kind", *order).write.mode(mode).partitionBy("kind").parquet(path)
+    (out.sortWithinPartitions("kind", *order).write.mode(mode).partitionBy("kind")
+     .option("parquet.bloom.filter.enabled#row_key", "true").parquet(path))
 
 
 def _by_kind(log: DataFrame, kinds: Sequence[str]) -> DataFrame:
@@ -486,6 +529,17 @@ def _read_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     return append(*parts)
 
 
+def read_pinned(spark: SparkSession, path: str, pin: str) -> DataFrame:
+    """A stored log as of the first call with this ``pin``, a folder that keeps the names of the files read."""
+    pinned = spark.read.schema("file string").option("ignoreMissingFiles", "true")
+    try:
+        files = [r.file for r in pinned.parquet(pin).collect()]
+    except AnalysisException:  # no such folder: the first call
+        files = sorted(read_cells(spark, path).inputFiles())
+        spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.mode("overwrite").parquet(pin)
+    return _read_files(spark, files) if files else empty_cells(spark)
+
+
 def compact(cells: DataFrame, *, versions: int = 1, settled_ts: int | None = None) -> DataFrame:
     """The log without rows that no later or late mutation can make count again.
 
@@ -531,11 +585,16 @@ def compact(cells: DataFrame, *, versions: int = 1, settled_ts: int | None = Non
     return append(live, open_incs, *kept)
 
 
-def create_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create an (empty) cell table in the catalog; an existing one is kept."""
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CELL_SCHEMA.fields)
+def create_table(spark: SparkSession, name: str, location: str | None = None, *, buckets: int = 16) -> None:
+    """Create an (empty) cell table in the catalog; an existing one is kept.
+
+    Partitioned by kind, and bucketed by row key so that resolving it, and gets
+    from it, need no exchange of the stored side. Choose ``buckets`` for the table's size.
+    """
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in [*[f for f in CELL_SCHEMA.fields if f.name != "kind"], CELL_SCHEMA["kind"]])
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY (kind) "
+              f"CLUSTERED BY (row_key) SORTED BY (row_key) INTO {int(buckets)} BUCKETS{loc}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -544,8 +603,15 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def insert_cells(spark: SparkSession, name: str, cells: DataFrame) -> None:
-    """Append mutations to a catalog cell table (positional, schema order)."""
-    cells.select(*CELL_COLUMNS).write.insertInto(name)
+    """Append mutations to a catalog cell table; one exchange by row key keeps a file per bucket."""
+    buckets = int(spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()["data_type"])
+    cells.select(*[c for c in CELL_COLUMNS if c != "kind"], "kind").repartition(buckets, "row_key").write.insertInto(name)
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The log in a catalog cell table, with a branch for each kind in it."""
+    kinds = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]  # five at most
+    return _by_kind(spark.table(name), kinds)
 
 
 def compact_to(log: DataFrame, path: str, *, versions: int = 1, settled_ts: int | None = None) -> list[str]:

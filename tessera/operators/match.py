@@ -6,8 +6,8 @@ non-null key, as ``(rule, hash(key), record)``; one equi self join on
 ``(rule, hash)`` finds every candidate ordered pair; the exact keys are
 compared after the join, and a pair found by several rules is kept only
 under its first matching rule, so no ``distinct`` shuffle is needed. A key shared
-by m records yields m² pairs by definition; AQE's skew join splits such a
-hot key across tasks.
+by m records yields m² pairs by definition; the pairs of a hot key are shared out
+over a grid of blocks of its members.
 """
 
 from __future__ import annotations
@@ -18,31 +18,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_root
 
 HOT_KEY_BROADCAST_LIMIT = 1_000_000
 
 
-def _salted_sides(exploded: DataFrame, threshold: int, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Split every key held by more than ``threshold`` records into ``salts``
-    sub-joins: left rows take a salt from a hash of the record, right rows are
-    replicated once per salt; other keys keep salt 0."""
-    hot = (exploded.groupBy("_rule", "_h").count().filter(F.col("count") > threshold)
-           .select("_rule", "_h", F.lit(True).alias("_hot")))
-    if hot.count() <= HOT_KEY_BROADCAST_LIMIT:  # the hot set is small by construction; checked
-        hot = F.broadcast(hot)
-    tagged = exploded.join(hot, ["_rule", "_h"], "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    left = tagged.select("_rule", "_h", F.col("rec").alias("l"),
-                         F.when(is_hot, F.pmod(F.xxhash64("rec"), F.lit(salts))).otherwise(F.lit(0))
-                         .cast("bigint").alias("_salt"))
-    right = tagged.select("_rule", "_h", F.col("rec").alias("r"),
-                          F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
-                                    .otherwise(F.array(F.lit(0))).cast("array<bigint>")).alias("_salt"))
-    return left, right
-
-
-def or_match_pairs(df: DataFrame, rules: Mapping[str, Column], *,
-                   salt_hot_keys: int | None = None, salts: int = 16) -> DataFrame:
+def _grid_pairs(members: DataFrame, block_rows: int) -> DataFrame:
+    """All ordered pairs of the members of crowded keys, by blocks of about ``block_rows`` members.
+
+    ``members`` has (_rule, _h, rec, _n), the last the key's number of members.
+    A place in the written table numbers the members, so equal records spread
+    over the blocks as well, and a task that is run again deals them alike. Only the
+    pairs of blocks (i, j) with i <= j are joined; of different blocks each
+    pair is then given in both orders.
+    """
+    blocks = F.ceil(F.col("_n") / block_rows).cast("int")
+    placed = members.checkpoint(eager=True).withColumn("_id", F.monotonically_increasing_id())
+    own = placed.withColumn("_own", F.pmod("_id", blocks.cast("bigint")).cast("int"))
+    left = own.select("_rule", "_h", F.col("rec").alias("a"), F.col("_own").alias("_i"), F.explode(F.sequence("_own", blocks - 1)).alias("_j"))
+    right = own.select("_rule", "_h", F.col("rec").alias("b"), F.col("_own").alias("_j"), F.explode(F.sequence(F.lit(0), "_own")).alias("_i"))
+    met = left.join(right, ["_rule", "_h", "_i", "_j"])
+    once, twice = F.array(F.struct(F.col("a").alias("l"), F.col("b").alias("r"))), F.struct(F.col("b").alias("l"), F.col("a").alias("r"))
+    return met.select("_rule", F.inline(F.when(F.col("_i") == F.col("_j"), once).otherwise(F.concat(once, F.array(twice)))))
+
+
+def or_match_pairs(df: DataFrame, rules: Mapping[str, Column], *, block_rows: int | None = 1_000) -> DataFrame:
     """Ordered pairs ``(l, r)`` of records of ``df`` equal on at least one rule key.
 
     ``rules`` maps a rule name to a key expression over ``df``'s columns; a null
@@ -54,9 +54,9 @@ def or_match_pairs(df: DataFrame, rules: Mapping[str, Column], *,
     re-derived from both records afterwards, so hash collisions never leak
     into the result and long keys (whole texts) are not shuffled twice.
 
-    ``salt_hot_keys``: keys held by more than this many records are split into
-    ``salts`` sub-joins (left side salted, right side replicated), so one hot
-    key's pairs are produced by many tasks without relying on AQE's skew join.
+    Keys held by more than ``block_rows`` records (one aggregate finds them, now) are
+    joined block by block, so many tasks share a hot key's pairs, also those of
+    identical records; ``None`` leaves hot keys to AQE's skew join.
     """
     names = list(rules)
     cols = df.columns
@@ -67,12 +67,20 @@ def or_match_pairs(df: DataFrame, rules: Mapping[str, Column], *,
         F.inline(F.array(*[F.struct(F.lit(i).alias("_rule"), h.alias("_h")) for i, h in enumerate(hashed)])),
     ).filter(F.col("_h").isNotNull())
 
-    if salt_hot_keys is not None:
-        left, right = _salted_sides(exploded, salt_hot_keys, salts)
-        pairs = left.join(right, ["_rule", "_h", "_salt"]).drop("_salt")
-    else:
-        pairs = (exploded.select("_rule", "_h", F.col("rec").alias("l"))
-                 .join(exploded.select("_rule", "_h", F.col("rec").alias("r")), ["_rule", "_h"]))
+    few, hot = exploded, None
+    if block_rows is not None:
+        crowded = exploded.groupBy("_rule", "_h").agg(F.count("*").alias("_n")).filter(F.col("_n") > block_rows)
+        n_crowded = crowded.count()
+        if n_crowded:
+            if n_crowded <= HOT_KEY_BROADCAST_LIMIT:  # 25 bytes a key
+                crowded = F.broadcast(crowded)
+            checkpoint_root(df.sparkSession)
+            tagged = exploded.join(crowded, ["_rule", "_h"], "left")
+            few, hot = tagged.filter(F.col("_n").isNull()).drop("_n"), tagged.filter(F.col("_n").isNotNull())
+    pairs = (few.select("_rule", "_h", F.col("rec").alias("l"))
+             .join(few.select("_rule", "_h", F.col("rec").alias("r")), ["_rule", "_h"]).select("_rule", "l", "r"))
+    if hot is not None:
+        pairs = pairs.unionByName(_grid_pairs(hot, block_rows))
 
     def keys_of(side: str) -> list[Column]:
         # the rule expressions evaluated against one side's record fields

@@ -10,21 +10,20 @@ Two forms with the same result:
   plan: observations are reduced per (key, step) first (map-side), then
   ``lag`` over each key's steps finds the changes. A key's rows are at most
   its number of steps, so a hot key does not pile its raw events on a task.
-* :func:`run_steps` is the iterative job: one except + upsert + history
-  append per step, with each state version written to the shared checkpoint
-  folder so lineage stays short and a lost executor re-reads the last version.
+* :func:`run_steps` is the iterative job: each step gets the cells of its own keys,
+  upserts those that differ and appends history; the stored cells are the state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from tessera.functions.scalar import epoch_micros, history_key
 from tessera.operators import cells as C
-from tessera.operators.setops import changed_rows
 from tessera.session import scratch_path
 
 
@@ -68,87 +67,92 @@ def _wall_time(epoch_us: int) -> Column:
 
 def run_steps(spark: SparkSession, initial: DataFrame, updates: Iterable[tuple[int, DataFrame]], *,
               key: str, status: str, family: str = "c") -> tuple[DataFrame, DataFrame]:
-    """Iterate: ``except`` against the state, upsert cells, append history.
+    """Iterate: compare with the current cells, upsert cells, append history.
 
     ``initial`` and each update are ``(key, status)`` frames; an update may
-    cover only some keys (the others keep their status). Returns the final
-    state cells (resolved) and the history rows. Every step writes its state
-    version and history rows under the shared checkpoint folder.
+    cover only some keys (the others keep their status), add keys, or set a null
+    status. The cells are the state: a step reads the cells of its own keys and writes
+    what changed, so its work and its bytes follow the update. A step older than a
+    cell's version doesn't change it. Returns the final state cells (resolved) and the history rows,
+    both under the shared checkpoint folder.
     """
     root = scratch_path(spark, "change-tracking")
-    state_path, cells_path, hist_path = f"{root}/state", f"{root}/cells", f"{root}/history"
-
-    def to_cells(df: DataFrame, ts: int) -> DataFrame:
-        return C.mutations(df, row_key=key, family=family, qualifier=status, value=status, ts=ts)
-
-    initial.select(key, status).write.mode("overwrite").parquet(f"{state_path}/v=0")
-    C.write_cells(to_cells(initial, 0), cells_path)
-    initial.select(history_key(F.col(key), _wall_time(0)).alias("id_ts"), status) \
-        .write.mode("append").parquet(hist_path)
-    version = 0
-    for step_ts, update in updates:
-        prev = spark.read.parquet(f"{state_path}/v={version}")
-        new = update.select(key, F.struct(F.col(status).alias("value")).alias("_new"))
-        # new keys are added; a new null replaces the old status
-        merged = (prev.join(new, key, "full_outer")
-                  .select(key, F.when(F.col("_new").isNotNull(), F.col("_new.value"))
-                          .otherwise(F.col(status)).alias(status)))
-        changed = changed_rows(merged, prev).persist()
-        C.write_cells(to_cells(changed, step_ts), cells_path)
-        changed.select(history_key(F.col(key), _wall_time(step_ts)).alias("id_ts"),
-                       status).write.mode("append").parquet(hist_path)
-        version += 1
-        merged.write.mode("overwrite").parquet(f"{state_path}/v={version}")
-        changed.unpersist()
+    cells_path, hist_path = f"{root}/cells", f"{root}/history"
+
+    def write(changed: DataFrame, ts: int) -> None:
+        C.write_cells(C.mutations(changed, row_key=key, family=family, qualifier=F.lit(status), value=status, ts=ts), cells_path)
+        changed.select(history_key(F.col(key), _wall_time(ts)).alias("id_ts"), status).write.mode("append").parquet(hist_path)
+
+    write(initial.select(key, status), 0)
+    for n, (step_ts, update) in enumerate(updates):
+        new = update.select(F.col(key), F.col(status), F.col(key).cast("string").alias("row_key"))
+        cells = C.requested(C.read_cells(spark, cells_path), new.select("row_key"))
+        old = C.resolve(cells).select("row_key", F.struct("value", "ts").alias("_old"))
+        differs = F.col("_old").isNull() | ((F.col("_old.ts") < step_ts) & ~F.col("_old.value").eqNullSafe(F.col(status).cast("string")))
+        changed = new.join(old, "row_key", "left").filter(differs).select(key, status).distinct()
+        # written, not cached: a cache over the cells would be computed again once they are appended to
+        changed.write.parquet(f"{root}/changed/{n}")
+        write(spark.read.schema(changed.schema).parquet(f"{root}/changed/{n}"), step_ts)
     state = C.resolve(C.read_cells(spark, cells_path))
     return state, spark.read.parquet(hist_path)
 
 
+class LastStatus(StatefulProcessor):
+    """Keeps each key's newest status and its version; tells of each batch's newest whether it changes the status."""
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("last", "status string, ts bigint, tie bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest, last_ts = None, None
+        for r in rows:
+            version = (r["ts"], r["tie"])
+            last_ts = r["ts"] if last_ts is None else max(last_ts, r["ts"])
+            if newest is None or version > newest[0]:
+                newest = version, r["status"]
+        before = self.state.get()
+        fresh = before is None or newest[0] > tuple(before[1:])
+        changed = fresh and (before is None or before[0] != newest[1])
+        if fresh:
+            self.state.update((newest[1], *newest[0]))
+        yield Row(row_key=key[0], status=newest[1], ts=newest[0][0], tie=newest[0][1], last_ts=last_ts, changed=changed)
+
+    def close(self) -> None:
+        pass
+
+
 def stream_change_tracking(stream: DataFrame, *, key: str, status: Column, ts: str, tiebreak: str,
                            root: str, checkpoint: str, family: str = "c") -> tuple[str, str]:
     """Change tracking over a stream of observations: one step per micro-batch.
 
-    Each batch is reduced to the last status per key and compared with the
-    previous state version (``except``); the changed rows are written as
-    cells and as history rows keyed with the batch's newest event time, and
-    the merged state is written as the next version. Every output of batch
-    ``n`` goes to its own ``batch_id=<n>`` / ``v=<n>`` folder with overwrite,
-    so a replayed batch replaces itself, and each batch reads one state
-    version rather than the whole history. Returns the cells and history paths.
+    Each key's newest status and its version ``(ts, tiebreak)`` are keyed state, so a
+    batch reads and writes the state of its own keys alone. A batch's newest
+    observation of a key counts if it is newer than the state, whenever it arrives;
+    if the status differs, a cell with the observation's version and a history row
+    keyed with the batch's newest event time are written. Outputs of batch ``n`` go to its own
+    ``batch_id=<n>`` folder with overwrite, so a replayed batch replaces itself.
+    Observations without a time are left out. Returns the cells and history paths.
     """
-    from tessera.streaming.mutations import foreach_batch
+    from tessera.streaming.mutations import foreach_batch, use_map_state
 
-    cells_path, hist_path, state_path = f"{root}/cells", f"{root}/history", f"{root}/state"
-    state_schema = "row_key string, status string"
+    use_map_state(stream.sparkSession)
+    cells_path, hist_path = f"{root}/cells", f"{root}/history"
+    obs = stream.filter(F.col(ts).isNotNull()).select(
+        F.col(key).cast("string").alias("row_key"), status.cast("string").alias("status"), epoch_micros(ts).alias("ts"),
+        F.coalesce(F.col(tiebreak).cast("bigint"), F.lit(0)).alias("tie"))
+    told = obs.groupBy("row_key").transformWithState(
+        LastStatus(), "row_key string, status string, ts bigint, tie bigint, last_ts bigint, changed boolean", "append", "none")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # only the first batch starts from nothing; a later one without its state must fail
-        prev = (spark.createDataFrame([], state_schema) if batch_id == 0 else
-                spark.read.schema(state_schema).parquet(f"{state_path}/v={batch_id - 1}"))
-        obs = (batch.groupBy(F.col(key).cast("string").alias("row_key"))
-               .agg(F.max_by(status, F.struct(F.col(ts), F.col(tiebreak))).alias("status"),
-                    F.max(ts).alias("_last_ts")))
-        # the batch's newest time travels as text, cast back to the column's own
-        # type: a Python datetime literal would pick up a time zone on the way
-        step_ts = obs.agg(F.max("_last_ts").cast("string")).first()[0]
-        obs = obs.persist()
-        new = obs.select("row_key", "status")
-        changed = changed_rows(new, prev).persist()
-        if step_ts is not None:
-            ts_lit = F.lit(step_ts).cast(batch.schema[ts].dataType)
-            C.mutations(changed, row_key="row_key", family=family, qualifier="status", value="status",
-                        ts=epoch_micros(ts_lit), seq=F.lit(batch_id)) \
+        seen = batch.persist()
+        newest = seen.agg(F.max("last_ts")).first()[0]
+        if newest is not None:
+            changed = seen.filter("changed")
+            C.mutations(changed, row_key="row_key", family=family, qualifier=F.lit("status"), value="status", ts="ts", seq="tie") \
                 .write.mode("overwrite").parquet(f"{cells_path}/batch_id={batch_id}")
-            changed.select(history_key(F.col("row_key"), ts_lit).alias("id_ts"), "status") \
+            changed.select(history_key(F.col("row_key"), _wall_time(newest)).alias("id_ts"), "status") \
                 .write.mode("overwrite").parquet(f"{hist_path}/batch_id={batch_id}")
-        fresh = new.select("row_key", F.struct(F.col("status").alias("value")).alias("_new"))
-        merged = (prev.join(fresh, "row_key", "full_outer")
-                  .select("row_key", F.when(F.col("_new").isNotNull(), F.col("_new.value"))
-                          .otherwise(F.col("status")).alias("status")))
-        merged.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
-        changed.unpersist()
-        obs.unpersist()
-
-    foreach_batch(stream, step, checkpoint)
+        seen.unpersist()
+
+    foreach_batch(told, step, checkpoint)
     return cells_path, hist_path

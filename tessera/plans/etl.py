@@ -45,7 +45,7 @@ def load_enrich_store(spark: SparkSession, source: str, kind: str = "sql", *,
                       location: str | None = None, table: str | None = None,
                       partition_by: str | None = None, overwrite: bool = True,
                       persist_staging_table: bool = False, cell_sink: CellSink | None = None) -> DataFrame:
-    """Run the ETL and return the enriched frame that was written."""
+    """Run the ETL and return the enriched frame that was written; its cache is released after the last sink."""
     df = load(spark, source, kind, queries=queries)
     if lookup is not None and all([lookup.column, lookup.row_key, lookup.family]):
         df = lookup_column(df, lookup.column, lookup.cells, row_key=lookup.row_key,
@@ -71,4 +71,4 @@ def load_enrich_store(spark: SparkSession, source: str, kind: str = "sql", *,
     if cell_sink is not None:
         C.write_cells(df_to_cells(df, family=cell_sink.family, num_salts=cell_sink.num_salts,
                                   ts=cell_sink.ts), cell_sink.path)
-    return df
+    return df.unpersist() if sinks > 1 else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,12 +80,17 @@ def create_external_table(spark: SparkSession, table: str, path: str, *, fmt: st
     """Register files at ``path`` as an external table; repair partitions if any.
 
     An external table of that name is registered anew (``replace``) or kept
-    and refreshed; a managed table is never touched, since dropping it would
+    and refreshed, which is refused if it lies at another location; a managed table is never touched, since dropping it would
     delete its files.
     """
     if spark.catalog.tableExists(table):
         if spark.catalog.getTable(table).tableType == "MANAGED":
             raise ValueError(f"{table} is a managed table; it is not replaced by an external one")
+        if not replace:
+            described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").first()
+            bare = lambda p: re.sub(r"^[a-z0-9]+:/+", "/", p.rstrip("/"))
+            if described and bare(described["data_type"]) != bare(path):
+                raise ValueError(f"{table} lies at {described['data_type']}, not at {path}")
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{path}'")

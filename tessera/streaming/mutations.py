@@ -15,7 +15,7 @@ in the store. Here:
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -175,6 +175,12 @@ class ConditionalRows(StatefulProcessor):
         pass
 
 
+def use_map_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB, the provider that keyed state of several variables needs."""
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+
+
 def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *,
                             action: str = "put", delete_scope: str = "cell") -> DataFrame:
     """Accepted mutations of a stream of conditional requests, as cell-log rows.
@@ -190,8 +196,7 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
     """
     spark = stream_reqs.sparkSession
     ship_package(spark)
-    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # the only provider with map state
+    use_map_state(spark)
     reqs = cas.with_then(stream_reqs, action, delete_scope)
     reqs = reqs.select("row_key", "family", "qualifier", "expected", "ts", "seq", "then", F.xxhash64("then").alias("tie"))
     initial = None
@@ -203,5 +208,30 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
 
 
 def stream_enrich(stream: DataFrame, static: DataFrame, on, how: str = "left") -> DataFrame:
-    """Streaming get: a stream-static join against (resolved, wide) cells."""
+    """A stream-static join against (resolved, wide) cells; for a store that doesn't change."""
     return stream.join(static, on, how)
+
+
+def stream_gets(stream: DataFrame, store: str, *, key_col: str, qualifiers: Sequence[str], path: str, checkpoint: str) -> DataFrame:
+    """Streaming gets from a stored log that others go on writing to.
+
+    Each micro-batch reads the files that the store has when the batch starts,
+    and of those only its own keys' rows (``cells.requested``), so its work follows the
+    batch and a put between two batches is seen by the next. Which files a batch read is written
+    first, so a batch that is run again reads the same, and its output folder is replaced.
+    Returns the stream's rows with a column for each qualifier (null if absent).
+    """
+    schema = T.StructType([*stream.schema.fields, *[T.StructField(q, T.StringType()) for q in qualifiers]])
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cells = C.read_pinned(spark, store, f"{path}/pins/{batch_id}")
+        rows = batch.persist()
+        keys = rows.select(F.col(key_col).cast("string").alias("_key")).distinct()
+        wide = C.bulk_get_wide(cells, keys, "_key", qualifiers=qualifiers)
+        out = rows.join(wide, F.col(key_col).cast("string") == F.col("_key"), "left").drop("_key")
+        out.write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+        rows.unpersist()
+
+    foreach_batch(stream, run, checkpoint)
+    return stream.sparkSession.read.schema(schema).parquet(f"{path}/data")

@@ -241,3 +241,96 @@ def test_scan_ranges_and_rows(spark):
     assert nested == {"3b": [("x", "3bx"), ("y", "3by")], "5c": [("x", "5cx"), ("y", "5cy")]}
     mapped = rows(C.scan_map(cells, lambda df: df.groupBy("qualifier").count()))
     assert mapped == [("x", 4), ("y", 4)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_puts_resolve_with_one_scan_and_one_exchange(spark, tmp):
+    cells = log(spark, [(str(i), "c", "x", i, 0, "put", str(i), None) for i in range(20)])
+    C.write_cells(cells, f"{tmp}/cells")
+    stored = C.resolve(C.read_cells(spark, f"{tmp}/cells"))
+    plan = _plan(stored)
+    assert (plan.count("FileScan"), plan.count("Exchange hashpartitioning")) == (1, 1)
+    assert rows(stored, "row_key", "value") == rows(C.resolve(cells), "row_key", "value")
+    more = log(spark, [("3", None, None, 50, 0, "delete_row", None, None), ("4", "c", "n", 50, 0, "increment", None, 2)])
+    C.write_cells(more, f"{tmp}/cells")
+    assert rows(C.resolve(C.read_cells(spark, f"{tmp}/cells")), "row_key", "value") == rows(C.resolve(C.append(cells, more)), "row_key", "value")
+
+
+def test_bucketed_table_needs_no_exchange(spark):
+    C.drop_table(spark, "tbl_bucketed")
+    C.create_table(spark, "tbl_bucketed", buckets=4)
+    cells = log(spark, [(str(i), "c", q, 1, 0, "put", q, None) for i in range(40) for q in "xy"])
+    C.insert_cells(spark, "tbl_bucketed", cells)
+    puts = C.resolve(C.read_table(spark, "tbl_bucketed"))
+    assert "Exchange" not in _plan(puts)
+    C.insert_cells(spark, "tbl_bucketed", log(spark, [("7", None, None, 9, 0, "delete_row", None, None)]))
+    both = C.resolve(C.read_table(spark, "tbl_bucketed"))
+    assert "Exchange hashpartitioning" not in _plan(both)
+    assert both.count() == 78 and rows(both.filter("row_key = '7'")) == []
+    C.drop_table(spark, "tbl_bucketed")
+
+
+def test_versions_survive_compaction(spark, tmp):
+    entries = [("a", "c", "x", t, 0, "put", f"v{t}", None) for t in (10, 20, 30, 50)]
+    entries += [("a", "c", "n", t, 0, "increment", None, t) for t in (1, 2, 3)] + [("b", "c", "x", 10, 0, "put", "gone", None), ("b", None, None, 20, 0, "delete_row", None, None)]
+    C.write_cells(log(spark, entries), f"{tmp}/log")
+    whole = C.read_cells(spark, f"{tmp}/log")
+    for k in (1, 2, 3):
+        covered = C.compact_to(whole, f"{tmp}/base{k}", versions=k, settled_ts=2)
+        base = C.read_compacted(spark, f"{tmp}/base{k}", whole, covered)
+        for limit in (15, 25, 35, 60):
+            assert rows(C.scan(base, versions=k, max_ts=limit, qualifiers=["x"])) == rows(C.scan(whole, versions=k, max_ts=limit, qualifiers=["x"]))
+        assert rows(C.resolve(base), "row_key", "qualifier", "value") == rows(C.resolve(whole), "row_key", "qualifier", "value") == [("a", "n", "6"), ("a", "x", "v50")]
+    assert C.read_cells(spark, f"{tmp}/base2").filter("kind = 'put'").count() == 2
+    assert C.read_cells(spark, f"{tmp}/base2").filter("kind = 'increment'").count() == 2
+    assert rows(C.scan(C.read_cells(spark, f"{tmp}/base3"), versions=3, max_ts=35), "value") == [("6",), ("v30",)]
+
+
+def test_null_key_parts_fail(spark):
+    df = spark.createDataFrame([("a", "q", "v"), (None, "q", "v")], "k string, q string, v string")
+    empty = C.empty_cells(spark)
+    for cells in (C.put(empty, df, row_key="k", family="c", qualifier=F.col("q"), value="v"), C.increment(empty, df, row_key="k", family="c", qualifier="n"),
+                  C.delete(empty, df, row_key="k"), df_to_cells(df, family="c")):
+        with pytest.raises(Exception, match="not a mutation: null in"):
+            cells.collect()
+    blank = df.withColumn("q", F.when(F.col("v") == "w", "q"))
+    with pytest.raises(Exception, match="not a mutation: null in"):
+        C.resolve(C.put(empty, blank.filter("k = 'a'"), row_key="k", family="c", qualifier=F.col("q"), value="v")).collect()
+    with pytest.raises(ValueError, match="family is null"):
+        C.put(empty, df, row_key="k", qualifier=F.col("q"), value="v")
+
+
+def test_tombstones_cover_their_own_time(spark):
+    entries = [("a", "c", "x", 5, 3, "put", "v", None), ("a", None, None, 5, 0, "delete_row", None, None), ("b", "c", "x", 5, 3, "increment", None, 1),
+               ("b", "c", "x", 5, 0, "delete_cell", None, None), ("d", "c", "x", 6, 0, "put", "v", None), ("d", "c", None, 5, 9, "delete_family", None, None)]
+    assert rows(C.resolve(log(spark, entries)), "row_key") == rows(C.resolve(C.compact(log(spark, entries))), "row_key") == [("d",)]
+
+
+def test_gets_by_columns_and_absent_keys(spark, tmp):
+    cells = log(spark, [(k, f, q, 1, 0, "put", k + f + q, None) for k in ("1", "2") for f in "cd" for q in "xy"])
+    C.write_cells(cells, f"{tmp}/cells")
+    stored = C.read_cells(spark, f"{tmp}/cells")
+    req = spark.createDataFrame([(1, 1, [("c", "x")]), (2, 1, [("d", None)]), (3, 2, None), (4, 9, [("c", "x")])], "id int, k int, wants array<struct<family:string,qualifier:string>>")
+    got = C.bulk_get(stored, req, "k", columns="wants", keep_absent=True)
+    assert rows(got, "id", "value") == [(1, "1cx"), (2, "1dx"), (2, "1dy"), (3, "2cx"), (3, "2cy"), (3, "2dx"), (3, "2dy"), (4, None)]
+    assert C.bulk_get(stored, req, "k", columns="wants").count() == 7
+    assert "In(row_key" in _plan(C.bulk_get(stored, req, "k")) or "Or(EqualTo(row_key" in _plan(C.bulk_get(stored, req, "k"))
+
+
+def test_many_keys_push_their_range(spark, tmp, monkeypatch):
+    monkeypatch.setattr(C, "LITERAL_KEYS", 2)
+    cells = log(spark, [(f"{i:03d}", "c", "x", 1, 0, "put", str(i), None) for i in range(100)])
+    C.write_cells(cells, f"{tmp}/cells")
+    keys = spark.createDataFrame([(f"{i:03d}",) for i in range(40, 50)] + [(None,)], "k string")
+    got = C.bulk_get(C.read_cells(spark, f"{tmp}/cells"), keys, "k")
+    assert got.count() == 10 and "GreaterThanOrEqual(row_key,040)" in _plan(got)
+
+
+def test_a_hundred_thousand_qualifiers(spark):
+    wide = spark.range(100_000).select(F.lit("r").alias("k"), F.col("id").cast("string").alias("q"))
+    cells = C.put(C.empty_cells(spark), wide, row_key="k", family="c", qualifier=F.col("q"), value="q", ts=1)
+    row = C.scan_wide(cells).select("row_key", F.size("cells").alias("n"), F.col("cells")["c:99999"].alias("v")).first()
+    assert tuple(row) == ("r", 100_000, "99999")

@@ -164,6 +164,19 @@ def test_changed_rows(spark):
     assert rows(setops.changed_rows(new, prev)) == [(2, "c"), (4, "d")]
 
 
+def test_identical_records_spread_over_blocks(spark):
+    """By default a hot key of identical records is shared out evenly, and all its pairs come."""
+    df = spark.createDataFrame([("same",)] * 2_500, "k string")
+    pairs = match.or_match_pairs(df, {"k": F.col("k")})
+    assert pairs.count() == 2_500 ** 2
+    members = df.select(F.lit(0).alias("_rule"), F.lit(1).alias("_h"), F.struct("k").alias("rec"), F.lit(2_500).alias("_n"))
+    plan = match._grid_pairs(members, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_i" in plan and "_j" in plan
+    ids = members.withColumn("_id", F.monotonically_increasing_id()).groupBy(F.pmod("_id", F.lit(25)).alias("b")).count()
+    sizes = [r["count"] for r in ids.collect()]
+    assert len(sizes) == 25 and max(sizes) <= 2 * min(sizes)
+
+
 def test_sf_tables_readable(spark):
     assert spark.read.parquet(f"{SF_SMALL}/customer.parquet").count() > 0
 
@@ -202,12 +215,12 @@ def test_change_history_window_is_partitioned_by_key(spark):
     assert window_lines and all("windowspecdefinition(key" in l for l in window_lines)
 
 
-def test_or_match_salted_hot_keys_equals_brute_force(spark):
+def test_or_match_by_blocks_equals_brute_force(spark):
     # one email shared by most records: a hot key
     recs = [(i, f"n{i % 9}" if i % 4 else None, "same@x" if i % 5 else f"e{i}", f"p{i % 3}") for i in range(60)]
     df = spark.createDataFrame(recs, "id int, name string, email string, phone string")
     rules = {"name": F.col("name"), "email": F.col("email"), "phone": F.col("phone")}
-    pairs = match.or_match_pairs(df, rules, salt_hot_keys=5, salts=4)
+    pairs = match.or_match_pairs(df, rules, block_rows=5)
     got = [(r[0], r[1]) for r in pairs.select("l.id", "r.id").collect()]
     assert len(got) == len(set(got))
     assert set(got) == _brute_pairs(recs, [lambda r: r[1], lambda r: r[2], lambda r: r[3]])
