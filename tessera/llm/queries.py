@@ -10,6 +10,8 @@ from . import bpe, conversations, exact_dedup, fingerprints, html_extract, line_
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: What makes a passage of repeated lines and sentences: so many words in a row.
+PASSAGE_WORDS = 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,8 +53,9 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that occur earlier, and what was removed, by original offsets."""
-    found = substring_dedup.dedup_units(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=5)  # as its SQL says
+    """Every document without the passages that occur earlier, and what was removed, by original offsets."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.dedup_units(docs, substring_dedup.SENTENCES, run_words=PASSAGE_WORDS)
     runs = F.coalesce("spans", F.array().cast(found.schema["spans"].dataType))
     total = lambda f: F.aggregate(runs, F.lit(0).cast("long"), lambda a, s: a + f(s))
     return found.select(
@@ -168,27 +171,29 @@ SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, coalesce(l.component_id
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN labels_of l ON l.node = d.doc_id
 """
 
-ORACLES["op3_substring_dedup"] = r"""
+ORACLES["op3_substring_dedup"] = rf"""
 WITH pieces AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS u FROM documents WHERE text IS NOT NULL),
+  SELECT doc_id, text, string_split(regexp_replace(text, '({substring_dedup.SENTENCES})', '\1' || chr(57344), 'g'), chr(57344)) AS u FROM documents WHERE text IS NOT NULL),
 placed AS (
-  SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) - 1 AS place FROM pieces),
+  SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS k FROM pieces),
 offsets AS (
-  SELECT doc_id, place, unit, coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM placed),
+  SELECT doc_id, k, unit, coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM placed),
 normal AS (
-  SELECT *, lower(trim(regexp_replace(unit, '[\x1c-\x20\x09-\x0D\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))) AS n FROM offsets),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY n ORDER BY doc_id, place) AS r, len(string_split(n, ' ')) >= 5 AS counts FROM normal),
+  SELECT *, lower(trim(regexp_replace(unit, '[\x1c-\x20\x09-\x0D\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+', ' ', 'g'))) AS n FROM offsets),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS place, greatest(len(string_split(n, ' ')), length(n) // {substring_dedup.CHARS_PER_WORD}) AS size FROM normal WHERE n <> ''),
 flagged AS (
-  SELECT *, counts AND r > 1 AS gone FROM ranked),
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY doc_id, place) > 1 AS gone FROM numbered),
 islands AS (
   SELECT *, place - row_number() OVER (PARTITION BY doc_id, gone ORDER BY place) AS island FROM flagged),
 runs AS (
-  SELECT doc_id, island, min(place) AS place, count(*) AS n, min(start) AS start, max(start + length(unit)) AS stop FROM islands WHERE gone GROUP BY doc_id, island),
+  SELECT doc_id, min(place) AS place, count(*) AS n, min(start) AS start, max(start + length(unit)) AS stop
+  FROM islands WHERE gone GROUP BY doc_id, island HAVING sum(size) >= {PASSAGE_WORDS}),
 removed AS (
   SELECT doc_id, sum(n)::BIGINT AS n_removed, sum(stop - start)::BIGINT AS removed_chars, string_agg(start || '-' || stop, ',' ORDER BY place) AS removed_spans FROM runs GROUP BY doc_id),
 kept AS (
-  SELECT doc_id, string_agg(unit, chr(10) ORDER BY place) AS text FROM flagged WHERE NOT gone GROUP BY doc_id)
+  SELECT o.doc_id, string_agg(o.unit, '' ORDER BY o.k) AS text FROM offsets o
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = o.doc_id AND o.start >= r.start AND o.start + length(o.unit) <= r.stop AND length(o.unit) > 0) GROUP BY o.doc_id)
 SELECT d.doc_id, coalesce(x.n_removed, 0)::BIGINT AS n_removed, coalesce(x.removed_chars, 0)::BIGINT AS removed_chars, coalesce(x.removed_spans, '') AS removed_spans,
   CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM documents d LEFT JOIN removed x ON x.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
