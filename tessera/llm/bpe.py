@@ -19,7 +19,7 @@ texts may be cut there first. Caches hold two generations of ``CACHE`` entries
 at most; entries in use move on to the newer one.
 
 Null and empty texts have no ids and decode to no bytes. Null ids decode to no
-bytes as well. Vocabulary files are read by path on every worker and never
+bytes as well; an id that the vocabulary lacks fails the job. Vocabulary files are read by path on every worker and never
 copied. Documents are independent, so there is no shuffle and no group.
 """
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -206,6 +207,43 @@ class Vocabulary:
         return out
 
 
+class Teller:
+    """Encodes and decodes word by word, and keeps what it found: (number of ids, ids in decimal, the bytes they decode to)."""
+
+    def __init__(self, coder: Vocabulary):
+        self.coder = coder
+        self.words = Cache(), Cache()  # at the start of a text, after a space
+
+    def _told(self, cache: Cache, key: str, word: str) -> tuple[int, str, bytes]:
+        if (found := cache.miss(key)) is None:
+            ids = self.coder._word(word)
+            entry = self.coder.entry
+            found = len(ids), ",".join(map(str, ids)), b"".join([entry[i] for i in ids])
+            if len(key) <= CACHED_CHARS:
+                cache.keep(key, found)
+        return found
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, and the digests of the ids in decimal and of the bytes they decode to."""
+        first, later = self.words
+        words = text.split(" ") if not _ODD.search(text) else _EVEN.split(text)
+        parts = [self._told(first, words[0], words[0])] if words[0] else []
+        for word in words[1:]:
+            parts.append(later.new.get(word) or self._told(later, word, " " + word))
+        ids, raw = hashlib.sha256(), hashlib.sha256()
+        for a in range(0, len(parts), 1 << 16):
+            some = parts[a : a + (1 << 16)]
+            ids.update(((b"," if a else b"") + ",".join([p[1] for p in some]).encode()))
+            raw.update(b"".join([p[2] for p in some]))
+        return sum([p[0] for p in parts]), ids.hexdigest(), raw.hexdigest()
+
+
+@functools.lru_cache(maxsize=2)
+def teller(path: str, pattern: str) -> Teller:
+    """One for each worker process and file."""
+    return Teller(vocabulary(path, pattern))
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> Vocabulary:
     """One for each worker process and file."""
@@ -238,6 +276,26 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     return rows.mapInArrow(run, f"{_named('row', rows)}, ids array<int>")
 
 
+def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """(row, n_tokens, ids_sha256, decoded_sha256) for each row of ``docs``, encoded and decoded in one pass.
+
+    The same as digests of what :func:`encode` and :func:`decode` give, without
+    handing the ids from one Python worker to the next.
+    """
+    ship(docs)
+    rest = [c for c in docs.columns if c != text]
+    rows = docs.select(F.struct(*[docs[c] for c in rest]).alias("row"), F.col(text).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tell = teller(path, pattern).digests
+        for batch in batches:
+            found = [tell(t.as_py() or "") for t in batch.column(1)]
+            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return rows.mapInArrow(run, f"{_named('row', rows)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(row, ids, decoded) from (row, ids): the bytes the ids stand for."""
     ship(encoded)

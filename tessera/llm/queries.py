@@ -39,9 +39,7 @@ def byte_bpe_file() -> tuple[str, str]:
 
 def bpe_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(row, n_tokens, ids_sha256, decoded_sha256) by encoding and decoding the texts."""
-    both = bpe.decode(bpe.encode(docs, path, pattern), path)
-    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return both.select("row", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.digests(docs, path, pattern)
 
 
 @_query

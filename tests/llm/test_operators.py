@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,7 +107,7 @@ def test_substring_dedup_keeps_offsets(spark):
     rows = [(2, f"head\n{line}\ntail"), (1, f"{line.upper()}  \nx"), (3, f"{line}\n{line}"), (4, None), (5, "")]
     got = {r.row.doc_id: r for r in substring_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: r.clean_text for i, r in got.items()} == {1: rows[1][1], 2: "head\ntail", 3: "", 4: None, 5: ""}
-    assert [(s.start, s.stop) for s in got[2].spans] == [(5, 5 + len(line))]
+    assert [(s.start, s.stop) for s in got[2].spans] == [(5, 6 + len(line))]
     assert [(s.start, s.stop) for s in got[3].spans] == [(0, 2 * len(line) + 1)]
     paragraphs = spark.createDataFrame([(1, f"{line}\n\nx"), (2, f"y\n\n{line}\n\nz")], "doc_id long, text string")
     assert {r.row.doc_id: r.clean_text for r in substring_dedup.dedup_units(paragraphs, "\n\n").collect()} == {1: f"{line}\n\nx", 2: "y\n\nz"}
@@ -116,7 +117,69 @@ def test_substring_dedup_removes_short_and_spaceless_lines(spark):
     chinese, url = "重复的一行没有空格" * 20, "https://example.org/" + "a" * 300
     rows = [(1, f"{chinese}\n{url}\nDie tz."), (2, f"own\n{chinese}\n\n{url}\nlast"), (3, "die  TZ."), (4, "\n \n")]
     got = {r.row.doc_id: r.clean_text for r in substring_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: rows[0][1], 2: "own\n\nlast", 3: "", 4: "\n \n"}
+    assert got == {1: rows[0][1], 2: "own\nlast", 3: "", 4: "\n \n"}
+
+
+def plain_passages(rows, unit_end, least):
+    """Text by text, in order of ids: units seen before, in runs of so many words, go."""
+    seen, out = set(), {}
+    for i, text in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
+        kept, run, words, at = [], [], 0, 0
+        ends = [m.end() for m in re.finditer(unit_end, text)] + [len(text)]
+        for stop in [*ends, None]:
+            unit = text[at:stop] if stop is not None else None
+            normal = " ".join(unit.split()).lower() if unit is not None else "end"
+            if unit is not None and not normal:
+                run.append(unit)
+            elif unit is not None and normal in seen:
+                run.append(unit)
+                words += max(len(normal.split()), len(normal) // 8)
+            else:
+                # white space at both ends of a run stays
+                body = "".join(run) if words < least else plain_ends(run)
+                kept.append(body)
+                run, words = [], 0
+                if unit is not None:
+                    kept.append(unit)
+                    seen.add(normal)
+            at = stop if stop is not None else at
+        out[i] = "".join(kept)
+    return out
+
+
+def plain_ends(run):
+    """The blank units before the first and after the last other unit of a run."""
+    full = [k for k, u in enumerate(run) if u.split()]
+    return "".join(run[: full[0]] + run[full[-1] + 1 :])
+
+
+@pytest.mark.parametrize("least", [1, 6, 20])
+def test_passages_equal_brute_force(spark, least):
+    rng = random.Random(least)
+    sentences = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 3))) + " w" * rng.randint(0, 9) + rng.choice(".!?") for _ in range(25)] + ["重复的一行没有空格" * 9]
+    rows = []
+    for i in range(80):
+        parts = [rng.choice(sentences) if rng.random() < 0.8 else f"own {i} {rng.random()}." for _ in range(rng.randint(0, 14))]
+        rows.append((i, "".join(p + rng.choice([" ", "\n", "  ", "\n\n", "\t\n"]) for p in parts)))
+    rows.append((99, None))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row.doc_id: r for r in substring_dedup.dedup_units(df, substring_dedup.SENTENCES, run_words=least).collect()}
+    assert got[99].clean_text is None
+    assert {i: r.clean_text for i, r in got.items() if i != 99} == plain_passages(rows, substring_dedup.SENTENCES, least)
+    for i, r in got.items():
+        for s in r.spans or []:
+            assert r.row.text[s.start:s.stop].strip() and s.size >= least
+
+
+def test_fused_digests_equal_encode_and_decode(spark):
+    path, pattern = queries.byte_bpe_file()
+    docs = awkward(spark).union(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", "text", "source", *[F.lit(None).alias(c) for c in ("size", "row", "key", "rank", "spans", "kept", "shard")]))
+    both = bpe.decode(bpe.encode(docs, path, pattern), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    plain = both.select("row.doc_id", F.size("ids").cast("long"), F.sha2(listed.cast("binary"), 256), F.sha2("decoded", 256))
+    fused = bpe.digests(docs, path, pattern).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert sorted(map(tuple, fused.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
 def test_dedups_on_awkward_rows(spark):
