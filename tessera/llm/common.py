@@ -20,7 +20,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*steps: DataFrame) -> None:
+    """Delete the files of ``materialise``d steps that nothing reads any more."""
+    for df in steps:
+        path = df.__dict__.get("_written_to")
+        if path is None:
+            continue
+        sc = df.sparkSession.sparkContext
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ship(df: DataFrame) -> None:

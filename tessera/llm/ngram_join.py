@@ -26,13 +26,16 @@ How the job runs:
    one isn't similar to p must share an element of their differences from p,
    and one among the first D + 1 in any order that a group agrees on (prefix
    filter). Elements that more than an eighth of a group's differences hold
-   (edits of the pivot itself) come last, those outside p first. So no all-pairs list is
+   (edits of the pivot itself) come last, those outside p first. Of two sets
+   that share an element, the places it has in both orders bound how many they
+   can share, and the sizes of their differences how many they must (positional
+   filter), so most pairs end there. So no all-pairs list is
    built within a group of near copies, and no link that could change a
    component is skipped.
 
 Texts with equal sets form one class and take part once. Hashes of 64 bits
-stand for shingles and sets (a false match of two given sets has a chance near
-2^-64). Nulls and texts without words have the empty set, link with nothing and
+stand for shingles and sets (each byte at each place of a word has a mixed number of its own, so words
+that differ meet by chance alone, near 2^-64 for two given ones). Nulls and texts without words have the empty set, link with nothing and
 keep their own component. Rows without ids take part by their texts; a component
 of them alone has a null id. Rows with equal ``doc_id`` are one document for the
 purpose of ``component_id`` (each row is returned). An empty table gives an
@@ -48,7 +51,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, ship, small, text_or_empty
+from .common import discard, materialise, ship, small, text_or_empty
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -56,7 +59,6 @@ _BYTE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, d
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash as a-z
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = _U(0xD1342543DE82EF95)
 #: Bytes of text that are hashed together; bounds the memory of a task.
 CHUNK_BYTES = 1 << 20
 #: Ratio between the sizes of neighbouring bands.
@@ -65,6 +67,8 @@ BAND_RATIO = 1.5
 BITMAP_LOG2 = 26
 #: Most rows of an id list that is broadcast; beyond it, joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Members that are compared with a hub in one task.
+HUB_PART = 2_000
 #: Classes of a part of a component whose links are counted, and most parts of one.
 COUNT_PART, MOST_PARTS = 2_000, 64
 
@@ -94,8 +98,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
         return [np.empty(0, np.uint64) for _ in texts]
     place = np.arange(len(data)) - start[np.maximum(np.cumsum(begins) - 1, 0)]
     place[white] = 0
-    power = np.cumprod(np.full(int((stop - start).max()) + 1, _BASE))
-    value = _BYTE[data] * power[place]
+    value = _mix(_BYTE[data] + place.astype(np.uint64) * _GOLD)  # each byte at each place has a number of its own
     value[white] = 0
     word = _mix(np.add.reduceat(value, start) + (stop - start).astype(np.uint64) * _GOLD)
     first = np.searchsorted(start, np.concatenate([[0], ends]))  # of each text among all words
@@ -251,40 +254,88 @@ def _repeated_bitmap(df: DataFrame, words: int, bands: Bands) -> bytes:
     return bits.tobytes()
 
 
-def _sets(df: DataFrame, words: int) -> DataFrame:
-    """(set_key, grams): the whole sets of the given documents, one row for each class."""
+def _sets_of(words: int):
+    """Turns (set_key, text) into (set_key, grams), the whole sets."""
 
     def run(batches):
-        for ids, texts in _chunks(batches):
-            sets = shingle_sets(texts, words)
-            keep = [h for h in sets if len(h)]
-            sums = [int(_mix(np.add.reduce(_mix(h), dtype=np.uint64, keepdims=True)).view(np.int64)[0]) for h in keep]
-            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64()), _lists([h.view(np.int64) for h in keep])], ["set_key", "grams"])
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                some = batch.slice(a, 256)
+                sets = shingle_sets([t.as_buffer().to_pybytes() for t in some.column(1)], words)
+                yield pa.RecordBatch.from_arrays([some.column(0), _lists([h.view(np.int64) for h in sets])], ["set_key", "grams"])
 
-    return df.mapInArrow(run, "set_key long, grams array<long>")
+    return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with both sets. A short list of pairs is broadcast, so that only b's sets move to a's."""
-    pairs = small(pairs, BROADCAST_ROWS)
-    held = sets.select(F.col("set_key").alias("b"), F.col("grams").alias("grams_b")).join(pairs, "b")
-    first = pairs.select("a").distinct()
-    own = sets.join(first.withColumnRenamed("a", "set_key"), "set_key", "left_semi").select(F.col("set_key").alias("a"), F.col("grams").alias("grams_a"))
-    return held.join(own, "a")
+def _texts(df: DataFrame, words: int) -> DataFrame:
+    """(set_key, text) of the given documents; texts are smaller than their sets, and shrink further when written."""
 
+    def run(batches):
+        for _, texts in _chunks(batches):
+            sets = shingle_sets(texts, words)
+            keep = [i for i, h in enumerate(sets) if len(h)]
+            sums = [int(_mix(np.add.reduce(_mix(sets[i]), dtype=np.uint64, keepdims=True)).view(np.int64)[0]) for i in keep]
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64()), pa.array([texts[i] for i in keep], pa.binary())], ["set_key", "text"])
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int, differences: bool = False) -> DataFrame:
+    return df.mapInArrow(run, "set_key long, text binary")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int, differences: bool = False) -> DataFrame:
     """(a, b, shared, total, linked) for pairs (a, b): sizes of intersection and union, exactly.
 
-    With ``differences`` also b's elements outside a (``own``) and those of a that it lacks (``lacks``).
+    With ``differences`` also b's elements outside a (``own``) and those of a
+    that it lacks (``lacks``). Each member's text goes to its hub ``a``, and the hub's
+    once to each part of its members, so a hub that many share takes many tasks.
     """
-    both = _with_sets(pairs, sets)
-    shared = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
-    kept = ["a", "b", shared.alias("shared"), (F.size("grams_a") + F.size("grams_b")).cast("long").alias("sizes")]
-    if differences:
-        kept += [F.array_except("grams_b", "grams_a").alias("own"), F.array_except("grams_a", "grams_b").alias("lacks")]
-    counted = both.select(*kept).withColumn("total", F.col("sizes") - F.col("shared")).drop("sizes")
-    return counted.withColumn("linked", F.col("shared") * 100 >= F.col("total") * percent)
+    parts = materialise(pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PART).cast("int").alias("parts")), "hub-parts")
+    dealt = pairs.join(small(parts, BROADCAST_ROWS), "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
+    dealt = materialise(dealt, "dealt")
+    members = texts.join(small(dealt.withColumnRenamed("b", "set_key"), BROADCAST_ROWS), "set_key")
+    hubs = small(parts.select(F.col("a").alias("set_key"), "parts"), BROADCAST_ROWS)
+    first = texts.join(hubs, "set_key").select("set_key", "text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    both = members.select("a", "part", F.lit(1).alias("later"), F.col("set_key").alias("b"), "text").union(
+        first.select(F.col("set_key").alias("a"), "part", F.lit(0), "set_key", "text"))
+    ordered = both.repartition("a", "part").sortWithinPartitions("a", "part", "later").select("b", "text", "a", "part", "later")
+
+    def run(batches):
+        key, hub = None, None
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                some = batch.slice(a, 256)
+                raw = [t.as_buffer().to_pybytes() for t in some.column(1)]
+                out: list[list] = [[] for _ in range(7)]
+                for b, h, a_key, part, later in zip(some.column(0).to_pylist(), shingle_sets(raw, words), *[some.column(k).to_pylist() for k in (2, 3, 4)], strict=True):
+                    if not later:
+                        key, hub = (a_key, part), h
+                        continue
+                    if key != (a_key, part):
+                        raise RuntimeError("a hub's text is missing")
+                    place = np.searchsorted(hub, h)
+                    held = hub[np.minimum(place, len(hub) - 1)] == h
+                    shared = int(held.sum())
+                    total = len(hub) + len(h) - shared
+                    row = [a_key, b, shared, total, shared * 100 >= total * percent]
+                    if differences:
+                        left = np.ones(len(hub), bool)
+                        left[place[held]] = False
+                        row += [h[~held].view(np.int64), hub[left].view(np.int64)]
+                    for column, value in zip(out, row, strict=False):
+                        column.append(value)
+                columns = [pa.array(c, t) for c, t in zip(out, (pa.int64(),) * 4 + (pa.bool_(),), strict=False)]
+                names = ["a", "b", "shared", "total", "linked"]
+                if differences:
+                    columns, names = [*columns, _lists(out[5]), _lists(out[6])], [*names, "own", "lacks"]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    more = ", own array<long>, lacks array<long>" if differences else ""
+    return ordered.mapInArrow(run, f"a long, b long, shared long, total long, linked boolean{more}")
+
+
+def _near_in_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) those whose sizes allow a link."""
+    of = lambda end: small(sizes.select(F.col("set_key").alias(end), F.col("size").alias(f"size_{end}")), BROADCAST_ROWS)
+    sized = pairs.join(of("a"), "a").join(of("b"), "b")
+    return sized.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -295,15 +346,17 @@ def components(links: DataFrame) -> DataFrame:
     folder. Rounds grow with the logarithm of a component's width.
     """
     edges = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
+    labels = before = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
     while True:
         near = edges.join(labels, edges.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         stepped = materialise(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next")), "step")
         jump = stepped.select(F.col("node").alias("next"), F.col("next").alias("far"))
         after = materialise(stepped.join(jump, "next", "left").select("node", "label", F.least("next", F.coalesce("far", "next")).alias("next")), "jump")
         changed = after.where("next <> label").limit(1).count()
-        labels = after.select("node", F.col("next").alias("label"))
+        discard(before, stepped)
+        labels, before = after.select("node", F.col("next").alias("label")), after
         if not changed:
+            discard(edges)
             return labels
 
 
@@ -353,25 +406,27 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     members = marked.where("set_key is not null")
     sizes = materialise(members.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("size")), "classes")
 
-    posted = members.select(F.explode("keys").alias("seg_key"), "set_key").distinct()
-    posted = materialise(posted, "posted")
+    posted = materialise(members.select(F.explode("keys").alias("seg_key"), "set_key").distinct(), "posted")
     shared = posted.groupBy("seg_key").agg(F.count("*").alias("held")).where("held > 1")
-    posted = materialise(posted.join(shared, "seg_key"), "shared")
-    score = posted.groupBy("set_key").agg(F.sum("held").alias("score"))
-    ranked = materialise(posted.join(score, "set_key").select("seg_key", "set_key", "score"), "ranked")
-    hubs = ranked.groupBy("seg_key").agg(F.max(F.struct("score", F.col("set_key").alias("hub"))).alias("top")).select("seg_key", F.col("top.hub").alias("hub"))
-    buckets = materialise(ranked.drop("score").join(hubs, "seg_key"), "buckets")
-
-    stars = materialise(buckets.where("hub <> set_key").select(F.col("hub").alias("a"), F.col("set_key").alias("b")).distinct(), "stars")
-    nodes = materialise(buckets.select("set_key").distinct().join(sizes, "set_key").select("set_key", F.col("class_id").alias("doc_id")), "wanted")
+    counted = materialise(posted.join(shared, "seg_key"), "shared")
+    discard(posted)
+    score = counted.groupBy("set_key").agg(F.sum("held").alias("score"))
+    hubs = counted.join(score, "set_key").groupBy("seg_key").agg(F.max(F.struct("score", F.col("set_key").alias("hub"))).alias("top")).select("seg_key", F.col("top.hub").alias("hub"))
+    found = counted.join(hubs, "seg_key").where("hub <> set_key").select(F.col("hub").alias("a"), F.col("set_key").alias("b")).distinct()
+    stars = materialise(_near_in_size(found, sizes, percent), "stars")
+    discard(counted)
+
+    nodes = materialise(stars.select(F.explode(F.array("a", "b")).alias("set_key")).distinct().join(sizes, "set_key").select("set_key", F.col("class_id").alias("doc_id")), "wanted")
     wanted = nodes.where("doc_id is not null").select("doc_id")
-    sets = _sets(base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi"), words)
+    named = base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi").select("doc_id", "text")
     nameless = nodes.where("doc_id is null").select("set_key")
+    texts = _texts(named, words)
     if nameless.limit(1).count():  # classes of rows without ids
-        sets = sets.union(_sets(base.where("doc_id is null"), words).join(nameless, "set_key", "left_semi").dropDuplicates(["set_key"]))
-    sets = materialise(sets, "sets")
+        texts = texts.union(_texts(base.where("doc_id is null"), words).join(nameless, "set_key", "left_semi").dropDuplicates(["set_key"]))
+    texts = materialise(texts, "texts")
 
-    checked = materialise(_verify(stars, sets, percent).distinct(), "checked")
+    checked = materialise(_verify(stars, texts, words, percent).distinct(), "checked")
+    discard(stars)
     links = checked.where("linked").select("a", "b")
     labels = components(links)
 
@@ -379,8 +434,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     outside = _labelled(_labelled(checked, labels, "a"), labels, "b").where("label_a <> label_b")
     pivots = materialise(outside.groupBy("a").agg(F.min(F.struct((F.col("total") - F.col("shared")).alias("far"), "b")).alias("top")).select("a", F.col("top.b").alias("pivot")), "pivots")
     grouped = checked.select("a", "b").union(pivots.select("a", F.col("a").alias("b"))).join(pivots, "a")
-    around = materialise(grouped.where("pivot <> b").select(F.col("pivot").alias("a"), "b").distinct(), "around")
-    turned = materialise(_verify(around, sets, percent, differences=True).dropDuplicates(["a", "b"]), "turned")
+    around = grouped.where("pivot <> b").select(F.col("pivot").alias("a"), "b").distinct()
+    around = materialise(around, "around")
+    turned = materialise(_verify(around, texts, words, percent, differences=True).dropDuplicates(["a", "b"]), "turned")
+    discard(around, pivots)
     links = links.union(turned.where("linked").select("a", "b"))
     labels = components(links)
 
@@ -393,16 +450,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     ranked = members.join(common, "a", "left").withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
     parts = [f(F.sort_array(side), F.col("common")) for f in (F.array_except, F.array_intersect) for side in ("own", "lacks")]
     most = F.floor(F.col("size") * (100 - percent) / percent).cast("int") + 1
-    early = materialise(ranked.select("a", "b", "label_b", "apart", "size", F.explode(F.slice(F.concat(parts[0], parts[1], F.sort_array(F.concat(parts[2], parts[3]))), F.lit(1), most)).alias("element")), "early")
+    ordered = F.concat(parts[0], parts[1], F.sort_array(F.concat(parts[2], parts[3])))
+    early = ranked.select("a", "b", "label_b", "apart", "size", (F.size("own") + F.size("lacks")).alias("far"), F.posexplode(F.slice(ordered, F.lit(1), most)).alias("at", "element"))
+    early = materialise(early, "early")
+    discard(members, common)
     one, other = early.where("apart").alias("x"), early.alias("y")
-    met = (one.join(other, (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")))
-           .where((F.col("x.label_b") != F.col("y.label_b")) & (~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))))
-           .where(F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent)
+    # two sets that link have at most ``most_apart`` elements that are not in both, so their differences from the pivot
+    # share at least half of what exceeds that; at the first element shared, so many must be left in both
+    most_apart = F.floor((F.col("x.size") + F.col("y.size")) * (100 - percent) / (100 + percent))
+    enough = 2 * F.least(F.col("x.far") - F.col("x.at"), F.col("y.far") - F.col("y.at")) >= F.col("x.far") + F.col("y.far") - most_apart
+    met = (one.join(other, (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.label_b") != F.col("y.label_b"))
+                    & (~F.col("y.apart") | (F.col("x.b") < F.col("y.b")))
+                    & (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent) & enough)
            .select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct())
-    more = materialise(_verify(materialise(met, "met"), sets, percent).where("linked").select("a", "b").distinct(), "more")
+    met = materialise(met, "met")
+    more = materialise(_verify(met, texts, words, percent).where("linked").select("a", "b").distinct(), "more")
     if more.limit(1).count():
         links = links.union(more)
         labels = components(links)
+    discard(early, met)
 
     classes = materialise(sizes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")), "classed")
     least = materialise(classes.groupBy("label").agg(F.min("class_id").alias("component_id")), "least")
@@ -410,6 +476,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     found = marked.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     columns = ["doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id")]
     if count_links:
+        sets = materialise(texts.mapInArrow(_sets_of(words), "set_key long, grams array<long>"), "sets")
         found = found.join(_link_counts(sets, labels, percent), "set_key", "left")
         columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     return found.select(*columns)

@@ -103,3 +103,16 @@ def test_chunks_of_few_words(words):
     for text in ("one", "one two", "one two three", "one two three four"):
         alone, beside = J.shingle_sets([text.encode()], words), J.shingle_sets([text.encode(), b"x " * 9], words)
         assert list(alone[0]) == list(beside[0]) and len(alone[0]) == max(1, len(text.split()) - words + 1)
+
+
+def test_words_that_polynomials_confuse_stay_apart(spark):
+    """The Thue-Morse word and its complement have equal polynomial hashes modulo 2 ** 64 for every odd base."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{word} x y z"), (2, f"{other} x y z")]
+    one, two = ngram_join.shingle_sets([t.encode() for _, t in rows], 3)
+    assert len(one) == len(two) == 2 and len(set(one.tolist()) & set(two.tolist())) == 1
+    got = ngram_join.jaccard_components(spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string"), words=3, percent=90)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(1, 1), (2, 2)]
