@@ -110,9 +110,10 @@ def dedup_units(docs: DataFrame, unit_end: str = LINES, run_words: int = 1) -> D
     docs = docs.withColumn("text", F.col("text").cast("string"))
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     held = _unit_rows(base, unit_end)
-    held = held.withColumn("rank", F.col("doc_id").cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("first").cast("decimal(10,0)"))
-    kept = held.groupBy("digest").agg(F.min("rank").alias("kept"), F.max("rank").alias("latest")).where("latest > kept").drop("latest")
-    later = held.join(kept, "digest").where("rank > kept").select("doc_id", "text_key", "first", F.col("first").alias("last"), "start", "stop", "size").distinct()
+    # by whole numbers (doc_id, place); the join moves their parts alone
+    rank = F.col("doc_id").cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("first").cast("decimal(10,0)")
+    kept = held.groupBy("digest").agg(F.min(rank).alias("kept"), F.count("*").alias("times")).where("times > 1").select("digest", "kept")
+    later = held.join(kept, "digest").where(rank > F.col("kept")).select("doc_id", "text_key", "first", F.col("first").alias("last"), "start", "stop", "size").distinct()
     runs = merged_spans(later, ["doc_id", "text_key"], {"start": "min", "stop": "max", "size": "sum"})
     long = F.filter("spans", lambda s: s["size"] >= run_words)
     spans = runs.select(F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"), long.alias("spans")).where(F.size("spans") > 0)
