@@ -11,14 +11,21 @@ segment the next one is indexed up to one deletion instead.
 
 How the job runs:
 
-1. Each document yields the keys of its segments (numpy in Arrow batches).
+1. Each document yields the keys of its segments (numpy in Arrow batches), and
+   the number of them that any similar set must share: all segments of the
+   common bands but D, less the document's empty ones.
    Counts by key, combined before the shuffle, give the keys that occur twice;
    they are marked in a bitmap of fixed size, which is broadcast.
 2. A second pass over the texts keeps only marked keys, so what is joined on
-   keys are the postings of near copies. The bitmap lets false positives
+   keys are the postings of near copies. A document with fewer marked keys
+   than it needs can't link; of the others' keys, rarest first, the last
+   ``needed - 1`` are left out (prefix filter: two sets that share so many keys
+   share an earlier one). The bitmap lets false positives
    through (more of them if it fills up, which costs time, not results).
-3. In each bucket of a key all members are compared exactly with one hub, the
-   member that shares most postings; links give connected components. Where
+3. In each bucket of a key one member, that shares most postings, is the hub.
+   Each set is compared exactly with the hub it shares most keys with, then
+   with those hubs that are still in other components; links give connected
+   components. Where
    members stay outside their hub's component, the nearest of them becomes the
    group's pivot and is compared with all members, too.
 4. What is still apart from its pivot p is compared with other members by
@@ -49,7 +56,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import discard, materialise, ship, small, text_or_empty
 
@@ -130,6 +137,7 @@ class Bands:
             step = next(x for x in range(self.low[-1] + 1, 2**41) if self.most_apart(x, x) > 0) if d == 0 else math.ceil(self.low[-1] * BAND_RATIO)
             self.low.append(step)
         self.plan = [self._allocate(k, max(documents, 1)) for k in range(len(self.low) - 1)]
+        self._cases: dict[int, list] = {}
 
     def most_apart(self, a: int, b: int) -> int:
         """Most elements that only one of two similar sets of these sizes has."""
@@ -156,12 +164,31 @@ class Bands:
         nxt = [k + 1] if 100 * size >= self.percent * self.low[k + 1] else []
         return [b for b in (k, *nxt) if sum(self.plan[b])]
 
+    def least_shared(self, size: int, empty: dict[int, int]) -> int:
+        """Fewest keys that a set of this size shares with any similar one, of its number of empty segments by band.
 
-def segment_keys(h: np.ndarray, bands: Bands) -> np.ndarray:
-    """The keys a set is indexed under, as int64."""
+        Of a band's segments, as many as D(R, S) differ at most, and of those that
+        agree only the empty ones have no key of their own. D grows with
+        the partner's size, so the largest size of each choice of common bands decides.
+        """
+        cases = self._cases.get(size)
+        if cases is None:
+            own, bands = int(np.searchsorted(self.low, size, "right")) - 1, set(self.of(size))
+            most, near = size * 100 // self.percent, range(max(own - 2, 0), min(own + 4, len(self.low)))
+            starts = {self.low[k] for k in near} | {-(-self.percent * self.low[k] // 100) for k in near}
+            ends = {most, *(s - 1 for s in starts if size * self.percent <= 100 * (s - 1) and s - 1 < most)}
+            cases = [[(k, self.plan[k][1] - self.most_apart(size, s)) for k in bands & set(self.of(s)) if not self.plan[k][0]] for s in ends]
+            if len(self._cases) >= 100_000:
+                self._cases.clear()
+            self._cases[size] = cases
+        return max(1, min(sum(max(0, n - empty[k]) for k, n in case) for case in cases))
+
+
+def segment_keys(h: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
+    """The keys a set is indexed under, as int64, and how many of them any similar set has, too."""
     if not len(h):
-        return np.empty(0, np.int64)
-    out, v = [], _mix(h + _GOLD)
+        return np.empty(0, np.int64), 1
+    out, v, empty = [], _mix(h + _GOLD), {}
     for k in bands.of(len(h)):
         loose, exact = bands.plan[k]
         m = loose + exact
@@ -170,6 +197,7 @@ def segment_keys(h: np.ndarray, bands: Bands) -> np.ndarray:
         np.add.at(total, seg, v)
         tag = _mix((np.arange(m, dtype=np.uint64) + _U(k << 40)) * _GOLD)
         held = np.bincount(seg, minlength=m) > 0
+        empty[k] = m - int(held.sum())
         out.append(_mix(total + tag)[held])
         if loose:
             out.append(_mix(total[seg] - v + tag[seg]))
@@ -177,7 +205,8 @@ def segment_keys(h: np.ndarray, bands: Bands) -> np.ndarray:
             after = (i + 1) % m
             own = tag[i : i + 1] ^ _GOLD
             out += [_mix(total[after : after + 1] + own), _mix(total[after] - v[seg == after] + own)]
-    return np.unique(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
+    keys = np.unique(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
+    return keys, bands.least_shared(len(h), empty)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
@@ -207,28 +236,30 @@ def _all_keys(df: DataFrame, words: int, bands: Bands) -> DataFrame:
 
     def run(batches):
         for _, texts in _chunks(batches):
-            keys = [segment_keys(h, bands) for h in shingle_sets(texts, words)]
+            keys = [segment_keys(h, bands)[0] for h in shingle_sets(texts, words)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys), pa.int64())], ["seg_key"])
 
     return df.mapInArrow(run, "seg_key long")
 
 
 def _marked_keys(df: DataFrame, words: int, bands: Bands, bitmap) -> DataFrame:
-    """(doc_id, n_shingles, set_key, keys): of the keys only those marked in the bitmap."""
+    """(doc_id, n_shingles, set_key, needed, keys): of the keys those marked in the bitmap, or none if these are fewer than any link needs."""
 
     def run(batches):
         bits, shift = np.frombuffer(bitmap.value, np.uint8), _U(64 - BITMAP_LOG2)
         for ids, texts in _chunks(batches):
-            sizes, sums, keys = [], [], []
+            sizes, sums, least, keys = [], [], [], []
             for h in shingle_sets(texts, words):
-                k = segment_keys(h, bands)
+                k, needed = segment_keys(h, bands)
                 at = (_mix(k.view(np.uint64)) >> shift).astype(np.int64)
-                keys.append(k[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
+                k = k[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+                keys.append(k if len(k) >= needed else k[:0])
+                least.append(needed)
                 sizes.append(len(h))
                 sums.append(int(_mix(np.add.reduce(_mix(h), dtype=np.uint64, keepdims=True)).view(np.int64)[0]) if len(h) else None)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), _lists(keys)], ["doc_id", "n_shingles", "set_key", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(least, pa.int32()), _lists(keys)], ["doc_id", "n_shingles", "set_key", "needed", "keys"])
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, set_key long, keys array<long>")
+    return df.mapInArrow(run, "doc_id long, n_shingles long, set_key long, needed int, keys array<long>")
 
 
 def _bit_rows(keys: DataFrame) -> DataFrame:
@@ -332,10 +363,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int, differ
 
 
 def _near_in_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) those whose sizes allow a link."""
+    """Of pairs (a, b, via) those whose sizes allow a link."""
     of = lambda end: small(sizes.select(F.col("set_key").alias(end), F.col("size").alias(f"size_{end}")), BROADCAST_ROWS)
     sized = pairs.join(of("a"), "a").join(of("b"), "b")
-    return sized.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent).select("a", "b")
+    return sized.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent).select("a", "b", "via")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -406,17 +437,21 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     members = marked.where("set_key is not null")
     sizes = materialise(members.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("size")), "classes")
 
-    posted = materialise(members.select(F.explode("keys").alias("seg_key"), "set_key").distinct(), "posted")
+    posted = materialise(members.select(F.explode("keys").alias("seg_key"), "set_key", "needed").distinct(), "posted")
     shared = posted.groupBy("seg_key").agg(F.count("*").alias("held")).where("held > 1")
-    counted = materialise(posted.join(shared, "seg_key"), "shared")
+    # similar sets share ``needed`` keys, so they share one that isn't among the last ``needed - 1`` of either, rarest keys first
+    of_set = W.partitionBy("set_key")
+    placed = posted.join(shared, "seg_key").withColumn("place", F.row_number().over(of_set.orderBy("held", "seg_key"))).withColumn("n", F.count("*").over(of_set))
+    counted = materialise(placed.where("place <= n - needed + 1").select("seg_key", "set_key", "held"), "shared")
     discard(posted)
     score = counted.groupBy("set_key").agg(F.sum("held").alias("score"))
     hubs = counted.join(score, "set_key").groupBy("seg_key").agg(F.max(F.struct("score", F.col("set_key").alias("hub"))).alias("top")).select("seg_key", F.col("top.hub").alias("hub"))
-    found = counted.join(hubs, "seg_key").where("hub <> set_key").select(F.col("hub").alias("a"), F.col("set_key").alias("b")).distinct()
+    found = counted.join(hubs, "seg_key").where("hub <> set_key").groupBy(F.col("hub").alias("a"), F.col("set_key").alias("b")).agg(F.count("*").alias("via"))
+    found = materialise(found, "found")
     stars = materialise(_near_in_size(found, sizes, percent), "stars")
     discard(counted)
 
-    nodes = materialise(stars.select(F.explode(F.array("a", "b")).alias("set_key")).distinct().join(sizes, "set_key").select("set_key", F.col("class_id").alias("doc_id")), "wanted")
+    nodes = materialise(found.select(F.explode(F.array("a", "b")).alias("set_key")).distinct().join(sizes, "set_key").select("set_key", F.col("class_id").alias("doc_id")), "wanted")
     wanted = nodes.where("doc_id is not null").select("doc_id")
     named = base.join(small(wanted, BROADCAST_ROWS), "doc_id", "left_semi").select("doc_id", "text")
     nameless = nodes.where("doc_id is null").select("set_key")
@@ -425,19 +460,28 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
         texts = texts.union(_texts(base.where("doc_id is null"), words).join(nameless, "set_key", "left_semi").dropDuplicates(["set_key"]))
     texts = materialise(texts, "texts")
 
-    checked = materialise(_verify(stars, texts, words, percent).distinct(), "checked")
-    discard(stars)
+    # each set is compared with the hub it shares most keys with, then with those hubs whose components it isn't in
+    best = materialise(stars.groupBy("b").agg(F.max(F.struct("via", "a")).alias("top")).select("top.a", "b"), "best")
+    first = materialise(_verify(best, texts, words, percent).distinct(), "checked")
+    labels = components(first.where("linked"))
+    rest = _labelled(_labelled(stars.join(best, ["a", "b"], "left_anti"), labels, "a"), labels, "b").where("label_a <> label_b").select("a", "b")
+    rest = materialise(rest, "rest")
+    second = materialise(_verify(rest, texts, words, percent).distinct(), "checked")
+    discard(stars, best, rest)
+    checked = first.union(second)
     links = checked.where("linked").select("a", "b")
-    labels = components(links)
+    if second.where("linked").limit(1).count():
+        labels = components(links)
 
     # groups of which a member is outside its hub's component: the nearest such member is the pivot
-    outside = _labelled(_labelled(checked, labels, "a"), labels, "b").where("label_a <> label_b")
-    pivots = materialise(outside.groupBy("a").agg(F.min(F.struct((F.col("total") - F.col("shared")).alias("far"), "b")).alias("top")).select("a", F.col("top.b").alias("pivot")), "pivots")
-    grouped = checked.select("a", "b").union(pivots.select("a", F.col("a").alias("b"))).join(pivots, "a")
+    outside = _labelled(_labelled(found.select("a", "b"), labels, "a"), labels, "b").where("label_a <> label_b")
+    far = outside.join(checked.select("a", "b", (F.col("total") - F.col("shared")).alias("far")), ["a", "b"], "left")  # without, their sizes don't allow a link
+    pivots = materialise(far.groupBy("a").agg(F.min(F.struct(F.coalesce("far", F.lit(1 << 60)).alias("far"), "b")).alias("top")).select("a", F.col("top.b").alias("pivot")), "pivots")
+    grouped = found.select("a", "b").union(pivots.select("a", F.col("a").alias("b"))).join(pivots, "a")
     around = grouped.where("pivot <> b").select(F.col("pivot").alias("a"), "b").distinct()
     around = materialise(around, "around")
     turned = materialise(_verify(around, texts, words, percent, differences=True).dropDuplicates(["a", "b"]), "turned")
-    discard(around, pivots)
+    discard(around, pivots, found)
     links = links.union(turned.where("linked").select("a", "b"))
     labels = components(links)
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tessera.llm import ngram_join as J
@@ -112,7 +113,42 @@ def test_words_that_polynomials_confuse_stay_apart(spark):
         word += word.translate(str.maketrans("ab", "ba"))
     other = word.translate(str.maketrans("ab", "ba"))
     rows = [(1, f"{word} x y z"), (2, f"{other} x y z")]
-    one, two = ngram_join.shingle_sets([t.encode() for _, t in rows], 3)
+    one, two = J.shingle_sets([t.encode() for _, t in rows], 3)
     assert len(one) == len(two) == 2 and len(set(one.tolist()) & set(two.tolist())) == 1
-    got = ngram_join.jaccard_components(spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string"), words=3, percent=90)
+    got = J.jaccard_components(spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string"), words=3, percent=90)
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(1, 1), (2, 2)]
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_similar_sets_share_the_keys_they_need(percent):
+    rng, bands, tight = np.random.default_rng(percent), J.Bands(percent, 1000), 0
+    for _ in range(3000):
+        pool = rng.integers(0, 2**63, int(rng.choice([6, 20, 60, 200, 900])) * 2, dtype=np.uint64)
+        size = int(rng.integers(1, len(pool) // 2 + 1))
+        apart = bands.most_apart(size, size) + 1
+        one, kept = pool[:size], rng.permutation(size)[: max(1, size - int(rng.integers(0, apart + 1)))]
+        two = np.concatenate([pool[kept], pool[size : size + int(rng.integers(0, apart + 1))]])
+        shared = len(kept)
+        if 100 * shared < percent * (len(one) + len(two) - shared) or shared == len(one) == len(two):
+            continue
+        (x, least_x), (y, least_y) = J.segment_keys(np.sort(one), bands), J.segment_keys(np.sort(two), bands)
+        both = len(np.intersect1d(x, y))
+        assert both >= max(least_x, least_y), (len(one), len(two), shared)
+        tight += max(least_x, least_y) > 1
+    assert tight > 300
+
+
+def test_members_whose_size_differs_from_their_hub(spark):
+    """Beginnings of one text: the longest are too long for the hub, and link with each other."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(420)]
+    rows = []
+    for n in range(200, 420, 7):
+        for _ in range(6 if n < 230 else 1):
+            own = base[:n]
+            for _ in range(rng.randrange(0, 3)):
+                own[rng.randrange(n)] = f"x{rng.randrange(9)}"
+            rows.append(" ".join(own))
+    rows = list(enumerate(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    assert got == brute(rows, 3, 90)
