@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import ship
 
-CACHE, CACHED_CHARS = 200_000, 48
+CACHE, CACHED_CHARS = 500_000, 48
 #: Text, in characters or ids, after which a worker hands on what it has.
 HAND_ON = 1 << 20
 #: Spaces that aren't between two characters other than white space.
