@@ -29,7 +29,7 @@ import base64
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -40,7 +40,7 @@ CACHE, CACHED_CHARS = 500_000, 48
 #: Text, in characters or ids, after which a worker hands on what it has.
 HAND_ON = 1 << 20
 #: Spaces that aren't between two characters other than white space.
-_ODD = re.compile(r" (?=\s)|(?<=\s) |\A | \Z")
+_ODD = re.compile(r" (?:(?=\s)|\Z|(?<=\s )|(?<=\A ))")
 _EVEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -91,13 +91,15 @@ class Vocabulary:
         self.left, self.right = list(range(len(self.entry))), list(range(len(self.entry)))  # what an entry's last merge joined
         for raw, i in self.rank.items():
             parts = self.merged(raw, 2)
-            if len(raw) > 1 and (len(parts) != 2 or parts[0] not in self.rank or parts[1] not in self.rank):
-                continue  # an entry that no merges lead to can't be part of a longer piece
-            if len(raw) > 1:
-                self.left[i], self.right[i] = self.rank[parts[0]], self.rank[parts[1]]
-            self.found.add_word(raw.decode("latin-1"), (len(raw), i))
-        self.found.make_automaton()
-        self.shorter: dict[int, int] = {}
+            if len(parts) != 2 or parts[0] not in self.rank or parts[1] not in self.rank:
+                continue  # one byte; an entry that no merges lead to can't be part of a longer piece
+            self.left[i], self.right[i] = self.rank[parts[0]], self.rank[parts[1]]
+            self.found.add_word(raw.decode("latin-1"), (len(raw) - 1, i))
+        if len(self.found):
+            self.found.make_automaton()
+        self.single = [self.rank.get(bytes([b]), -1) for b in range(256)]  # one byte's entry needs no search
+        self.shorter = self._shorter()
+        self.decimal = [str(i) for i in range(len(self.entry))]
         self.fits = Cache()
         self.known = Cache()
         self.words = Cache(), Cache()  # at the start of a text, after a space
@@ -134,46 +136,53 @@ class Vocabulary:
             else:
                 return True
 
-    def prefix(self, token: int) -> int:
-        """The longest entry that is a proper prefix of this one; -1 if there is none."""
-        if (known := self.shorter.get(token)) is None:
-            raw = self.entry[token]
-            known = next((self.found.get(cut)[1] for n in range(len(raw) - 1, 0, -1) if (cut := raw[:n].decode("latin-1")) in self.found), -1)
-            self.shorter[token] = known
-        return known
+    def _shorter(self) -> list[int]:
+        """For each entry the longest entry that is a proper prefix of it; -1 if there is none."""
+        shorter, above = [-1] * len(self.entry), []
+        for text in sorted(self.found):  # an entry's prefixes come before it, the longest last
+            while above and not text.startswith(above[-1]):
+                above.pop()
+            shorter[self.found.get(text)[1]] = self.found.get(above[-1])[1] if above else self.single[ord(text[0])]
+            above.append(text)
+        return shorter
 
     def piece(self, raw: bytes) -> list[int]:
         if (whole := self.rank.get(raw)) is not None:
             return [whole]
-        n, length, fits = len(raw), self.length, self.fits
-        longest = [-1] * n
-        for end, (size, token) in self.found.iter(raw.decode("latin-1")):
-            longest[end - size + 1] = token  # of the same start, later ends are longer
-        alive = bytearray(b"\x01") * (n + 1)
+        n, length, shorter, fits = len(raw), self.length, self.shorter, self.fits
+        known = fits.new.get
+        single = self.single
+        longest = [single[b] for b in raw]
+        for end, (back, token) in self.found.iter(raw.decode("latin-1")) if len(self.found) else ():
+            longest[end - back] = token  # of the same start, later ends are longer
+        dead: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < n:
             while token >= 0:
                 end = at + length[token]
-                if alive[end]:
-                    if not out:
+                if not dead or end not in dead:
+                    if last < 0:
                         break
-                    pair = out[-1] << 32 | token
-                    good = fits.new.get(pair)
-                    if good is None and (good := fits.miss(pair)) is None:
-                        good = self.compatible(out[-1], token)
-                        fits.keep(pair, good)
+                    pair = last << 32 | token
+                    good = known(pair)
+                    if good is None:
+                        if (good := fits.miss(pair)) is None:
+                            good = self.compatible(last, token)
+                            fits.keep(pair, good)
+                        known = fits.new.get  # the generation may have changed
                     if good:
                         break
-                token = self.prefix(token)
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
+                at, last = end, token
                 token = longest[at] if at < n else -1
             elif out:
-                alive[at] = 0
+                dead.add(at)
                 token = out.pop()  # what it led to is dead now, so a shorter one follows
                 at -= length[token]
+                last = out[-1] if out else -1
             else:
                 raise ValueError("the vocabulary lacks a byte of the text")
         return out
@@ -182,14 +191,30 @@ class Vocabulary:
         """The ids of a stretch of text that begins where a match begins."""
         out: list[int] = []
         for piece in self.pieces(word):
-            ids = self.known.new.get(piece)
-            if ids is None and (ids := self.known.miss(piece)) is None:
-                ids = tuple(self.piece(piece.encode("utf-8")))  # unlike lists, tuples of numbers cost the garbage collector nothing
-                if len(piece) <= CACHED_CHARS:
-                    self.known.keep(piece, ids)
-            out += ids
+            out += self.known.new.get(piece) or self._piece(piece)
         return tuple(out)
 
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        if (ids := self.known.miss(piece)) is None:
+            ids = tuple(self.piece(piece.encode("utf-8")))  # unlike lists, tuples of numbers cost the garbage collector nothing
+            if len(piece) <= CACHED_CHARS:
+                self.known.keep(piece, ids)
+        return ids
+
+    def after_spaces(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word with a space before it; no word holds a space or begins or ends with white space.
+
+        One search for all: a match begins at every space, and nowhere else does one hold a space.
+        """
+        out: list[list[int]] = []
+        for piece in self.pieces(" " + " ".join(words)):
+            ids = self.known.new.get(piece) or self._piece(piece)
+            if piece[0] == " ":
+                out.append(list(ids))
+            else:
+                out[-1] += ids
+        return out
+
     def _cached(self, cache: Cache, key: str, word: str) -> tuple[int, ...]:
         if (ids := cache.miss(key)) is None:
             ids = self._word(word)
@@ -214,28 +239,46 @@ class Teller:
         self.coder = coder
         self.words = Cache(), Cache()  # at the start of a text, after a space
 
-    def _told(self, cache: Cache, key: str, word: str) -> tuple[int, str, bytes]:
-        if (found := cache.miss(key)) is None:
-            ids = self.coder._word(word)
-            entry = self.coder.entry
-            found = len(ids), ",".join(map(str, ids)), b"".join([entry[i] for i in ids])
-            if len(key) <= CACHED_CHARS:
-                cache.keep(key, found)
+    def _tell(self, cache: Cache, key: str, ids: Sequence[int]) -> tuple[int, str, bytes]:
+        entry, decimal = self.coder.entry, self.coder.decimal
+        found = len(ids), ",".join([decimal[i] for i in ids]), b"".join([entry[i] for i in ids])
+        if len(key) <= CACHED_CHARS:
+            cache.keep(key, found)
         return found
 
+    def _told(self, cache: Cache, key: str, word: str) -> tuple[int, str, bytes]:
+        return cache.miss(key) or self._tell(cache, key, self.coder._word(word))
+
+    def _later(self, words: list[str], plain: bool) -> list[tuple[int, str, bytes]]:
+        """What is told of words that follow spaces."""
+        later = self.words[1]
+        found = list(map(later.new.get, words))
+        if None not in found:
+            return found
+        lacking = list(dict.fromkeys([w for f, w in zip(found, words, strict=True) if f is None]))
+        fresh = {w: f for w in lacking if (f := later.miss(w)) is not None}
+        lacking = [w for w in lacking if w not in fresh]
+        if lacking:
+            coded = self.coder.after_spaces(lacking) if plain else [self.coder._word(" " + w) for w in lacking]
+            for w, ids in zip(lacking, coded, strict=True):
+                fresh[w] = self._tell(later, w, ids)
+        return [f or fresh[w] for f, w in zip(found, words, strict=True)]
+
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, and the digests of the ids in decimal and of the bytes they decode to."""
-        first, later = self.words
-        words = text.split(" ") if not _ODD.search(text) else _EVEN.split(text)
-        parts = [self._told(first, words[0], words[0])] if words[0] else []
-        for word in words[1:]:
-            parts.append(later.new.get(word) or self._told(later, word, " " + word))
-        ids, raw = hashlib.sha256(), hashlib.sha256()
-        for a in range(0, len(parts), 1 << 16):
-            some = parts[a : a + (1 << 16)]
-            ids.update(((b"," if a else b"") + ",".join([p[1] for p in some]).encode()))
-            raw.update(b"".join([p[2] for p in some]))
-        return sum([p[0] for p in parts]), ids.hexdigest(), raw.hexdigest()
+        plain = not _ODD.search(text)
+        words = text.split(" ") if plain else _EVEN.split(text)
+        parts = [self._told(self.words[0], words[0], words[0])] if words[0] else []
+        ids, raw, total = hashlib.sha256(), hashlib.sha256(), 0
+        for a in range(1, len(words) + 1, 1 << 16):
+            parts += self._later(words[a : a + (1 << 16)], plain)
+            if parts:
+                counts, decimals, decoded = zip(*parts, strict=True)
+                ids.update(((b"," if total else b"") + ",".join(decimals).encode()))
+                raw.update(b"".join(decoded))
+                total += sum(counts)
+                parts = []
+        return total, ids.hexdigest(), raw.hexdigest()
 
 
 @functools.lru_cache(maxsize=2)

@@ -54,6 +54,17 @@ def test_bpe_equals_merges_and_round_trips(spark):
         assert b"".join(coder.entry[i] for i in want) == text.encode()
 
 
+def test_words_told_together_equal_words_coded_apart():
+    coder, teller = bpe.vocabulary(*queries.byte_bpe_file()), bpe.Teller(bpe.vocabulary(*queries.byte_bpe_file()))
+    rng = random.Random(8)
+    for n in range(1500):
+        text = "".join(rng.choice("ab1é日.,'’\n\t  \u00a0") for _ in range(n % 40))
+        ids = coder.encode(text)
+        assert ids == [i for piece in coder.pieces(text) for i in coder.piece(piece.encode())]
+        want = [hashlib.sha256(x).hexdigest() for x in (",".join(map(str, ids)).encode(), text.encode())]
+        assert teller.digests(text) == (len(ids), *want), repr(text)
+
+
 def test_bpe_frames(spark):
     got = queries.bpe_digests(awkward(spark), *queries.byte_bpe_file())
     texts = collections.Counter(hashlib.sha256((t or "").encode()).hexdigest() for _, t in AWKWARD)
