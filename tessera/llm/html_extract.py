@@ -11,7 +11,10 @@ whole element is the article.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 and reader comments are left out by element, role, class or id before
-densities are taken, and blocks made of links mostly are left out after.
+densities are taken, and blocks made of links mostly are left out after. A class
+or id only raises a suspicion, as does a form: such a block stays if it holds half or more of
+the page's text outside links and there is no ``article`` or ``main`` elsewhere, as page-wide
+wrappers do. Names of reader comments and consent notices always decide.
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by two line feeds; nothing
 else is dropped or cut.
@@ -40,6 +43,7 @@ BLOCK = frozenset("html body article main section div header hgroup h1 h2 h3 h4
 ENDS_PARAGRAPH = BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption"} | frozenset("nav footer aside form fieldset menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|adbox|banner\w*|sponsor\w*|promo\w*|cookies?|cookie\w*|consent|gdpr|newsletter\w*|subscri\w+|paywall|sidebar\w*|side-?bar|menus?|nav|navbar|navigation|breadcrumbs?|footer\w*|page-?header|site-?header|masthead|topbar|toolbar|share|sharing|social\w*|related\w*|recommend\w*|comments?|comment-?\w*|commentlist|disqus\w*|respond|replies|notices?|notification\w*|alert\w*|popup\w*|modal\w*|overlay\w*|widget\w*|login|signup|sign-?up|pagination|pager|skip-?link\w*|copyright|legal|disclaimer|tags?-?list)(?:$|[\s_-])", re.I)
+ALWAYS_OUT = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?\w*|commentlist|disqus\w*|respond|replies|cookies?|cookie\w*|consent|gdpr)(?:$|[\s_-])", re.I)
 CORE = frozenset(("article", "main"))
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -50,13 +54,14 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 class Block:
     """One block element; ``parts`` holds its own text and child blocks in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "chars", "link_chars", "tags", "link_tags", "density", "sum", "core")
+    __slots__ = ("tag", "parent", "parts", "chars", "link_chars", "tags", "link_tags", "density", "sum", "core", "suspect")
 
     def __init__(self, tag: str, parent: Block | None):
         self.tag, self.parent, self.parts = tag, parent, []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
         self.core: Block | None = parent.core if parent is not None else None
+        self.suspect = False
 
 
 class Tree(HTMLParser):
@@ -70,7 +75,8 @@ class Tree(HTMLParser):
         self.block, self.out, self.links = self.root, 0, 0
 
     def _unwanted(self, tag: str, attrs: list) -> bool:
-        if tag in DROPPED:
+        """Whether the element is left out whatever it holds."""
+        if tag in DROPPED and tag != "form":
             return True
         if tag in ("html", "body"):
             return False
@@ -80,11 +86,20 @@ class Tree(HTMLParser):
         for k, v in attrs:
             if k == "hidden" or k == "aria-hidden" and v == "true" or k == "role" and v and v.lower() in ROLES:
                 return True
-            if k in ("class", "id") and v and tag not in CORE and (NAMES.search(v) or not inside and HEADER_NAMES.search(v)):
+            if k in ("class", "id") and v and tag not in CORE and ALWAYS_OUT.search(v):
                 return True
             if k == "style" and v and HIDDEN.search(v):
                 return True
-        return False
+        return tag not in BLOCK and tag != "form" and self._suspect(tag, attrs)
+
+    def _suspect(self, tag: str, attrs: list) -> bool:
+        """Whether the element is left out unless it holds most of the page."""
+        if tag == "form":
+            return True
+        if tag in CORE or tag in ("html", "body"):
+            return False
+        inside = self.block.core is not None
+        return any(k in ("class", "id") and v and (NAMES.search(v) or not inside and HEADER_NAMES.search(v)) for k, v in attrs)
 
     def _close(self, depth: int) -> None:
         """Close open elements down to so many."""
@@ -120,7 +135,8 @@ class Tree(HTMLParser):
                 if self.open[i][0] in BLOCK:
                     break
         unwanted = self._unwanted(tag, attrs)
-        if not self.out and not unwanted:
+        suspect = not unwanted and self._suspect(tag, attrs)
+        if not self.out and not unwanted and not suspect:
             self.block.tags += 1
             self.block.link_tags += tag == "a" or self.links > 0
         if tag in VOID:
@@ -130,8 +146,10 @@ class Tree(HTMLParser):
         self.open.append((tag, self.block, unwanted))
         self.out += unwanted
         self.links += tag == "a"
-        if tag in BLOCK and not self.out:
+        if (tag in BLOCK or suspect) and not self.out:
             child = Block(tag, self.block)
+            if suspect:
+                child.suspect, child.tags, child.link_tags = True, 1, int(self.links > 0)
             if tag in CORE or any(k == "role" and v == "main" or k == "itemprop" and v == "articleBody" for k, v in attrs):
                 child.core = child.core or child
             self.block.parts.append(child)
@@ -162,6 +180,27 @@ class Tree(HTMLParser):
                 self.block.link_chars += n
 
 
+def without_suspects(blocks: list[Block]) -> list[Block]:
+    """The blocks but for suspect ones, which give way to a gap unless they hold most of the page."""
+    plain = {id(b): b.chars - b.link_chars for b in blocks}
+    for b in reversed(blocks):
+        if b.parent is not None:
+            plain[id(b.parent)] += plain[id(b)]
+    doubtful: set[int] = set()  # suspect blocks and what is in them
+    for b in blocks:
+        if b.suspect or b.parent is not None and id(b.parent) in doubtful:
+            doubtful.add(id(b))
+    elsewhere = any(b.core is b and plain[id(b)] and id(b) not in doubtful for b in blocks)
+    gone: set[int] = set()
+    for b in blocks:
+        if b.parent is not None and id(b.parent) in gone or b.suspect and (elsewhere or 2 * plain[id(b)] < plain[id(blocks[0])] or not plain[id(b)]):
+            gone.add(id(b))
+    for b in blocks:
+        if id(b) not in gone:
+            b.parts = [None if isinstance(p, Block) and id(p) in gone else p for p in b.parts]
+    return [b for b in blocks if id(b) not in gone]
+
+
 def measure(blocks: list[Block]) -> None:
     """Fill in densities and density sums; ``blocks`` has parents before children."""
     for b in reversed(blocks):
@@ -225,9 +264,10 @@ def main_text(html: str) -> str:
     tree = Tree()
     tree.feed(html)
     tree.close()
-    measure(tree.blocks)
+    blocks = without_suspects(tree.blocks)
+    measure(blocks)
     texts: list[str] = []
-    for top in _selected(tree.blocks):
+    for top in _selected(blocks):
         held: list[str] = []
 
         def flush(held=held):

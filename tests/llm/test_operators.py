@@ -221,8 +221,58 @@ def test_mix_reaches_targets(spark):
     assert mixing.mix(awkward(spark), mixing.quality_weights(labels(spark))).count() == len(AWKWARD)
 
 
+PARAGRAPHS = [f"Paragraph {i} of a page about nothing at all, " + "with many plain words in it, " * 4 + "and an end." for i in range(5)]
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="has-sidebar">%s</div>', '<div class="elementor-widget-container">%s</div>', '<div class="page-header-fixed">%s</div>',
+    '<div class="post category-legal">%s</div>', '<form id="aspnetForm">%s<input><label>x</label></form>',
+    '<form><div class="has-nav"><div class="sidebar">Few words aside.</div>%s<div class="comments"><p>Nice read.</p></div><form>Sign up.</form></div></form>'])
+def test_page_wide_wrappers_keep_their_text(wrapper):
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    page = f'<html><body><nav><a href="/">Home</a></nav>{wrapper % body}<div class="footer">All rights.</div></body></html>'
+    assert html_extract.main_text(page) == "\n\n".join(PARAGRAPHS)
+
+
+def test_suspect_blocks_go_beside_an_article():
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    for name in ("sidebar", "comments", "related-posts"):
+        page = f'<body><article><p>The short article itself.</p></article><div class="{name}">{body}</div></body>'
+        assert html_extract.main_text(page) == "The short article itself."
+    assert html_extract.main_text(f'<body><p>{PARAGRAPHS[0]}</p><div class="comments">{body}</div></body>') == PARAGRAPHS[0]
+
+
+def test_pages_empty_and_with_clashing_columns(spark):
+    schema = "page_id long, url string, html string, text string, row string, n_chars int"
+    assert html_extract.extract(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "u", "<p>One  two</p>", "t", "r", 3), (1, "u", "<p>One  two</p>", "t", "r", 3), (None, None, None, None, None, None), (2, "v", "<p>" + "long " * 200_000 + "</p>", "", "", 0)]
+    got = html_extract.extract(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "u", "One two"), (1, "u", "One two"), (None, None, ""), (2, "v", ("long " * 200_000).strip())], key=str)
+
+
 # ------------------------------------------------------------------ sharding
 
+def test_ranges_equal_a_walk_row_by_row():
+    """The dealt rule itself: rows go clockwise from their arc to the first shard with room, an arc's own rows before those passed on."""
+    rng = random.Random(3)
+    for _ in range(300):
+        shards, arcs = rng.randint(1, 5), rng.randint(1, 12)
+        owners = list(range(shards)) + [rng.randrange(shards) for _ in range(arcs)]
+        rng.shuffle(owners)
+        counts = [rng.choice([0, 0, 1, 2, 5, 40]) for _ in owners]
+        room = sharding.capacities(sum(counts), shards, rng.choice([0.0, 0.3]))
+        got = {(arc, rank): (shard, slot + rank - first) for arc, first, end, shard, slot in sharding.walk(counts, owners, room) for rank in range(first, end)}
+        left, taken, line, want = list(room), [0] * shards, [], {}
+        for arc, shard in enumerate(owners + owners):
+            line = ([(arc, rank) for rank in range(counts[arc])] if arc < len(counts) else []) + line
+            here, line = line[:left[shard]], line[left[shard]:]
+            for row in here:
+                want[row] = shard, taken[shard]
+                taken[shard] += 1
+            left[shard] -= len(here)
+        assert got == want and not line and len(got) == sum(counts)
+
+
 def test_sharding_equals_a_sequential_walk(spark):
     rows = [(i, f"text {i % 9}") for i in range(500)] + [(None, None), (1, "text 1"), (1, "text 1")]
     got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 7, vnodes=5).collect()
