@@ -6,6 +6,9 @@ whole-stage codegen and push down where Catalyst can push them.
 
 from __future__ import annotations
 
+import itertools
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,9 +95,54 @@ def history_key(id_col: Column | str, ts_col: Column | str,
     return F.concat_ws(KEY_SEPARATOR, _col(id_col).cast("string"), F.date_format(_col(ts_col), pattern))
 
 
+# fixed values: pattern letters whose meaning both notations share, with the most repeats Spark takes
+_SAME_LETTERS = {"y": 6, "D": 3, "d": 2, "K": 2, "h": 2, "H": 2, "k": 2, "m": 2, "s": 2, "S": 9}
+_SPECIAL = frozenset("[]{}#'")
+_PATTERN_PARTS = re.compile(r"(?P<letters>([A-Za-z])\2*)|(?P<quoted>''|'(?!')(?:[^']|'')*'(?!'))|.", re.S)
+
+
+def _pattern_letters(letter: str, n: int, pattern: str) -> str:
+    """Spark's letters for a run of ``n`` equal Joda letters; raises where Spark has none."""
+    letter = {"Y": "y"}.get(letter, letter)  # year of era
+    if letter in _SAME_LETTERS and n <= _SAME_LETTERS[letter]:
+        return letter * n
+    if letter == "M":  # number, number of two digits, short name, name
+        return "M" * min(n, 4)
+    if letter in "Ez":  # short name, name
+        return letter if n < 4 else letter * 4
+    if letter in "Ga":  # one form only
+        return letter
+    if letter == "Z":  # offset, offset with colon, name of the zone
+        return {1: "xx", 2: "xxx"}.get(n, "VV")
+    raise ValueError(f"{letter * n!r} in the pattern {pattern!r} has no counterpart")
+
+
 def translate_joda_pattern(pattern: str) -> str:
-    """Joda's ``Y`` is year-of-era; Spark's ``Y`` is week-year and is rejected."""
-    return pattern.replace("Y", "y")
+    """Spark's date pattern for a Joda-style one.
+
+    ``Y`` is the year of the era (Spark's ``Y`` is a week year) and ``Z``, ``ZZ``, ``ZZZ`` are
+    forms of the zone. Quoted text stays text, and so do brackets, braces and ``#``, which are
+    plain characters in the old notation. Century, week year, week, number of the weekday and other
+    letters, or more repeats than Spark takes, raise ``ValueError``, as does an open quote.
+    """
+    parts: list[tuple[bool, str]] = []  # whether it is text
+    for found in _PATTERN_PARTS.finditer(pattern):
+        part = found.group()
+        if found["letters"]:
+            parts.append((False, _pattern_letters(part[0], len(part), pattern)))
+        elif found["quoted"]:
+            parts.append((True, part[1:-1].replace("''", "'") or "'"))  # two quotes stand for one
+        elif part == "'":
+            raise ValueError(f"open quote in the pattern {pattern!r}")
+        else:
+            parts.append((True, part))
+    out = ""
+    for literal, run in itertools.groupby(parts, key=lambda p: p[0]):
+        text = "".join(t for _, t in run)
+        if literal and any(c in _SPECIAL or c.isascii() and c.isalpha() for c in text):
+            text = "'" + text.replace("'", "''") + "'"
+        out += text
+    return out
 
 
 def parse_date(text: Column | str, pattern: str) -> Column:

@@ -79,3 +79,31 @@ def test_split_names():
     assert S.split_names("a, b,,null") == ["a", "b", "null"]
     assert S.split_names(None) is None
     assert S.split_names("") is None
+
+
+@pytest.mark.parametrize(("old", "want"), [
+    ("YYYY-MM-dd", "2024-03-05"), ("yy", "24"), ("G", "AD"), ("GGGG", "AD"), ("M MM MMM MMMM MMMMMM", "3 03 Mar March March"),
+    ("E EEE EEEE", "Tue Tue Tuesday"), ("d dd", "5 05"), ("D DDD", "65 065"), ("a aaa", "PM PM"), ("K h H k", "2 2 14 14"),
+    ("HH:mm:ss.SSS", "14:07:09.120"), ("Z ZZ", "+0000 +00:00"), ("ZZZ", "UTC"), ("z", "UTC"), ("''", "'"), ("''''", "''"),
+    ("h 'o''clock' a", "2 o'clock PM"), ("'at'HH", "at14"), ("''HH''", "'14'"), ("[yyyy]{MM}#dd", "[2024]{03}#05"),
+    ("'a'[dd", "a[05"), ("yyyy年MM月", "2024年03月"), ("'Y'YYYY", "Y2024"),
+])
+def test_date_patterns_by_letter(spark, old, want):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        at = F.to_timestamp(F.lit("2024-03-05 14:07:09.12"))
+        assert spark.range(1).select(F.date_format(at, S.translate_joda_pattern(old))).first()[0] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("old", ["C", "xxxx", "ww", "e", "ddd", "HHH", "DDDD", "S" * 10, "yyyyyyy", "Q", "V", "b", "'open", "yyyy''' x"])
+def test_date_patterns_without_counterpart(old):
+    with pytest.raises(ValueError):
+        S.translate_joda_pattern(old)
+
+
+def test_dates_parse_by_old_patterns(spark):
+    df = spark.createDataFrame([("2024-03-05T14:07 [x]",)], "t string")
+    assert df.select(S.parse_date("t", "YYYY-MM-dd'T'HH:mm ['x']")).first()[0] == datetime.datetime(2024, 3, 5, 14, 7)
