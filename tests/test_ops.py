@@ -224,3 +224,12 @@ def test_or_match_by_blocks_equals_brute_force(spark):
     got = [(r[0], r[1]) for r in pairs.select("l.id", "r.id").collect()]
     assert len(got) == len(set(got))
     assert set(got) == _brute_pairs(recs, [lambda r: r[1], lambda r: r[2], lambda r: r[3]])
+
+
+def test_applications_far_apart_match(spark, tmp):
+    from tessera import bindings as B
+    # which records agree is a matter of their values, however far apart their keys lie
+    spark.createDataFrame([(1, "A", 3, 1250.5, "BUILDING"), (90_000, "B", 3, 1250.25, "BUILDING"), (180_000, "C", 3, 1999.0, "BUILDING")],
+                          "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp}/customer.parquet")
+    got = rows(match.match_applications(B.applications(spark, tmp)), "matched_name", "matched_address", "matched_phone", "matched_email")
+    assert got == [(1, 1, 0, 0)] * 4 + [(1, 1, 1, 1)] * 5
