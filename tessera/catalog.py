@@ -964,26 +964,40 @@ def enrich_store(spark, d):
 
 # ================================================================== streaming
 
-def _event_slices(spark, d, parts: int = 4) -> tuple[str, object]:
-    """``events`` copied as ``parts`` files in time order, one write per slice,
-    so a file stream with one file per trigger replays them as micro-batches."""
+ROWS_PER_SLICE_FILE = 250_000
+
+
+def _event_slices(spark, d, parts: int = 4, rows_per_file: int = ROWS_PER_SLICE_FILE) -> tuple[str, object, int]:
+    """``events`` copied as ``parts`` slices in time order, one write per slice, each of as many files.
+
+    A file stream that takes that many files per trigger (the third value) replays
+    the slices as micro-batches. The number of files follows the rows, so many tasks write
+    and read a slice; one that has fewer is filled up with empty files.
+    """
     ev = T(spark, d, "events")
     root = scratch_path(spark, "event-slices")
-    lo, hi = ev.agg(F.min(S.epoch_micros("ts")), F.max(S.epoch_micros("ts"))).first()
+    lo, hi, n = ev.agg(F.min(S.epoch_micros("ts")), F.max(S.epoch_micros("ts")), F.count("*")).first()
     lo, hi = (lo or 0), (hi or 0) + 1
     step = max(1, -(-(hi - lo) // parts))
+    files = max(1, -(-n // (parts * rows_per_file)))
     us = S.epoch_micros("ts")
+    nothing = spark.createDataFrame([], ev.schema).coalesce(1)
     for i in range(parts):
         a, b = lo + i * step, lo + (i + 1) * step
         own = (us >= a) & (us < b)
-        ev.filter(own | us.isNull() if i == 0 else own).coalesce(1).write.mode("append").parquet(root)
-    return root, ev.schema
+        rows = ev.filter(own | us.isNull() if i == 0 else own)
+        dealt = rows.coalesce(1) if files == 1 else rows.repartitionById(files, F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int"))
+        dealt.write.mode("append").parquet(root)
+        if files > 1:
+            for _ in range((i + 1) * files - len(spark.read.schema(ev.schema).parquet(root).inputFiles())):
+                nothing.write.mode("append").parquet(root)
+    return root, ev.schema, files
 
 
 def _stream_events(spark, d):
     from tessera.streaming.mutations import file_stream
-    path, schema = _event_slices(spark, d)
-    return file_stream(spark, path, schema, max_files_per_trigger=1)
+    path, schema, files = _event_slices(spark, d)
+    return file_stream(spark, path, schema, max_files_per_trigger=files)
 
 
 def _drain_cells(spark, stream_cells) -> DataFrame:

@@ -14,6 +14,7 @@ in the store. Here:
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator, Sequence
 
@@ -98,7 +99,8 @@ def stream_mutations(stream: DataFrame, **mutation) -> DataFrame:
 
 # ----------------------------------------------------------------- check-and-mutate
 
-_ACCEPTED = f"row_key string, ts bigint, seq bigint, then {cas.THEN}"
+#: a request crosses to Python as one text of two lines; what it does, the second, is only read there if it is accepted
+_ACCEPTED = "row_key string, ts bigint, seq bigint, then string"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -112,33 +114,57 @@ class _KeptRow(RowState):
     def __init__(self, cells, tombs):
         super().__init__(closed=False)
         self._kept, self._tombs = cells, tombs
-        found = tombs.getValue(("row", "", ""))
-        self.row_tomb = found[0] if found else None
-        self._tombs_before = self.row_tomb
+        self._read: dict[tuple[str, str], tuple | None] = {}
+        self._has_tombs: bool | None = None
+        self._tombs_before: int | None = None
+
+    def _tomb(self, *key) -> int | None:
+        """A kept tombstone; each call of a state is a round trip, and most rows have none."""
+        if self._has_tombs is None:
+            self._has_tombs = self._tombs.exists()
+            self.row_tomb = self._tombs_before = self._tomb("row", "", "")
+        found = self._tombs.getValue(key) if self._has_tombs else None
+        return found[0] if found else None
 
     def load(self, family, qualifier):
         if found := self._kept.getValue((family, qualifier)):
             value, ts, seq = found
-            return True, value, None if ts is None else (ts, seq)
-        tomb = self._tombs.getValue(("cell", family, qualifier))
-        return (False, None, (tomb[0], MAX_SEQ)) if tomb else None
+            known = True, value, None if ts is None else (ts, seq)
+            if ts is None or seq == MAX_SEQ:  # only such a kept cell may have a kept tombstone over it
+                self._tomb("row", "", "")
+        else:
+            tomb = self._tomb("cell", family, qualifier)
+            known = None if tomb is None else (False, None, (tomb, MAX_SEQ))
+        self._read[family, qualifier] = known
+        return known
 
     def family_tomb(self, family):
-        if family not in self.family_tombs and (found := self._tombs.getValue(("family", family, ""))):
-            self.family_tombs[family] = found[0]
+        # before an absent cell or a delete was met, no kept tombstone matters
+        if family not in self.family_tombs and self._has_tombs and (found := self._tomb("family", family, "")) is not None:
+            self.family_tombs[family] = found
         return self.family_tombs.get(family)
 
+    def _apply(self, m, ts, seq):
+        if m["kind"] in ("delete_family", "delete_row") and self._has_tombs is None:
+            self._tomb("row", "", "")
+        if m["kind"] == "delete_family":
+            self.family_tomb(m["family"])
+        super()._apply(m, ts, seq)
+
     def save(self) -> None:
         """Write back what was met; entries that a delete covers go."""
-        if self.row_tomb is not None:
+        if self.row_tomb != self._tombs_before:
             self._tombs.updateValue(("row", "", ""), (self.row_tomb,))
         for family, ts in self.family_tombs.items():
             self._tombs.updateValue(("family", family, ""), (ts,))
-        for (family, qualifier), (present, value, last) in self.cells.items():
+        for (family, qualifier), cell in self.cells.items():
+            if cell == (was := self._read[family, qualifier]):
+                continue
+            present, value, last = cell
             if present:
                 self._kept.updateValue((family, qualifier), (value, *(last or (None, None))))
                 continue
-            if self._kept.containsKey((family, qualifier)):
+            if was is not None and was[0]:
                 self._kept.removeKey((family, qualifier))
             if last is not None:
                 self._tombs.updateValue(("cell", family, qualifier), (last[0],))
@@ -165,10 +191,15 @@ class ConditionalRows(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = _KeptRow(self.cells, self.tombs)
         nulls_first = lambda v: (v is not None, v)
-        order = lambda r: (r["ts"], r["seq"], r["family"], r["qualifier"], nulls_first(r["expected"]), r["tie"])
-        for r in sorted(rows, key=order):
-            if state.request(r["family"], r["qualifier"], r["expected"], r["ts"], r["seq"], r["then"]):
-                yield Row(row_key=r["row_key"], ts=r["ts"], seq=r["seq"], then=r["then"])
+
+        def read(r: Row) -> tuple[list, str]:
+            request, _, then = r["request"].partition("\n")
+            return [*json.loads(request).values()], then
+
+        order = lambda r: (*r[0][:4], nulls_first(r[0][4]), r[0][5])
+        for (ts, seq, family, qualifier, expected, _), then in sorted(map(read, rows), key=order):
+            if state.request(family, qualifier, expected, ts, seq, (m for text in (then,) for m in json.loads(text))):
+                yield Row(row_key=key[0], ts=ts, seq=seq, then=then)
         state.save()
 
     def close(self) -> None:
@@ -198,13 +229,15 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
     ship_package(spark)
     use_map_state(spark)
     reqs = cas.with_then(stream_reqs, action, delete_scope)
-    reqs = reqs.select("row_key", "family", "qualifier", "expected", "ts", "seq", "then", F.xxhash64("then").alias("tie"))
+    text = lambda column: F.to_json(column, {"ignoreNullFields": "false"})
+    request = text(F.struct("ts", "seq", "family", "qualifier", "expected", F.xxhash64("then").alias("tie")))
+    reqs = reqs.select("row_key", F.concat(request, F.lit("\n"), F.coalesce(text("then"), F.lit("null"))).alias("request"))
     initial = None
     if current is not None:
         version = [F.col(c) if c in current.columns else F.lit(None).cast("bigint").alias(c) for c in ("ts", "seq")]
         initial = current.select("row_key", "family", "qualifier", "value", *version).groupBy("row_key")
     accepted = reqs.groupBy("row_key").transformWithState(ConditionalRows(), _ACCEPTED, "append", "none", initial)
-    return cas.as_cells(accepted)
+    return cas.as_cells(accepted.withColumn("then", F.from_json("then", cas.THEN)))
 
 
 def stream_enrich(stream: DataFrame, static: DataFrame, on, how: str = "left") -> DataFrame:

@@ -145,3 +145,62 @@ def test_stream_state_shrinks_with_deletes(spark, tmp):
         return spark.read.format("statestore").option("stateVarName", name).load(f"{tmp}/ck").count()
 
     assert (kept("cells"), kept("tombs")) == (0, 1)
+
+
+def test_stream_state_calls_and_texts(spark, tmp):
+    # a row without tombstones costs one read of its cell and a test for tombstones; what isn't changed isn't written
+    class Kept(dict):
+        def __init__(self, *a):
+            super().__init__(*a)
+            self.calls = []
+
+        def getValue(self, key):
+            self.calls.append("get")
+            return self.get(key)
+
+        def exists(self):
+            self.calls.append("exists")
+            return bool(self)
+
+        def updateValue(self, key, value):
+            self.calls.append("put")
+            self[key] = value
+
+        def removeKey(self, key):
+            self.calls.append("remove")
+            del self[key]
+
+        def iterator(self):
+            return iter([*self.items()])
+
+    def run(cells, tombs, *reqs):
+        row = SM._KeptRow(cells, tombs)
+        taken = [row.request(*r) for r in reqs]
+        row.save()
+        return taken
+
+    put = lambda value: [{"kind": "put", "family": "c", "qualifier": "q", "value": value, "delta": None}]
+    gone = [{"kind": "delete_row", "family": None, "qualifier": None, "value": None, "delta": None}]
+    cells, tombs = Kept(), Kept()
+    assert run(cells, tombs, ("c", "q", None, 1, 0, put("a"))) == [True]
+    assert (cells.calls, tombs.calls) == (["get", "put"], ["exists"])
+    cells.calls, tombs.calls = [], []
+    assert run(cells, tombs, ("c", "q", "x", 2, 0, put("b"))) == [False]
+    assert (cells.calls, tombs.calls) == (["get"], [])
+    # a delete of the row is kept, and hides older requests in later batches
+    cells["d", "old"] = ("v", None, None)
+    assert run(cells, tombs, ("c", "q", "a", 5, 0, gone)) == [True]
+    assert ("c", "q") not in cells and tombs == {("row", "", ""): (5,)}
+    assert run(cells, tombs, ("d", "old", "v", 9, 0, put("b"))) == [False]
+    assert run(cells, tombs, ("c", "q", None, 5, 0, put("b")), ("c", "q", None, 6, 0, put("c"))) == [False, True]
+    assert cells["c", "q"] == ("c", 6, 0)
+
+
+def test_stream_keeps_odd_values(spark, tmp):
+    odd = 'a"\n\\\t\u2028\u00e9\U0001f600'
+    raw = [("r", "c", "q", None, 1, 0, [(C.PUT, "c", "q", odd, None)]), ("r", "c", "q", odd, 2, 0, [(C.PUT, "c", "n", None, None), (C.INCREMENT, "c", "i", None, 2**62)])]
+    stream = _files(spark, spark.createDataFrame(raw, REQ), f"{tmp}/in", 2)
+    reqs = cas.requests(stream, row_key="k", family=F.col("f"), qualifier=F.col("q"), expected="exp", ts="ts", seq="seq", then=F.col("then"))
+    SM.append_to_files(SM.stream_check_and_mutate(reqs, None), f"{tmp}/out", f"{tmp}/ck")
+    got = C.read_cells(spark, f"{tmp}/out").select("qualifier", "value", "delta").collect()
+    assert {tuple(r) for r in got} == {("q", odd, None), ("n", None, None), ("i", None, 2**62)}

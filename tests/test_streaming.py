@@ -166,3 +166,23 @@ def test_change_tracking_of_late_batches(spark, tmp):
     assert rows(written, "batch_id", "row_key", "value") == [(0, "u", "a"), (0, "w", "x"), (0, "z", "s"), (2, "w", "y")]
     assert rows(C.resolve(C.read_cells(spark, cells).drop("batch_id")), "row_key", "value") == [("u", "a"), ("w", "y"), ("z", "s")]
     assert rows(spark.read.parquet(hist), "id_ts") == [("u:19700101000010",), ("w:19700101000010",), ("w:19700101000030",), ("z:19700101000010",)]
+
+
+def test_event_slices_of_several_files_replay_in_order(spark, tmp):
+    import datetime as dt
+
+    from tessera.catalog import _event_slices
+
+    # the third quarter of the time has two events, so its slice lacks files; an event without time comes first
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(hours=n)
+    hours = [*range(0, 50), 60, *range(75, 101)]
+    spark.createDataFrame([(i, day(h), i % 7, "view", 1.0, "{}") for i, h in enumerate(hours)] + [(999, None, 1, "view", 1.0, "{}")],
+                          "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").write.parquet(f"{tmp}/events.parquet")
+    root, schema, files = _event_slices(spark, tmp, rows_per_file=5)
+    assert files == 4
+    batches = {}
+    stream = SM.file_stream(spark, root, schema, max_files_per_trigger=files)
+    SM.foreach_batch(stream, lambda b, i: batches.__setitem__(i, sorted(r.event_id for r in b.select("event_id").collect())), f"{tmp}/ck")
+    step = 25 + 1e-9  # the last time belongs to the last slice
+    want = [sorted([i for i, h in enumerate(hours) if min(int(h / step), 3) == k] + [999] * (k == 0)) for k in range(4)]
+    assert [batches[i] for i in sorted(batches)] == want
