@@ -7,7 +7,7 @@ in the store. Here:
   the Parquet file sink (exactly-once through its commit log); reads resolve;
 * ``foreachBatch`` side effects write each batch to its own ``batch_id=``
   folder with overwrite, so a replayed batch replaces itself;
-* check-and-put / check-and-delete keep each row's cells as map state
+* check-and-put / check-and-delete keep each row's cells as state
   (``transformWithState``) and emit the accepted mutations;
 * gets are a stream-static join against the resolved cells.
 """
@@ -19,7 +19,7 @@ import os
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -102,10 +102,16 @@ def stream_mutations(stream: DataFrame, **mutation) -> DataFrame:
 #: a request crosses to Python as one text of two lines; what it does, the second, is only read there if it is accepted
 _ACCEPTED = "row_key string, ts bigint, seq bigint, then string"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_DECODE = json.JSONDecoder().raw_decode
+#: Most characters of a row's cells, or of its tombstones, that are kept as one text.
+NARROW = 16_384
+#: Cells of a row that come as one text at the start.
+PACK = 64
+_WIDE = "wide"
 
 
 class _KeptRow(RowState):
-    """A row whose cells and tombstones are map states of a stream.
+    """A row whose cells and tombstones are kept by a stream, in map states or :class:`_Held`.
 
     ``cells`` holds what is present, ``tombs`` the newest tombstone of the row
     (``row``), of families and of cells that no wider one covers.
@@ -177,30 +183,117 @@ class _KeptRow(RowState):
                 self._tombs.removeKey(key)
 
 
+class _Held:
+    """The entries of one value state, with the calls of a map state; each of those would be a round trip.
+
+    The text is read when an entry is first asked for, and written once, by ``write``.
+    """
+
+    def __init__(self, value, key_parts: int):
+        self._value, self._key_parts = value, key_parts
+        self._text: str | None = None
+        self._entries: dict[tuple, tuple] | None = None
+
+    def text(self) -> str | None:
+        """The text as it is kept."""
+        self.entries()
+        return self._text
+
+    def entries(self) -> dict[tuple, tuple]:
+        if self._entries is None:
+            found = self._value.get()
+            self._text = found[0] if found else None
+            n = self._key_parts
+            self._entries = {tuple(e[:n]): tuple(e[n:]) for e in json.loads(self._text)} if self._text not in (None, _WIDE) else {}
+        return self._entries
+
+    def exists(self) -> bool:
+        return bool(self.entries())
+
+    def getValue(self, key):
+        return self.entries().get(key)
+
+    def updateValue(self, key, value) -> None:
+        self.entries()[key] = value
+
+    def removeKey(self, key) -> None:
+        self.entries().pop(key, None)
+
+    def iterator(self):
+        return iter([*self.entries().items()])
+
+    def after(self) -> str | None:
+        """The text to be kept; null for no entries."""
+        if self._entries is None:
+            return self._text
+        return _as_text([[*k, *v] for k, v in self._entries.items()]) if self._entries else None
+
+    def write(self) -> None:
+        if (now := self.after()) == self._text:
+            return
+        if now is None:
+            self._value.clear()
+        else:
+            self._value.update((now,))
+
+
+def _as_text(entries: list[list]) -> str:
+    return json.dumps(entries, ensure_ascii=False, separators=(",", ":"))
+
+
 class ConditionalRows(StatefulProcessor):
-    """Keeps each row's cells as state and emits the requests that it accepts."""
+    """Keeps each row's cells as state and emits the requests that it accepts.
+
+    A row's cells are one value, its tombstones another, so a row costs a few
+    calls of the state in a micro-batch, whatever its requests do. A row that outgrows
+    ``NARROW`` moves to two map states for good, where only the cells that are met are read.
+    """
 
     def init(self, handle) -> None:
-        self.cells = handle.getMapState("cells", "family string, qualifier string", "value string, ts bigint, seq bigint")
-        self.tombs = handle.getMapState("tombs", "scope string, family string, qualifier string", "ts bigint")
+        self.cells = handle.getValueState("cells", "entries string")
+        self.tombs = handle.getValueState("tombs", "entries string")
+        self.wide_cells = handle.getMapState("wide_cells", "family string, qualifier string", "value string, ts bigint, seq bigint")
+        self.wide_tombs = handle.getMapState("wide_tombs", "scope string, family string, qualifier string", "ts bigint")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        r = initialState
-        self.cells.updateValue((r["family"], r["qualifier"]), (r["value"], r["ts"], r["seq"]))
+        entries = [[*cell.values()] for cell in json.loads(initialState["cells"])]
+        if initialState["alone"] and len(text := _as_text(entries)) <= NARROW:
+            self.cells.update((text,))
+            return
+        self.cells.update((_WIDE,))
+        for family, qualifier, *cell in entries:
+            self.wide_cells.updateValue((family, qualifier), tuple(cell))
+
+    def _keep(self, cells: _Held, tombs: _Held) -> None:
+        """Write a row's values, or move what outgrew them to the map states."""
+        if max(len(held.after() or "") for held in (cells, tombs)) <= NARROW:
+            cells.write()
+            tombs.write()
+            return
+        for held, wide in ((cells, self.wide_cells), (tombs, self.wide_tombs)):
+            for k, v in held.iterator():
+                wide.updateValue(k, v)
+        self.cells.update((_WIDE,))
+        self.tombs.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = _KeptRow(self.cells, self.tombs)
+        cells, tombs = _Held(self.cells, 2), _Held(self.tombs, 3)
+        wide = cells.text() == _WIDE
+        state = _KeptRow(self.wide_cells, self.wide_tombs) if wide else _KeptRow(cells, tombs)
         nulls_first = lambda v: (v is not None, v)
 
         def read(r: Row) -> tuple[list, str]:
-            request, _, then = r["request"].partition("\n")
-            return [*json.loads(request).values()], then
+            text = r["request"]
+            request, end = _DECODE(text)
+            return [*request.values()], text[end + 1:]
 
         order = lambda r: (*r[0][:4], nulls_first(r[0][4]), r[0][5])
         for (ts, seq, family, qualifier, expected, _), then in sorted(map(read, rows), key=order):
             if state.request(family, qualifier, expected, ts, seq, (m for text in (then,) for m in json.loads(text))):
                 yield Row(row_key=key[0], ts=ts, seq=seq, then=then)
         state.save()
+        if not wide:
+            self._keep(cells, tombs)
 
     def close(self) -> None:
         pass
@@ -222,7 +315,8 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
     the batch form: the requests of a row in a micro-batch are applied in version
     order, batches in arrival order, and a request that is older than its checked cell's
     last change is refused. What is held at a time is one row's requests of one
-    micro-batch and the cells they meet. State is kept in RocksDB; a deleted
+    micro-batch and the cells they meet (all of its cells, if they are at most
+    ``NARROW`` characters). State is kept in RocksDB; a deleted
     cell's entry goes, and of a deleted row one tombstone stays.
     """
     spark = stream_reqs.sparkSession
@@ -235,7 +329,12 @@ def stream_check_and_mutate(stream_reqs: DataFrame, current: DataFrame | None, *
     initial = None
     if current is not None:
         version = [F.col(c) if c in current.columns else F.lit(None).cast("bigint").alias(c) for c in ("ts", "seq")]
-        initial = current.select("row_key", "family", "qualifier", "value", *version).groupBy("row_key")
+        cells = current.select("row_key", "family", "qualifier", "value", *version)
+        of_row = Window.partitionBy("row_key")
+        place = F.row_number().over(of_row.orderBy("family", "qualifier"))
+        packed = cells.withColumn("pack", F.floor((place - 1) / PACK)).withColumn("alone", F.count("*").over(of_row) <= PACK)
+        entries = text(F.collect_list(F.struct("family", "qualifier", "value", "ts", "seq")))
+        initial = packed.groupBy("row_key", "pack", "alone").agg(entries.alias("cells")).select("row_key", "alone", "cells").groupBy("row_key")
     accepted = reqs.groupBy("row_key").transformWithState(ConditionalRows(), _ACCEPTED, "append", "none", initial)
     return cas.as_cells(accepted.withColumn("then", F.from_json("then", cas.THEN)))
 

@@ -204,3 +204,107 @@ def test_stream_keeps_odd_values(spark, tmp):
     SM.append_to_files(SM.stream_check_and_mutate(reqs, None), f"{tmp}/out", f"{tmp}/ck")
     got = C.read_cells(spark, f"{tmp}/out").select("qualifier", "value", "delta").collect()
     assert {tuple(r) for r in got} == {("q", odd, None), ("n", None, None), ("i", None, 2**62)}
+
+
+class _Value:
+    """A value state, with a count of its calls."""
+
+    def __init__(self):
+        self.value, self.calls = None, []
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+class _Map(dict):
+    """A map state."""
+
+    getValue, updateValue, removeKey = dict.get, dict.__setitem__, dict.__delitem__
+
+    def exists(self):
+        return bool(self)
+
+    def iterator(self):
+        return iter([*self.items()])
+
+
+class _Handle:
+    def __init__(self):
+        self.states = {}
+
+    def getValueState(self, name, schema):
+        return self.states.setdefault(name, _Value())
+
+    def getMapState(self, name, *schemas):
+        return self.states.setdefault(name, _Map())
+
+
+def _processor():
+    handle, processor = _Handle(), SM.ConditionalRows()
+    processor.init(handle)
+    return processor, handle.states
+
+
+def _batch(processor, *reqs):
+    import json
+
+    from pyspark.sql import Row
+    names = ("ts", "seq", "family", "qualifier", "expected", "tie")
+    given = [Row(row_key="r", request=json.dumps(dict(zip(names, (*r[:5], 0), strict=True))) + "\n" + json.dumps(r[5])) for r in reqs]
+    return [r.ts for r in processor.handleInputRows(("r",), iter(given), None)]
+
+
+def _mutation(kind, family=None, qualifier=None, value=None):
+    return {"kind": kind, "family": family, "qualifier": qualifier, "value": value, "delta": None}
+
+
+def test_stream_state_calls_of_a_row_with_deletes():
+    # whatever a row's requests put and delete, a micro-batch reads and writes its two values once each
+    processor, states = _processor()
+    put = lambda v: [_mutation(C.PUT, "c", "q", v), _mutation(C.PUT, "d", "last", v)]
+    gone = [_mutation(C.DELETE_ROW)]
+    assert _batch(processor, (1, 0, "c", "q", None, put("a"))) == [1]
+    for state in states.values():
+        if isinstance(state, _Value):
+            state.calls.clear()
+    taken = _batch(processor, (2, 0, "c", "q", "a", gone), (2, 1, "c", "q", None, put("b")), (3, 0, "c", "q", None, put("c")), (4, 0, "c", "q", "c", gone))
+    assert taken == [2, 3, 4]
+    assert states["cells"].calls == ["get", "clear"] and states["tombs"].calls == ["get", "update"]
+    assert not states["wide_cells"] and not states["wide_tombs"]
+
+
+def test_stream_state_of_rows_that_outgrow_a_text(monkeypatch):
+    # the same decisions for rows held as texts, as maps, and for those that move from one to the other
+    raw = some_requests(random.Random(31), 240)
+    of_row = [(ts, seq, f, q, exp, [_mutation(k, mf, mq, v) | {"delta": d} for k, mf, mq, v, d in then]) for key, f, q, exp, ts, seq, then in raw if key == raw[0][0]]
+    of_row.sort(key=lambda r: (r[0], r[1]))
+    assert len(of_row) > 30
+    taken, wide = [], []
+    for most in (16_384, 60, 0):
+        monkeypatch.setattr(SM, "NARROW", most)
+        processor, states = _processor()
+        taken.append([_batch(processor, *of_row[i:i + 5]) for i in range(0, len(of_row), 5)])
+        wide.append(states["cells"].value == ("wide",))
+    assert taken[0] == taken[1] == taken[2] and any(taken[0])
+    assert wide == [False, True, True]
+
+
+def test_stream_starts_with_wide_and_narrow_rows(spark, tmp):
+    live = spark.createDataFrame([("wide", "c", f"q{i:03}", f"v{i}", 1, 0) for i in range(3 * SM.PACK)] + [("narrow", "c", "q000", "v0", 1, 0), ("narrow", "c", "q001", None, None, None)],
+                                 "row_key string, family string, qualifier string, value string, ts bigint, seq bigint")
+    raw = [("wide", "c", "q000", "v0", 5, 0, [(C.PUT, "c", "q190", "new", None)]), ("wide", "c", "q190", "new", 6, 0, [(C.DELETE_ROW, None, None, None, None)]),
+           ("wide", "c", "q191", "v191", 7, 0, [(C.PUT, "c", "q191", "no", None)]), ("wide", "c", "q191", None, 8, 0, [(C.PUT, "c", "q191", "yes", None)]),
+           ("narrow", "c", "q000", "v0", 5, 0, [(C.PUT, "c", "q000", "x", None)]), ("narrow", "c", "q000", "v0", 6, 0, [(C.PUT, "c", "q000", "no", None)])]
+    stream = _files(spark, spark.createDataFrame(raw, REQ), f"{tmp}/in", 3)
+    reqs = cas.requests(stream, row_key="k", family=F.col("f"), qualifier=F.col("q"), expected="exp", ts="ts", seq="seq", then=F.col("then"))
+    SM.append_to_files(SM.stream_check_and_mutate(reqs, live), f"{tmp}/out", f"{tmp}/ck")
+    assert rows(C.read_cells(spark, f"{tmp}/out"), "row_key", "ts") == [("narrow", 5), ("wide", 5), ("wide", 6), ("wide", 8)]
