@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.session import scratch_path, ship_package
 
@@ -36,6 +39,21 @@ def discard(*steps: DataFrame) -> None:
         where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Hand Python tasks at most so many rows at once, in the jobs that are run (not only planned) meanwhile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, now = spark.conf.get(name, None), int(spark.conf.get(name))
+    spark.conf.set(name, str(min(now, most) if now > 0 else most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def ship(df: DataFrame) -> None:
     """Make this package importable in the Python workers of ``df``'s session."""
     ship_package(df.sparkSession)

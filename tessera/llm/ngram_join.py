@@ -56,9 +56,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import discard, materialise, ship, small, text_or_empty
+from .common import arrow_rows, discard, materialise, ship, small, text_or_empty
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -66,8 +67,8 @@ _BYTE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, d
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash as a-z
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[[9, 10, 11, 12, 13, 32]] = True
-#: Bytes of text that are hashed together; bounds the memory of a task.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text that are hashed together (some 60 bytes of arrays for each), and rows that a task is handed at once; they bound the memory of a task.
+CHUNK_BYTES, ARROW_ROWS = 1 << 18, 1_000
 #: Ratio between the sizes of neighbouring bands.
 BAND_RATIO = 1.5
 #: log2 of the bits of the broadcast bitmap (8 MiB).
@@ -225,6 +226,18 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
             yield ids, texts
 
 
+def _slices(batch: pa.RecordBatch, texts: int, most_rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of bounded size, by the bytes in its column ``texts``; a text that alone is longer stays whole."""
+    begin, held = 0, 0
+    for row, n in enumerate(pc.binary_length(batch.column(texts)).to_pylist()):
+        if row > begin and (held + n > CHUNK_BYTES or row - begin >= most_rows):
+            yield batch.slice(begin, row - begin)
+            begin, held = row, 0
+        held += n
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, values)])
     flat = np.concatenate(values) if values else np.empty(0, np.int64)
@@ -290,8 +303,7 @@ def _sets_of(words: int):
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                some = batch.slice(a, 256)
+            for some in _slices(batch, 1):
                 sets = shingle_sets([t.as_buffer().to_pybytes() for t in some.column(1)], words)
                 yield pa.RecordBatch.from_arrays([some.column(0), _lists([h.view(np.int64) for h in sets])], ["set_key", "grams"])
 
@@ -331,8 +343,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int, differ
     def run(batches):
         key, hub = None, None
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                some = batch.slice(a, 256)
+            for some in _slices(batch, 1):
                 raw = [t.as_buffer().to_pybytes() for t in some.column(1)]
                 out: list[list] = [[] for _ in range(7)]
                 for b, h, a_key, part, later in zip(some.column(0).to_pylist(), shingle_sets(raw, words), *[some.column(k).to_pylist() for k in (2, 3, 4)], strict=True):
@@ -428,6 +439,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, count
     See the module's text for nulls, empty texts, repeated rows and empty tables.
     """
     ship(docs)
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):  # all Python steps are run meanwhile
+        return _components_of(docs, words, percent, count_links)
+
+
+def _components_of(docs: DataFrame, words: int, percent: int, count_links: bool) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     bands = Bands(percent, base.count())

@@ -152,3 +152,25 @@ def test_members_whose_size_differs_from_their_hub(spark):
     rows = list(enumerate(rows))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
     assert got == brute(rows, 3, 90)
+
+
+def test_texts_are_hashed_in_parts_of_bounded_bytes(monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"w{i} ".encode() * 20_000 for i in range(40)] + [b"a b c"] * 600
+    seen, whole = [], J.shingle_sets(texts, 3)
+    monkeypatch.setattr(J, "shingle_sets", lambda some, words, f=J.shingle_sets: seen.append([len(t) for t in some]) or f(some, words))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.binary())], ["set_key", "text"])
+    got = [(k, g) for b in J._sets_of(3)(iter([batch])) for k, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    assert [k for k, _ in got] == list(range(len(texts))) and all(np.array_equal(np.array(g, np.int64).view(np.uint64), h) for (_, g), h in zip(got, whole, strict=True))
+    assert max(sum(x) for x in seen if len(x) > 1) <= J.CHUNK_BYTES and max(map(len, seen)) <= 256
+
+
+def test_rows_handed_to_python_at_once_are_bounded(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    found, inner = [], J._components_of
+    monkeypatch.setattr(J, "_components_of", lambda *a: found.append(spark.conf.get(name)) or inner(*a))
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in J.jaccard_components(df).collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert found == [str(J.ARROW_ROWS)] and spark.conf.get(name) == before
