@@ -233,3 +233,71 @@ def test_applications_far_apart_match(spark, tmp):
                           "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp}/customer.parquet")
     got = rows(match.match_applications(B.applications(spark, tmp)), "matched_name", "matched_address", "matched_phone", "matched_email")
     assert got == [(1, 1, 0, 0)] * 4 + [(1, 1, 1, 1)] * 5
+
+
+def _names_apart(l, r):
+    return {"apart": F.levenshtein(F.concat_ws(" ", l("first"), l("last")), F.concat_ws(" ", r("first"), r("last"))), "l_last": l("last")}
+
+
+@pytest.mark.parametrize("block_rows", [1_000, 7, None])
+@pytest.mark.parametrize("per_task", [2_000_000, 10])
+def test_or_match_by_groups_equals_brute_force(spark, monkeypatch, block_rows, per_task):
+    # few names, nulls, records that come twice, a hot email and a key that is not the first rule's
+    monkeypatch.setattr(match, "PAIRS_PER_TASK", per_task)
+    recs = [(i // 2, f"a{i % 3}" if i % 7 else None, f"b{i % 2}" if i % 11 else None, "hot@x" if i % 4 else f"e{i % 9}", f"p{i % 13}" if i % 5 else None)
+            for i in range(90)]
+    df = spark.createDataFrame(recs, "id int, first string, last string, email string, phone string")
+    keys = {"email": lambda r: r[3], "name": lambda r: None if None in r[1:3] else r[1] + r[2], "phone": lambda r: r[4]}
+    rules = {"email": F.col("email"), "name": F.concat("first", "last"), "phone": F.col("phone")}
+    pairs = match.or_match_pairs(df, rules, block_rows=block_rows, shared=["first", "last"], shared_rules=["name"], once=_names_apart)
+    assert pairs.columns == ["l", "r", "apart", "l_last"]
+    plain = match.or_match_pairs(df, rules)
+    want = sorted(((a, b) for a, b in itertools.product(recs, recs) if any(k(a) is not None and k(a) == k(b) for k in keys.values())), key=repr)
+    got = pairs.collect()
+    assert sorted(((tuple(r["l"]), tuple(r["r"])) for r in got), key=repr) == want
+    assert sorted(((tuple(r["l"]), tuple(r["r"])) for r in plain.collect()), key=repr) == want
+    whole = lambda r: " ".join(x for x in r[1:3] if x)
+    assert all((r["apart"] == 0) == (whole(r["l"]) == whole(r["r"])) and r["l_last"] == r["l"]["last"] for r in got)
+
+
+def test_or_match_by_groups_when_all_columns_are_shared(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    pairs = match.or_match_pairs(df, {"k": F.col("k")}, shared=["k"], shared_rules=["k"])
+    assert rows(pairs.select("l.k", F.col("r.k").alias("k2"))) == [("a", "a")] * 4 + [("b", "b")]
+    assert match.or_match_pairs(df.filter("false"), {"k": F.col("k")}, shared=["k"]).count() == 0
+
+
+def _joined_rows(df) -> int:
+    """Rows that the joins of the plan that ran have made."""
+    def made(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return made(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return made(node.plan())
+        below = node.children()
+        return (node.metrics().get("numOutputRows").get().value() if "Join" in name else 0) + sum(made(below.apply(i)) for i in range(below.size()))
+    df.collect()
+    return made(df._jdf.queryExecution().executedPlan())
+
+
+def test_applications_join_records_with_groups_of_a_name(spark):
+    # 200 records of one email and two names: the names are compared once per record and name, not once per pair
+    apps = spark.createDataFrame([(i, "Ann", f"Lee{i % 2}", "same@x", f"p{i}", f"s{i}") for i in range(200)],
+                                 "app_id int, first_name string, last_name string, email string, phone string, address string")
+    out = match.match_applications(apps)
+    # the email's two groups and the name's one, of which the email's own name falls out, and phone and address
+    assert _joined_rows(out) <= 5 * 200
+    assert [tuple(r) for r in out.groupBy("matched_name", "matched_email", "matched_phone", "name_distance").count()
+            .orderBy("matched_name", "matched_phone").collect()] == [(0, 1, 0, 1, 20_000), (1, 1, 0, 0, 19_800), (1, 1, 1, 0, 200)]
+
+
+def test_applications_of_a_crowded_key(spark):
+    # more than a block's records share one email; names null on one side give no distance
+    apps = spark.range(1_500).select(
+        F.col("id").alias("app_id"), F.lit("Ann").alias("first_name"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("L"), F.col("id") % 3)).alias("last_name"),
+        F.lit("same@x").alias("email"), F.lit(None).cast("string").alias("phone"), F.lit(None).cast("string").alias("address"))
+    got = match.match_applications(apps).groupBy("name", "name2", "matched_name", "name_distance").count().collect()
+    names = [None, "AnnL1", "AnnL2"]
+    assert sorted(map(repr, map(tuple, got))) == sorted(
+        repr((a, b, int(a is not None and a == b), None if None in (a, b) else int(a != b), 250_000)) for a in names for b in names)
